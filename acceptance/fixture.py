@@ -9,7 +9,6 @@ id, and a repository is made up from the number in ``props``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Fixed values of the adapter, shared by both engines.
 WORDS = (
@@ -35,50 +34,49 @@ TYPES = {
 SIGNUP_PAYLOAD = '{"ref_type":"branch","master_branch":"main"}'
 
 
+EVENTS_SCHEMA = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
+_WORD_LIST = ", ".join(f"'{w}'" for w in WORDS)
+_TYPE_CASE = " ".join(f"WHEN '{s}' THEN '{t}'" for s, t in TYPES.items())
+
+
+def _spread(events: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer splits than there are cores.
+
+    The driver's table is one small file, hence one task; a large table has
+    splits enough and is left as it is read.
+    """
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records with the landed-record schema, one scan of ``events``."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    delivered = events.select(
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    delivered = _spread(events).selectExpr(
         "*",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.explode(
-            F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ).alias("late"),
-    )
-    k = F.col("k")
-    user = F.col("user_id").cast("string")
-    word = F.get(F.array(*[F.lit(w) for w in WORDS]), k % len(WORDS))
-    name = F.when(k % 25 == 0, F.concat(F.lit("orphan"), k.cast("string"))).otherwise(
-        F.concat(F.lit("org"), (k % 9).cast("string"), F.lit("/"), word, F.lit("-"), k.cast("string"))
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "explode(IF(event_id % 10 = 0, array(0, 1), array(0))) AS late",
     )
-    kind = F.when(F.col("user_id") % 2 == 0, "ForkEvent").otherwise("IssuesEvent")
-    for source, target in TYPES.items():
-        kind = F.when(F.col("event_type") == source, target).otherwise(kind)
-    return delivered.select(
-        F.when(F.col("event_id") % 97 != 0, F.col("event_id").cast("string")).alias("id"),
-        kind.alias("type"),
-        F.concat(F.lit('{"id":'), user, F.lit(',"login":"user'), user, F.lit('"}')).alias("actor"),
-        F.when(
-            k != 13,
-            F.concat(F.lit('{"id":'), k.cast("string"), F.lit(',"name":"'), name, F.lit('"}')),
-        ).alias("repo"),
-        F.when(F.col("event_type") == "signup", F.lit(SIGNUP_PAYLOAD))
-        .otherwise(F.col("props"))
-        .alias("payload"),
-        (F.col("user_id") % 10 != 0).alias("public"),
-        (F.col("ts").cast("timestamp") + F.make_dt_interval(hours=F.col("late"))).alias("created_at"),
-        F.when(
-            k % 9 < 3, F.concat(F.lit('{"login":"org'), (k % 9).cast("string"), F.lit('"}'))
-        ).alias("org"),
+    return delivered.selectExpr(
+        "IF(event_id % 97 <> 0, CAST(event_id AS STRING), NULL) AS id",
+        f"""CASE event_type {_TYPE_CASE}
+            ELSE IF(user_id % 2 = 0, 'ForkEvent', 'IssuesEvent') END AS type""",
+        """concat('{"id":', user_id, ',"login":"user', user_id, '"}') AS actor""",
+        f"""IF(k <> 13, concat('{{"id":', k, ',"name":"',
+            IF(k % 25 = 0, concat('orphan', k),
+               concat('org', k % 9, '/', get(array({_WORD_LIST}), k % {len(WORDS)}), '-', k)),
+            '"}}'), NULL) AS repo""",
+        f"IF(event_type = 'signup', '{SIGNUP_PAYLOAD}', props) AS payload",
+        "user_id % 10 <> 0 AS public",
+        "CAST(ts AS TIMESTAMP) + make_dt_interval(0, late) AS created_at",
+        """IF(k % 9 < 3, concat('{"login":"org', k % 9, '"}'), NULL) AS org""",
     )
 
 
-_WORD_LIST = ", ".join(f"'{w}'" for w in WORDS)
-_TYPE_CASE = " ".join(f"WHEN '{s}' THEN '{t}'" for s, t in TYPES.items())
-
 RAW_SQL = f"""
 delivered AS (
   SELECT event_id, user_id, event_type, props, ts,

@@ -366,23 +366,24 @@ ANALYTICS = {
 # -- data quality ------------------------------------------------------------
 
 
-def rule_on_raw(*rules: quality.Check) -> Callable[[Derived], DataFrame]:
+def on_raw(*rules: quality.Check) -> Callable[[Derived], DataFrame]:
     """Rules on records that break them: missing ids, repeated ids, and so on."""
 
     def run(d: Derived) -> DataFrame:
-        hour = hour_of_day("created_at").alias("hour_of_day")
-        signed = (hour_of_day("created_at") - F.lit(12)).alias("hour_from_noon")
-        return quality.run_checks(d.raw.select("*", hour, signed), "raw_events", rules)
+        measured = d.raw.selectExpr(
+            "*", "hour(created_at) AS hour_of_day", "hour(created_at) - 12 AS hour_from_noon"
+        )
+        return quality.run_checks(measured, "raw_events", rules)
 
     return run
 
 
-def rules_on_raw(*makers: Callable[[], quality.Check]) -> Callable[[Derived], DataFrame]:
-    return lambda d: rule_on_raw(*[make() for make in makers])(d)
-
+def on_stored(table: str, rule: quality.Check) -> Callable[[Derived], DataFrame]:
+    def run(d: Derived) -> DataFrame:
+        stored = d.spark.table(f"{warehouse(d.spark, d.sf_dir)}.{table}")
+        return quality.run_checks(stored, table, [rule])
 
-def named_checks(table: str, make: Callable[[], quality.Check]) -> Callable[[Derived], DataFrame]:
-    return lambda d: quality.run_checks(d.spark.table(f"{warehouse(d.spark, d.sf_dir)}.{table}"), table, [make()])
+    return run
 
 
 def check_sql(d: Derived) -> DataFrame:
@@ -416,22 +417,17 @@ def stored_completeness(d: Derived) -> DataFrame:
 
 
 QUALITY = {
-    "check_not_null": rules_on_raw(
-        lambda: quality.not_null("id"),
-        lambda: quality.not_null("type"),
-        lambda: quality.not_null("repo"),
-        lambda: quality.not_null("org"),
-    ),
-    "check_unique": rules_on_raw(lambda: quality.unique("id")),
-    "check_non_negative": rules_on_raw(lambda: quality.non_negative("hour_from_noon")),
-    "check_positive": rules_on_raw(lambda: quality.positive("hour_from_noon")),
-    "check_max": rules_on_raw(lambda: quality.at_most("hour_of_day", HOUR_LIMIT)),
+    "check_not_null": on_raw(*[quality.not_null(c) for c in ("id", "type", "repo", "org")]),
+    "check_unique": on_raw(quality.unique("id")),
+    "check_non_negative": on_raw(quality.non_negative("hour_from_noon")),
+    "check_positive": on_raw(quality.positive("hour_from_noon")),
+    "check_max": on_raw(quality.at_most("hour_of_day", HOUR_LIMIT)),
     "check_sql": check_sql,
-    "check_identity_fields": named_checks("stg_events", quality.identity_fields),
-    "check_min_event_types": named_checks("events_by_type", quality.min_event_types),
-    "check_hour_domain": named_checks("events_by_hour", quality.hour_domain),
-    "check_repo_present": named_checks("top_repos", quality.repo_present),
-    "check_language_rows": named_checks("language_trends", quality.language_rows),
+    "check_identity_fields": on_stored("stg_events", quality.IDENTITY_FIELDS),
+    "check_min_event_types": on_stored("events_by_type", quality.ENOUGH_EVENT_TYPES),
+    "check_hour_domain": on_stored("events_by_hour", quality.HOUR_DOMAIN),
+    "check_repo_present": on_stored("top_repos", quality.REPO_PRESENT),
+    "check_language_rows": on_stored("language_trends", quality.LANGUAGE_ROWS),
     "quality_report": quality_report,
     "gate": lambda d: quality.failed_checks(quality_report(d)),
     "hour_completeness": lambda d: quality.hour_completeness(d.stg, d.by_hour),

@@ -6,10 +6,10 @@ evaluated in one pass over it.  NULL passes every column rule but ``not_null``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import hour_of_day
@@ -18,149 +18,128 @@ from tallyhouse.operators.marts import dated
 
 @dataclass(frozen=True)
 class Check:
-    """One rule of a table; ``failures`` is an aggregate that must come to 0."""
+    """One rule of a table; ``failures`` is SQL for an aggregate that must be 0."""
 
     column: str | None
     name: str
-    failures: Column
-
-
-# Columns need a running session, so rules are functions and not constants.
+    failures: str
 
 
 def not_null(column: str) -> Check:
     """No missing values."""
-    return Check(column, "not_null", F.count_if(F.col(column).isNull()))
+    return Check(column, "not_null", f"count_if({column} IS NULL)")
 
 
 def unique(column: str) -> Check:
     """No value twice."""
-    return Check(column, "unique", F.count(column) - F.count_distinct(column))
+    return Check(column, "unique", f"count({column}) - count(DISTINCT {column})")
 
 
 def non_negative(column: str) -> Check:
     """No value below 0."""
-    return Check(column, "non_negative", F.count_if(F.col(column) < 0))
+    return Check(column, "non_negative", f"count_if({column} < 0)")
 
 
 def positive(column: str) -> Check:
     """No value of 0 or less."""
-    return Check(column, "positive", F.count_if(F.col(column) <= 0))
+    return Check(column, "positive", f"count_if({column} <= 0)")
 
 
 def at_most(column: str, limit: float) -> Check:
     """No value above ``limit``."""
-    return Check(column, "max", F.count_if(F.col(column) > limit))
+    return Check(column, "max", f"count_if({column} > {limit})")
 
 
-def rows_where(name: str, condition: Column) -> Check:
-    """Table rule: no row meets ``condition``."""
-    return Check(None, name, F.count_if(condition))
+def no_rows(name: str, condition: str) -> Check:
+    """Table rule: no row meets the SQL ``condition``."""
+    return Check(None, name, f"count_if({condition})")
 
 
-def holds(name: str, condition: Column) -> Check:
-    """Table rule: an aggregate condition is true."""
-    return Check(None, name, F.when(condition, 0).otherwise(1))
+def holds(name: str, condition: str) -> Check:
+    """Table rule: the SQL aggregate ``condition`` is true."""
+    return Check(None, name, f"IF({condition}, 0, 1)")
 
 
-# The checks of each table.
+# Limits, rule names and the checks of each table.
 
 MIN_EVENT_TYPES = 5
 LAST_HOUR = 23
 
-
-def identity_fields() -> Check:
-    """Staged rows name their event, actor and type."""
-    missing = F.col("event_id").isNull() | F.col("actor_login").isNull() | F.col("event_type").isNull()
-    return rows_where("core identity fields are present", missing)
-
-
-def min_event_types(least: int = MIN_EVENT_TYPES) -> Check:
-    """At least ``least`` event types occur in the table."""
-    return holds("multiple event types exist", F.count_distinct("event_type") >= least)
-
-
-def hour_domain() -> Check:
-    """Hours lie in 0..23."""
-    hour = F.col("hour_of_day")
-    return rows_where("hours in valid range", (hour < 0) | (hour > LAST_HOUR))
-
-
-def repo_present() -> Check:
-    """Every row names a repository."""
-    return rows_where("no null repo names", F.col("repo_name").isNull())
-
-
-def language_rows() -> Check:
-    """The table is not empty."""
-    return holds("language trend rows exist", F.count(F.lit(1)) > 0)
-
-
-TABLE_CHECKS: dict[str, Callable[[], list[Check]]] = {
-    "stg_events": lambda: [
+IDENTITY_FIELDS = no_rows(
+    "core identity fields are present",
+    "event_id IS NULL OR actor_login IS NULL OR event_type IS NULL",
+)
+ENOUGH_EVENT_TYPES = holds(
+    "multiple event types exist", f"count(DISTINCT event_type) >= {MIN_EVENT_TYPES}"
+)
+HOUR_DOMAIN = no_rows("hours in valid range", f"hour_of_day NOT BETWEEN 0 AND {LAST_HOUR}")
+REPO_PRESENT = no_rows("no null repo names", "repo_name IS NULL")
+LANGUAGE_ROWS = holds("language trend rows exist", "count(*) > 0")
+
+TABLE_CHECKS: dict[str, tuple[Check, ...]] = {
+    "stg_events": (
         not_null("event_id"),
         unique("event_id"),
         not_null("event_timestamp"),
         not_null("event_type"),
         not_null("actor_login"),
         not_null("actor_id"),
-        identity_fields(),
-    ],
-    "events_by_type": lambda: [
+        IDENTITY_FIELDS,
+    ),
+    "events_by_type": (
         not_null("event_date"),
         not_null("event_type"),
         positive("event_count"),
         non_negative("unique_actors"),
         non_negative("unique_repos"),
-        min_event_types(),
-    ],
-    "events_by_hour": lambda: [
+        ENOUGH_EVENT_TYPES,
+    ),
+    "events_by_hour": (
         not_null("event_date"),
         not_null("hour_of_day"),
         non_negative("hour_of_day"),
         at_most("hour_of_day", LAST_HOUR),
         positive("event_count"),
-        hour_domain(),
-    ],
-    "top_repos": lambda: [
+        HOUR_DOMAIN,
+    ),
+    "top_repos": (
         not_null("event_date"),
         not_null("repo_name"),
         positive("total_events"),
         non_negative("unique_contributors"),
-        repo_present(),
-    ],
-    "language_trends": lambda: [
+        REPO_PRESENT,
+    ),
+    "language_trends": (
         not_null("event_date"),
         not_null("repo_name"),
         positive("push_count"),
         positive("contributors"),
-        language_rows(),
-    ],
+        LANGUAGE_ROWS,
+    ),
 }
 
 
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else "'" + value.replace("'", "\\'") + "'"
+
+
 def run_checks(df: DataFrame, table: str, checks: Iterable[Check]) -> DataFrame:
     """One row per check from a single aggregate over ``df``."""
     rules = list(checks)
-    measured = df.agg(*[rule.failures.cast("long").alias(f"f{i}") for i, rule in enumerate(rules)])
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(rule.column).cast("string").alias("column_name"),
-                F.lit(rule.name).alias("check_name"),
-                F.col(f"f{i}").alias("failures"),
-                (F.col(f"f{i}") == 0).alias("passed"),
-            )
-            for i, rule in enumerate(rules)
-        ]
+    measured = df.agg(
+        *[F.expr(f"CAST({rule.failures} AS BIGINT)").alias(f"f{i}") for i, rule in enumerate(rules)]
     )
-    return measured.select(F.inline(entries))
+    entries = [
+        f"struct({_text(table)} AS table_name, {_text(rule.column)} AS column_name, "
+        f"{_text(rule.name)} AS check_name, f{i} AS failures, f{i} = 0 AS passed)"
+        for i, rule in enumerate(rules)
+    ]
+    return measured.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All declared checks of the given tables, one row per check."""
-    reports = [run_checks(df, name, TABLE_CHECKS[name]()) for name, df in tables.items()]
+    reports = [run_checks(df, name, TABLE_CHECKS[name]) for name, df in tables.items()]
     combined, *others = reports
     for report in others:
         combined = combined.unionByName(report)
