@@ -25,6 +25,18 @@ class BadRecordsError(ValueError):
         self.limit = limit
 
 
+def _good(df: DataFrame) -> DataFrame:
+    """Well-formed records of a scan.
+
+    Spark parses only the columns a query uses and would let a record pass that
+    is wrong in another one.  The second test is always true and names every
+    column, so a record is judged whole whatever is selected later.
+    """
+    values = [c for c in df.columns if c != CORRUPT]
+    whole = F.xxhash64(*values) % 1 == 0
+    return df.filter(F.col(CORRUPT).isNull() & whole).drop(CORRUPT)
+
+
 def scan_ndjson(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -39,34 +51,27 @@ def scan_ndjson(
     the number of hours read.
 
     Malformed records are left out, or kept with their text in
-    ``_corrupt_record`` when ``keep_corrupt`` is set.  Spark parses only the
-    columns a query asks for, so a record is judged by those columns; loads ask
-    for all of them.
+    ``_corrupt_record`` when ``keep_corrupt`` is set.
     """
-    listed = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if not keep_corrupt:
-        return reader.schema(schema).option("mode", "DROPMALFORMED").json(listed)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        reader.schema(with_corrupt)
+    scan = (
+        spark.read.schema(with_corrupt)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(listed)
+        .option("recursiveFileLookup", "true")
+        .json([paths] if isinstance(paths, str) else list(paths))
     )
+    return scan if keep_corrupt else _good(scan)
 
 
 def bad_record_budget(df: DataFrame, limit: int = BAD_RECORD_LIMIT) -> DataFrame:
-    """Good records of a ``keep_corrupt`` scan, or BadRecordsError beyond ``limit``.
-
-    The count reads every column: a scan that is asked for fewer columns parses
-    fewer, and would miss records that are only wrong in the others.
-    """
+    """Good records of a ``keep_corrupt`` scan, or BadRecordsError beyond ``limit``."""
     values = [c for c in df.columns if c != CORRUPT]
+    # The hash makes the count parse whole records, as in _good.
     found, _ = df.agg(F.count(CORRUPT), F.max(F.xxhash64(*values))).first()
     if found > limit:
         raise BadRecordsError(found, limit)
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return _good(df)
 
 
 def combine_hours(
