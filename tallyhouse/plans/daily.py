@@ -15,6 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.functions import event_date
 from tallyhouse.operators.marts import MARTS, dated
 from tallyhouse.operators.quality import gate, quality_report
 from tallyhouse.operators.staging import WINNER_BROADCAST_BYTES, staged_from_files
@@ -22,7 +23,7 @@ from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING
 from tallyhouse.session import drop_path, write_through
 from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_hours
 from tallyhouse.sources.ndjson import CORRUPT, BadRecordsError, combine_hours
-from tallyhouse.sources.tables import ensure_table, materialize, replace_dates
+from tallyhouse.sources.tables import DATE, ensure_table, materialize, replace_dates
 
 RAW = "raw_events"
 STAGING = "stg_events"
@@ -60,8 +61,9 @@ def load_dates(
     present = sorted({day for day, _ in list_hours(spark, landing, wanted)})
     if not present:
         return LoadResult()
+    scan = combine_hours(spark, landing, present, keep_corrupt=True)
     parsed, path = write_through(
-        combine_hours(spark, landing, present, keep_corrupt=True), "parsed-hours"
+        scan.withColumn(DATE, event_date("created_at")), "parsed-hours"
     )
     try:
         bad = parsed.filter(F.col(CORRUPT).isNotNull()).groupBy("file_date").count()

@@ -15,8 +15,29 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A task holds rows of one or two dates: write them without sorting whole
+    # records by date first.  Tasks with more dates fall back to the sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
+#: Bytes one shuffle task should hold.
+TASK_BYTES = 256 * 1024 * 1024
+
+
+def sizing_conf(shuffle_bytes: int, task_bytes: int = TASK_BYTES) -> dict[str, str]:
+    """Shuffle settings for a run that moves about ``shuffle_bytes`` per exchange.
+
+    Adaptive execution merges partitions that turn out small but cannot split
+    an ordinary exchange, so the first count comes from the volume.
+    """
+    partitions = max(200, -(-shuffle_bytes // task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+    }
+
 
 def build_session(
     app_name: str = "tallyhouse",

@@ -88,6 +88,7 @@ def replace_dates(batch: DataFrame, table: str, dates: Sequence[DateLike]) -> di
     row can never wipe its neighbours.  Returns the rows loaded per date.
 
     ``batch`` is read more than once: pass a stored scan, not a parse of JSON.
+    A stored ``event_date`` column lets the stray pass skip what it does not need.
     """
     spark = batch.sparkSession
     targets = sorted({as_date(d) for d in dates})
@@ -97,23 +98,24 @@ def replace_dates(batch: DataFrame, table: str, dates: Sequence[DateLike]) -> di
         if len(targets) > 1:
             raise ValueError("several dates need a file_date column")
         batch = batch.withColumn("file_date", F.lit(targets[0]))
+    if DATE not in batch.columns:
+        batch = batch.withColumn(DATE, event_date("created_at"))
 
-    rows = batch.withColumn(DATE, event_date("created_at"))
-    loaded = F.coalesce(F.col(DATE).isin(*targets), F.lit(False))
-    deleted_later = loaded & (F.col(DATE) > F.col("file_date"))
-    rows = rows.filter(~deleted_later)
-    counts = {r[0]: r[1] for r in rows.groupBy(DATE).count().collect()}
+    day = F.col(DATE)
+    loaded = day.isin(*targets) & (day <= F.col("file_date"))
+    stray = day.isNull() | ~day.isin(*targets)
+    counts = {r[0]: r[1] for r in batch.filter(loaded | stray).groupBy(DATE).count().collect()}
     columns = [*_RAW_NAMES, DATE]
 
-    if any(day in counts for day in targets):
+    if any(d in counts for d in targets):
         with _dynamic_overwrite(spark):
-            rows.filter(loaded).select(*columns).write.insertInto(table, overwrite=True)
+            batch.filter(loaded).select(*columns).write.insertInto(table, overwrite=True)
     stored = set(stored_dates(spark, table))
-    for day in targets:
-        if day not in counts and day in stored:
-            _clear(spark, table, day)
-    if any(day not in targets for day in counts):
-        strays = rows.filter(~loaded).select(*columns).hint("rebalance", DATE)
+    for d in targets:
+        if d not in counts and d in stored:
+            _clear(spark, table, d)
+    if any(d not in targets for d in counts):
+        strays = batch.filter(stray).select(*columns).hint("rebalance", DATE)
         strays.write.insertInto(table, overwrite=False)
     return counts
 
