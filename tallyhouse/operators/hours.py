@@ -13,7 +13,7 @@ from tallyhouse.functions import hour_of_day
 HOUR = timedelta(hours=1)
 
 
-def resolve_date(text: str | None = None, now: datetime | None = None) -> date:
+def run_date(text: str | None = None, now: datetime | None = None) -> date:
     """The requested ``YYYY-MM-DD`` date, else yesterday in UTC."""
     if text:
         return datetime.strptime(text, "%Y-%m-%d").date()
@@ -53,7 +53,7 @@ def interval_hours(start: datetime | str, end: datetime | str) -> tuple[int, int
     return first.hour, stop - first.hour
 
 
-def resolve_hour_window(
+def effective_window(
     start: int | None = None,
     count: int | None = None,
     configured: tuple[int | None, int | None] = (None, None),
@@ -87,7 +87,7 @@ def hour_window_for_interval(
     of instants, which scans can push down; a stored date column is tested too,
     so other partitions are skipped.
     """
-    first, length = resolve_hour_window(interval=(start, end))
+    first, length = effective_window(interval=(start, end))
     day = _utc(start).date()
     opens = datetime.combine(day, time(), timezone.utc) + first * HOUR
     moment = F.col(timestamp)

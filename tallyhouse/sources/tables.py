@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, timedelta
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,17 +60,22 @@ def delete_date(spark: SparkSession, table: str, day: DateLike) -> int:
     return found
 
 
+_MODE_LOCK = Lock()
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     # insertInto takes the mode from the session only; a writer option of the
-    # same name is ignored there.
+    # same name is ignored there.  The lock keeps loads on several threads from
+    # restoring the setting under each other.
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _MODE_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def replace_dates(batch: DataFrame, table: str, dates: Sequence[DateLike]) -> dict[date | None, int]:

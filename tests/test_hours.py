@@ -9,27 +9,27 @@ from tallyhouse.operators import hours
 
 
 def test_date_given_or_yesterday():
-    assert hours.resolve_date("2026-03-20") == date(2026, 3, 20)
+    assert hours.run_date("2026-03-20") == date(2026, 3, 20)
     now = datetime(2026, 3, 1, 0, 30, tzinfo=timezone.utc)
-    assert hours.resolve_date(None, now) == date(2026, 2, 28)
+    assert hours.run_date(None, now) == date(2026, 2, 28)
     with pytest.raises(ValueError):
-        hours.resolve_date("not-a-date")
+        hours.run_date("not-a-date")
 
 
 def test_configured_window():
-    assert hours.resolve_hour_window(configured=(2, 3)) == (2, 3)
+    assert hours.effective_window(configured=(2, 3)) == (2, 3)
 
 
 def test_window_from_interval():
     run = ("2026-03-22T00:00:00Z", "2026-03-22T01:00:00Z")
-    assert hours.resolve_hour_window(interval=run) == (0, 1)
+    assert hours.effective_window(interval=run) == (0, 1)
 
 
 def test_sources_rank_per_value():
     run = ("2026-03-22T04:00:00Z", "2026-03-22T09:00:00Z")
-    assert hours.resolve_hour_window(1, None, (2, 3), run) == (1, 3)
-    assert hours.resolve_hour_window(None, 2, (None, None), run) == (4, 2)
-    assert hours.resolve_hour_window() == (0, 24)
+    assert hours.effective_window(1, None, (2, 3), run) == (1, 3)
+    assert hours.effective_window(None, 2, (None, None), run) == (4, 2)
+    assert hours.effective_window() == (0, 24)
 
 
 @pytest.mark.parametrize("start, count", [(23, 2), (-1, 1), (24, 1), (0, 0), (0, 25)])
