@@ -84,7 +84,7 @@ def landed_files(spark: SparkSession, sf_dir: str, compression: str) -> Landing:
         .option("compression", compression)
         .text(root)
     )
-    return Landing(root, hour_file="day={date}/hour={hour}", day_folder="day={date}")
+    return Landing(root, hour_file="day={date}/hour={hour:02d}", day_files="day={date}")
 
 
 def stored_raw(spark: SparkSession, sf_dir: str, purpose: str) -> str:

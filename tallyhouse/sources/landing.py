@@ -36,23 +36,29 @@ def _either(options: Iterable[str]) -> str:
 class Landing:
     """Path layout of landed files below ``root``.
 
-    ``hour_file`` names one hour by ``{date}`` and ``{hour}`` (two digits),
-    ``day_folder`` holds whatever has landed for a date, and ``daily_file`` is
-    the older layout with one file per date.
+    ``hour_file`` names one hour by ``{date}`` and ``{hour}`` (with any format
+    for the number), ``day_files`` is the folder, or a glob for the files, of
+    whatever has landed for a date, and ``daily_file`` is the older layout with
+    one file per date.
     """
 
     root: str
     # Landed layout.
-    hour_file: str = "{date}/hours/{hour}.ndjson"
-    day_folder: str = "{date}/hours"
+    hour_file: str = "{date}/hours/{hour:02d}.ndjson"
+    day_files: str = "{date}/hours"
     daily_file: str = "{date}/events.ndjson"
 
+    @classmethod
+    def archive(cls, root: str) -> Landing:
+        """Layout of the public hourly archives: one flat folder, plain hour numbers."""
+        return cls(root, hour_file="{date}-{hour}.json.gz", day_files="{date}-*.json.gz")
+
     def _at(self, relative: str) -> str:
         return f"{self.root.rstrip('/')}/{relative}"
 
     def hour_path(self, day: DateLike, hour: int) -> str:
         """Path of one hour."""
-        return self._at(self.hour_file.format(date=as_date(day), hour=f"{hour:02d}"))
+        return self._at(self.hour_file.format(date=as_date(day), hour=hour))
 
     def daily_path(self, day: DateLike) -> str:
         """Path of a date in the older one-file layout."""
@@ -63,18 +69,19 @@ class Landing:
         return [self.hour_path(day, hour) for hour in range(start, start + count)]
 
     def day_glob(self, dates: Sequence[DateLike]) -> str:
-        """One glob for the folders of everything that has landed on ``dates``.
+        """One glob for everything that has landed on ``dates``.
 
         A load of a date always takes the whole date, also when the run asked
         for fewer hours.
         """
-        return self._at(self.day_folder.format(date=_either(str(as_date(d)) for d in dates)))
+        return self._at(self.day_files.format(date=_either(str(as_date(d)) for d in dates)))
 
     def _pattern(self) -> str:
         # What follows the hour is left open, so 01.json.gz counts as hour 01.
-        pattern = re.escape(self.hour_file[: self.hour_file.index("{hour}") + len("{hour}")])
-        pattern = pattern.replace(re.escape("{date}"), r"(\d{4}-\d{2}-\d{2})")
-        return "/" + pattern.replace(re.escape("{hour}"), r"(\d{2})(?!\d)")
+        before, after_date = self.hour_file.split("{date}")
+        between = re.split(r"\{hour[^}]*\}", after_date)[0]
+        day, hour = r"(\d{4}-\d{2}-\d{2})", r"(\d{1,2})(?!\d)"
+        return "/" + re.escape(before) + day + re.escape(between) + hour
 
     def hour_of(self, path: str) -> tuple[date, int] | None:
         """Date and hour a landed file belongs to, from its path."""

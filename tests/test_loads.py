@@ -1,11 +1,14 @@
 """Landed files, the raw table and loads that replace dates."""
 
+import gzip
+import json
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import land, raw_frame, raw_row, record
+from tallyhouse.operators.staging import stage_events
 from tallyhouse.plans.daily import load_dates
 from tallyhouse.sources.landing import Landing, days, landed_hours, list_hours, missing_hours
 from tallyhouse.sources.ndjson import (
@@ -50,9 +53,31 @@ def test_layout():
     assert layout.hour_of("x/2024-05-01/hours/notes.txt") is None
 
 
-def test_archive_layout():
-    layout = Landing("a", hour_file="{date}-{hour}.json.gz")
-    assert layout.hour_of("a/2024-05-01-03.json.gz") == (date(2024, 5, 1), 3)
+def test_archive_layout(spark, database, tmp_path):
+    layout = Landing.archive(str(tmp_path))
+    assert layout.hour_path(DAY, 3).endswith("/2024-05-01-3.json.gz")
+    assert layout.hour_of("a/2024-05-01-3.json.gz") == (date(2024, 5, 1), 3)
+    assert layout.hour_of("a/2024-05-01-13.json.gz") == (date(2024, 5, 1), 13)
+    for day, hour in ((DAY, 3), (DAY, 13), (NEXT, 0), ("2024-05-03", 1)):
+        line = json.dumps(record(f"{day}-{hour}", f"{day}T{hour:02d}:00:00")) + "\n"
+        (tmp_path / f"{day}-{hour}.json.gz").write_bytes(gzip.compress(line.encode()))
+    result = load_dates(spark, database, layout, [DAY, NEXT])
+    assert result.rows_by_date == {date(2024, 5, 1): 2, date(2024, 5, 2): 1}
+
+
+def test_one_file_per_date_layout(spark, tmp_path):
+    path = Landing(str(tmp_path)).daily_path(DAY)
+    (tmp_path / DAY).mkdir()
+    (tmp_path / DAY / "events.ndjson").write_text(json.dumps(record("1")) + "\n")
+    assert ids(scan_ndjson(spark, path)) == ["1"]
+
+
+def test_a_stray_loaded_twice_is_staged_once(spark, table):
+    batch = raw_frame(spark, raw_row("1"), raw_row("stray", f"{NEXT}T01:00:00"))
+    for _ in range(2):
+        replace_date(batch, table, DAY)
+    assert spark.table(table).filter("id = 'stray'").count() == 2
+    assert stage_events(spark.table(table)).filter("event_id = 'stray'").count() == 1
 
 
 def test_blank_and_malformed_lines(spark, tmp_path):
