@@ -79,7 +79,7 @@ def landed_files(spark: SparkSession, sf_dir: str, compression: str) -> Landing:
     root = scratch_path(spark, f"landing-{compression}")
     (
         as_lines(raw_events(spark, sf_dir))
-        .repartition("day", "hour")
+        .hint("rebalance", "day", "hour")
         .write.partitionBy("day", "hour")
         .option("compression", compression)
         .text(root)
