@@ -87,12 +87,22 @@ def stage_events(raw: DataFrame, payload: bool = True) -> DataFrame:
 # Deduplication of a stored table without moving the wide rows
 # ---------------------------------------------------------------------------
 
-#: Largest broadcast of duplicate winners, in estimated bytes.
+#: Largest broadcast relation, in bytes.
 WINNER_BROADCAST_BYTES = 256 * 1024 * 1024
 
-#: Upper estimate of one winner in a broadcast relation, without its id text:
-#: a file path, a row position and the hash-map entry.
-_WINNER_ROW_BYTES = 512
+#: Bytes of one broadcast row beside its text: row header, numbers, hash entry.
+_ROW_BYTES = 96
+
+
+def _fits(rows: DataFrame, texts: Sequence[str], limit: int) -> bool:
+    """Whether stored rows make a broadcast of at most ``limit`` bytes.
+
+    Counted on the rows as written, so the size is known and not an estimate of
+    the optimizer.
+    """
+    lengths = sum((F.octet_length(name) for name in texts), F.lit(_ROW_BYTES))
+    size = rows.agg(F.coalesce(F.sum(lengths.cast("long")), F.lit(0))).first()[0]
+    return size <= limit
 
 
 @dataclass(frozen=True)
@@ -139,7 +149,8 @@ def repeated_ids(raw: DataFrame) -> DataFrame:
 def winning_copies(located: DataFrame, ids: DataFrame) -> DataFrame:
     """File and position of the copy to keep, for each of ``ids``.
 
-    A maximum, not a window: copies of a hot id are combined before the shuffle.
+    ``ids`` is broadcast, so callers check its size first.  The best copy is a
+    maximum, not a window: copies of a hot id are combined before the shuffle.
     """
     candidates = located.join(F.broadcast(ids), "id", "left_semi").select(
         *_narrow_columns(), "_file", "_row"
@@ -153,6 +164,12 @@ def winning_copies(located: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def _without_other_copies(located: DataFrame, winners: DataFrame) -> DataFrame:
+    joined = located.join(F.broadcast(winners), located["id"] == winners["_id"], "left")
+    kept = (F.col("_file") == F.col("_keep_file")) & (F.col("_row") == F.col("_keep_row"))
+    return joined.filter(F.col("_id").isNull() | kept)
+
+
 @contextmanager
 def staged_from_files(
     raw: DataFrame, broadcast_bytes: int = WINNER_BROADCAST_BYTES
@@ -161,33 +178,35 @@ def staged_from_files(
 
     Three narrow steps replace the shuffle of whole records: find the repeated
     ids, find where the copy to keep of each lies, then read the table once and
-    skip the other copies against a broadcast of those places.  The number of
-    repeated ids is measured first; when their places would not fit in
-    ``broadcast_bytes`` the window plan of :func:`stage_events` is used.
+    skip the other copies against a broadcast of those places.  Ids and places
+    are stored and measured before they are broadcast; when either is larger
+    than ``broadcast_bytes`` the window plan of :func:`stage_events` is used.
 
     Copies that agree on everything but the payload are told apart by position.
     """
     spark = raw.sparkSession
     scratch: list[str] = []
-    try:
-        ids, path = write_through(repeated_ids(raw), "repeated-ids")
+
+    def stored(rows: DataFrame, purpose: str) -> DataFrame:
+        table, path = write_through(rows, purpose)
         scratch.append(path)
-        count, text = ids.agg(F.count("id"), F.coalesce(F.sum(F.octet_length("id")), F.lit(0))).first()
-        if count * _WINNER_ROW_BYTES + text > broadcast_bytes:
-            yield StoredStaging(stage_events(raw), in_place=False)
-            return
-        located = _located(raw)
-        if count:
-            winners, path = write_through(winning_copies(located, ids), "winning-copies")
-            scratch.append(path)
-            single = F.col("_id").isNull()
-            winner = (F.col("_file") == F.col("_keep_file")) & (F.col("_row") == F.col("_keep_row"))
-            located = located.join(
-                F.broadcast(winners), located["id"] == winners["_id"], "left"
-            ).filter(single | winner)
-        yield StoredStaging(
-            project_rename(located).select(*STAGING_COLUMNS), in_place=True
-        )
+        return table
+
+    def staged() -> StoredStaging:
+        ids = stored(repeated_ids(raw), "repeated-ids")
+        if ids.isEmpty():
+            return StoredStaging(project_rename(required_fields(raw)), in_place=True)
+        if _fits(ids, ["id"], broadcast_bytes):
+            located = _located(raw)
+            winners = stored(winning_copies(located, ids), "winning-copies")
+            if _fits(winners, ["_id", "_keep_file"], broadcast_bytes):
+                single = _without_other_copies(located, winners)
+                return StoredStaging(project_rename(single), in_place=True)
+        return StoredStaging(stage_events(raw), in_place=False)
+
+    try:
+        result = staged()
+        yield StoredStaging(result.rows.select(*STAGING_COLUMNS), result.in_place)
     finally:
         for path in scratch:
             drop_path(spark, path)

@@ -135,8 +135,10 @@ def test_file_based_dedup_equals_the_window(spark, tmp_path):
         assert sorted(map(str, staged.rows.select(*columns).collect())) == expected
         text = plan(staged.rows)
         assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    for limit in (100, 400):  # too small for the ids, then for the places
+        with staged_from_files(raw, broadcast_bytes=limit) as staged:
+            assert not staged.in_place
     with staged_from_files(raw, broadcast_bytes=100) as staged:
-        assert not staged.in_place
         assert sorted(map(str, staged.rows.select(*columns).collect())) == expected
 
 
