@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -210,3 +211,53 @@ def staged_from_files(
     finally:
         for path in scratch:
             drop_path(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# Staging of changed dates only
+# ---------------------------------------------------------------------------
+
+
+def moved_ids(raw: DataFrame, stg: DataFrame, changed: Sequence[date]) -> DataFrame:
+    """Ids that occur both on the dates ``changed`` and on other dates.
+
+    ``raw`` holds the new records and ``stg`` the staging table from before, both
+    with ``event_date``.  An id is on a changed date when a new record there
+    carries it, or when its staged row was there.  Only through these ids can
+    another date gain or lose a staged row.
+
+    Reads ids and dates and keeps two flags per id, combined before the shuffle.
+    """
+    inside = F.col("event_date").isin(*changed)
+    now = required_fields(raw).select("id", inside.alias("inside"))
+    before = stg.filter(inside).select(F.col("event_id").alias("id"), F.lit(True).alias("inside"))
+    per_id = (
+        now.unionByName(before)
+        .groupBy("id")
+        .agg(F.bool_or("inside").alias("here"), F.bool_or(~F.col("inside")).alias("elsewhere"))
+    )
+    return per_id.filter("here AND elsewhere").select("id")
+
+
+def dates_of(raw: DataFrame, ids: DataFrame) -> DataFrame:
+    """Distinct dates of the usable records that carry ``ids``."""
+    return required_fields(raw).join(ids, "id", "left_semi").select("event_date").distinct()
+
+
+def restaged(
+    raw: DataFrame, stg: DataFrame, moved: DataFrame, changed: Sequence[date], others: Sequence[date]
+) -> DataFrame:
+    """New staging rows of the dates ``changed`` and ``others``, with ``event_date``.
+
+    ``moved`` is the stored result of :func:`moved_ids` and ``others`` the other
+    dates of those ids.  Every copy of an id seen on a changed date lies on one
+    of the two, so these ids are deduplicated within them; the other staged rows
+    of ``others`` stay as they are.
+    """
+    day = F.col("event_date")
+    elsewhere = raw.filter(day.isin(*others)).join(moved, "id", "left_semi")
+    fresh = stage_events(raw.filter(day.isin(*changed)).unionByName(elsewhere))
+    stay = stg.filter(day.isin(*others)).join(moved, stg["event_id"] == moved["id"], "left_anti")
+    columns = [*STAGING_COLUMNS, "event_date"]
+    dated = fresh.withColumn("event_date", F.to_date("event_timestamp"))
+    return dated.select(*columns).unionByName(stay.select(*columns))

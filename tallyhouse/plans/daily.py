@@ -18,12 +18,24 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import event_date
 from tallyhouse.operators.marts import MARTS, dated
 from tallyhouse.operators.quality import gate, quality_report
-from tallyhouse.operators.staging import WINNER_BROADCAST_BYTES, staged_from_files
+from tallyhouse.operators.staging import (
+    WINNER_BROADCAST_BYTES,
+    dates_of,
+    moved_ids,
+    restaged,
+    staged_from_files,
+)
 from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING
 from tallyhouse.session import drop_path, write_through
 from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_hours
 from tallyhouse.sources.ndjson import CORRUPT, BadRecordsError, combine_hours
-from tallyhouse.sources.tables import DATE, ensure_table, materialize, replace_dates
+from tallyhouse.sources.tables import (
+    DATE,
+    ensure_table,
+    materialize,
+    overwrite_dates,
+    replace_dates,
+)
 
 RAW = "raw_events"
 STAGING = "stg_events"
@@ -41,6 +53,11 @@ class LoadResult:
     def rows_loaded(self) -> int:
         return sum(self.rows_by_date.values())
 
+    @property
+    def changed_dates(self) -> list[date]:
+        """Dates of the raw table that the load wrote, stray dates included."""
+        return sorted({*self.dates, *self.rows_by_date} - {None})
+
 
 def load_dates(
     spark: SparkSession,
@@ -123,17 +140,56 @@ def rebuild(spark: SparkSession, database: str) -> None:
     gate(quality_report(build_marts(spark, database)))
 
 
+def refresh(spark: SparkSession, database: str, changed: Sequence[DateLike]) -> list[date]:
+    """Bring staging and marts up to date after raw rows of ``changed`` were replaced.
+
+    Same tables as :func:`rebuild`, but whole records are read and written for
+    the changed dates only, and for other dates that hold copies of their ids.
+    Returns the dates rewritten.  Needs tables that were up to date before the
+    change; after a failed run, rebuild instead.
+    """
+    dates = sorted({as_date(d) for d in changed})
+    raw, stg = spark.table(f"{database}.{RAW}"), spark.table(f"{database}.{STAGING}")
+    moved, moved_path = write_through(moved_ids(raw, stg, dates), "moved-ids")
+    paths = [moved_path]
+    try:
+        others = sorted({r[0] for r in dates_of(raw, moved).collect()} - set(dates))
+        rows, path = write_through(restaged(raw, stg, moved, dates, others), "restaged")
+        paths.append(path)
+        rewritten = sorted({*dates, *others})
+        overwrite_dates(rows, f"{database}.{STAGING}", rewritten, CLUSTERING[STAGING])
+    finally:
+        for path in paths:
+            drop_path(spark, path)
+    stg = spark.table(f"{database}.{STAGING}")
+    gate(quality_report({STAGING: stg}))
+    part = stg.filter(F.col(DATE).isin(*rewritten))
+    for name, build in MARTS.items():
+        overwrite_dates(build(part), f"{database}.{name}", rewritten, CLUSTERING[name])
+    gate(quality_report(stored_tables(spark, database)))
+    return rewritten
+
+
 def run_day(
     spark: SparkSession,
     database: str,
     landing: Landing,
     day: DateLike,
     bad_record_limit: int = BAD_RECORD_LIMIT,
+    changed_only: bool = False,
 ) -> LoadResult:
-    """Load one date, then rebuild and check everything that follows from it."""
+    """Load one date, then rebuild and check everything that follows from it.
+
+    ``changed_only`` refreshes the affected dates instead of whole tables, when
+    the tables exist.
+    """
     result = load_dates(spark, database, landing, [day], bad_record_limit)
     if result.dates:
-        rebuild(spark, database)
+        built = all(spark.catalog.tableExists(f"{database}.{t}") for t in (STAGING, *MARTS))
+        if changed_only and built:
+            refresh(spark, database, result.changed_dates)
+        else:
+            rebuild(spark, database)
     return result
 
 

@@ -159,13 +159,32 @@ def materialize(
         placed.sortWithinPartitions(partition_by, *cluster_by)
         .write.mode("overwrite")
         .format("parquet")
-        .option("partitionOverwriteMode", "static")
         .partitionBy(partition_by)
         .saveAsTable(table)
     )
     return df.sparkSession.table(table)
 
 
+def overwrite_dates(
+    df: DataFrame, table: str, dates: Sequence[DateLike], cluster_by: Sequence[str] = ()
+) -> None:
+    """Replace ``dates`` of a stored table with the rows of ``df`` dated so.
+
+    Other dates are not touched; a date without rows ends up empty.  ``df`` must
+    not read the dates it replaces.
+    """
+    spark = df.sparkSession
+    targets = sorted({as_date(d) for d in dates})
+    rows = df.filter(F.col(DATE).isin(*targets))
+    present = {r[0] for r in rows.select(DATE).distinct().collect()}
+    if present:
+        placed = rows.select(*spark.table(table).columns).hint("rebalance", DATE)
+        with _dynamic_overwrite(spark):
+            placed.sortWithinPartitions(DATE, *cluster_by).write.insertInto(table, overwrite=True)
+    for day in set(stored_dates(spark, table)).intersection(targets) - present:
+        _clear(spark, table, day)
+
+
 def retained(df: DataFrame, as_of: DateLike, keep_days: int = RETENTION_DAYS) -> DataFrame:
     """Rows not older than ``keep_days`` before ``as_of``; undated rows stay."""
     oldest = as_date(as_of) - timedelta(keep_days)

@@ -147,3 +147,50 @@ def test_range_loads(spark, tmp_path):
             load_dates(spark, database, Landing(str(root)), every)
             got = spark.table(f"{database}.raw_events").select("id", "event_date").collect()
             assert sorted(map(tuple, got), key=str) == sorted(table, key=str)
+
+
+def test_refresh_equals_rebuild(spark, tmp_path):
+    """Copies move between dates as single dates are replaced again and again."""
+    from acceptance.warehouse import fresh_database
+    from tallyhouse.plans import daily
+
+    rng = random.Random(21)
+    every = [date(2024, 5, 1) + timedelta(n) for n in range(5)]
+    kinds = ["PushEvent", "CreateEvent", "WatchEvent", "ForkEvent", "IssuesEvent"]
+
+    def docs(day, n):
+        for _ in range(n):
+            strayed = rng.choice([day] * 8 + every)
+            when = f"{strayed}T{rng.randrange(24):02d}:{rng.randrange(60):02d}:00"
+            yield record(
+                str(rng.randrange(60)),
+                when,
+                rng.choice(kinds),
+                actor=rng.choice("abc"),
+                repo=rng.choice(["o/go", "o/x"]),
+            )
+
+    def tables(database):
+        return {
+            name: sorted(map(str, df.collect()))
+            for name, df in daily.stored_tables(spark, database).items()
+        }
+
+    root, database = tmp_path / "landed", fresh_database(spark, "refreshed")
+    layout = Landing(str(root))
+    for day in every:
+        land(root, str(day), 0, docs(day, 25))
+        land(root, str(day), 1, [record(f"{day}{k}", f"{day}T00:00:00", k) for k in kinds])
+    load_dates(spark, database, layout, every)
+    daily.rebuild(spark, database)
+    rewritten = []
+    for turn in range(5):
+        day = rng.choice(every)
+        few = [record("only", f"{day}T01:00:00")]
+        land(root, str(day), 0, few if turn == 2 else docs(day, rng.choice([0, 5, 30])))
+        result = load_dates(spark, database, layout, [day])
+        rewritten.append(len(daily.refresh(spark, database, result.changed_dates)))
+        refreshed = tables(database)
+        daily.rebuild(spark, database)
+        assert refreshed == tables(database)
+    assert min(rewritten) < len(every)
