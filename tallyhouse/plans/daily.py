@@ -6,6 +6,7 @@ the same tables, so every function takes the database by name.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -37,6 +38,8 @@ from tallyhouse.sources.tables import (
     replace_dates,
 )
 
+log = logging.getLogger(__name__)
+
 RAW = "raw_events"
 STAGING = "stg_events"
 
@@ -77,6 +80,7 @@ def load_dates(
     ensure_table(spark, f"{database}.{RAW}")
     present = sorted({day for day, _ in list_hours(spark, landing, wanted)})
     if not present:
+        log.warning("%s: nothing has landed for %s", database, ", ".join(map(str, wanted)))
         return LoadResult()
     scan = combine_hours(spark, landing, present, keep_corrupt=True)
     parsed, path = write_through(
@@ -91,7 +95,9 @@ def load_dates(
         rows = replace_dates(good, f"{database}.{RAW}", present)
     finally:
         drop_path(spark, path)
-    return LoadResult(present, landing.day_glob(present), rows)
+    result = LoadResult(present, landing.day_glob(present), rows)
+    log.info("%s: loaded %d rows from %s", database, result.rows_loaded, result.source)
+    return result
 
 
 def build_staging(
@@ -161,6 +167,7 @@ def refresh(spark: SparkSession, database: str, changed: Sequence[DateLike]) ->
     finally:
         for path in paths:
             drop_path(spark, path)
+    log.info("%s: rewrote %d dates of staging", database, len(rewritten))
     stg = spark.table(f"{database}.{STAGING}")
     gate(quality_report({STAGING: stg}))
     part = stg.filter(F.col(DATE).isin(*rewritten))

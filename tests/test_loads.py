@@ -89,7 +89,8 @@ def test_blank_and_malformed_lines(spark, tmp_path):
 
 
 def test_wrong_types_are_malformed(spark, tmp_path):
-    land(tmp_path, DAY, 0, [record("1"), {**record("2"), "public": "maybe"}, {**record("3"), "created_at": "soon"}])
+    wrong = [{**record("2"), "public": "maybe"}, {**record("3"), "created_at": "soon"}]
+    land(tmp_path, DAY, 0, [record("1"), *wrong])
     scan = scan_ndjson(spark, Landing(str(tmp_path)).hour_path(DAY, 0), keep_corrupt=True)
     assert ids(bad_record_budget(scan)) == ["1"]
     with pytest.raises(BadRecordsError):
