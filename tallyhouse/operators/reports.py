@@ -29,6 +29,12 @@ def date_range_filter(
     return df.filter(F.col(column).between(F.lit(first), F.lit(last)))
 
 
+def _mart_rows(mart: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+    # Stored tables have their partition column last; reports show the date first.
+    rows = date_range_filter(mart, start, end)
+    return rows.select("event_date", *[c for c in rows.columns if c != "event_date"])
+
+
 def date_bounds(raw: DataFrame, default: DateLike | None = None) -> DataFrame:
     """First and last date of the raw records; ``default`` (today) when there are none."""
     day = F.col("event_date") if "event_date" in raw.columns else event_date("created_at")
@@ -41,21 +47,21 @@ def date_bounds(raw: DataFrame, default: DateLike | None = None) -> DataFrame:
 
 def type_range(by_type: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Type mart of a date range, busiest type of each date first."""
-    return date_range_filter(by_type, start, end).orderBy(
+    return _mart_rows(by_type, start, end).orderBy(
         "event_date", F.desc("event_count"), "event_type"
     )
 
 
 def hour_range(by_hour: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Hour mart of a date range in time order."""
-    return date_range_filter(by_hour, start, end).orderBy("event_date", "hour_of_day")
+    return _mart_rows(by_hour, start, end).orderBy("event_date", "hour_of_day")
 
 
 def top_repo_days(
     repos: DataFrame, start: DateLike, end: DateLike, n: int = TOP_REPO_DAYS
 ) -> DataFrame:
     """The ``n`` busiest (date, repository) rows of a range."""
-    ranked = date_range_filter(repos, start, end).orderBy(
+    ranked = _mart_rows(repos, start, end).orderBy(
         F.desc("total_events"), "event_date", "repo_name"
     )
     return ranked.limit(n)
