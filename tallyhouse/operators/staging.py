@@ -245,7 +245,11 @@ def dates_of(raw: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def restaged(
-    raw: DataFrame, stg: DataFrame, moved: DataFrame, changed: Sequence[date], others: Sequence[date]
+    raw: DataFrame,
+    stg: DataFrame,
+    moved: DataFrame,
+    changed: Sequence[date],
+    others: Sequence[date],
 ) -> DataFrame:
     """New staging rows of the dates ``changed`` and ``others``, with ``event_date``.
 

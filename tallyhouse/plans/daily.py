@@ -26,13 +26,14 @@ from tallyhouse.operators.staging import (
     restaged,
     staged_from_files,
 )
-from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING
+from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING, RETENTION_DAYS
 from tallyhouse.session import drop_path, write_through
 from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_hours
 from tallyhouse.sources.ndjson import CORRUPT, BadRecordsError, combine_hours
 from tallyhouse.sources.tables import (
     DATE,
     ensure_table,
+    expire_partitions,
     materialize,
     overwrite_dates,
     replace_dates,
@@ -83,9 +84,7 @@ def load_dates(
         log.warning("%s: nothing has landed for %s", database, ", ".join(map(str, wanted)))
         return LoadResult()
     scan = combine_hours(spark, landing, present, keep_corrupt=True)
-    parsed, path = write_through(
-        scan.withColumn(DATE, event_date("created_at")), "parsed-hours"
-    )
+    parsed, path = write_through(scan.withColumn(DATE, event_date("created_at")), "parsed-hours")
     try:
         bad = parsed.filter(F.col(CORRUPT).isNotNull()).groupBy("file_date").count()
         for day, count in bad.collect():
@@ -224,3 +223,14 @@ def backfill(
     if any(result.dates for result in results):
         rebuild(spark, database)
     return results
+
+
+def expire(
+    spark: SparkSession, database: str, as_of: DateLike, keep_days: int = RETENTION_DAYS
+) -> dict[str, list[date]]:
+    """Drop dates older than ``keep_days`` before ``as_of`` from every stored table."""
+    return {
+        name: expire_partitions(spark, f"{database}.{name}", as_of, keep_days)
+        for name in (RAW, STAGING, *MARTS)
+        if spark.catalog.tableExists(f"{database}.{name}")
+    }

@@ -43,9 +43,8 @@ def _clear(spark: SparkSession, table: str, day: date) -> None:
         for f in spark.table(table).schema.fields
         if f.name != DATE
     )
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({DATE} = DATE'{day}') SELECT {values} WHERE false"
-    )
+    target = f"{table} PARTITION ({DATE} = DATE'{day}')"
+    spark.sql(f"INSERT OVERWRITE TABLE {target} SELECT {values} WHERE false")
 
 
 def delete_date(spark: SparkSession, table: str, day: DateLike) -> int:
@@ -78,7 +77,9 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def replace_dates(batch: DataFrame, table: str, dates: Sequence[DateLike]) -> dict[date | None, int]:
+def replace_dates(
+    batch: DataFrame, table: str, dates: Sequence[DateLike]
+) -> dict[date | None, int]:
     """Load ``batch`` as if each of ``dates`` had been loaded in turn.
 
     Loading a date deletes its rows and then appends the date's whole file set,

@@ -224,6 +224,21 @@ def test_changed_only_runs_equal_full_ones(spark, tmp_path):
     assert [(str(r.event_date), r.event_type) for r in kept] == [(span[0], "PushEvent")]
 
 
+def test_retention_covers_every_table(spark, database, tmp_path):
+    span = ["2024-05-01", "2024-05-02", "2024-05-03"]
+    for day in span:
+        land_day(tmp_path, day, hours=[3])
+    daily.backfill(spark, database, Landing(str(tmp_path)), span[0], span[-1])
+    dropped = daily.expire(spark, database, span[-1], keep_days=1)
+    assert len(dropped) == 6
+    assert {tuple(map(str, days)) for days in dropped.values()} == {(span[0],)}
+    for name, table in daily.stored_tables(spark, database).items():
+        assert {str(r.event_date) for r in table.collect()} == set(span[1:]), name
+    before = snapshot(spark, database)
+    daily.rebuild(spark, database)
+    assert snapshot(spark, database) == before
+
+
 def test_staging_rows_keep_their_files(spark, database, tmp_path):
     """The stored path writes staging without a shuffle of whole records."""
     land_day(tmp_path, "2024-05-01", hours=range(4))
