@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from functools import wraps
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +27,15 @@ LAST_DAY = "2024-01-31"
 def once_per_session(make: Callable) -> Callable:
     """Remember a result per Spark application, data folder and arguments."""
     made: dict = {}
+    lock = Lock()
 
     @wraps(make)
     def remembered(spark: SparkSession, sf_dir: str, *args):
         key = (spark.sparkContext.applicationId, sf_dir, *args)
-        if key not in made:
-            made[key] = make(spark, sf_dir, *args)
-        return made[key]
+        with lock:
+            if key not in made:
+                made[key] = make(spark, sf_dir, *args)
+            return made[key]
 
     return remembered
 
@@ -91,10 +94,8 @@ def stored_raw(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """A database of its own with every record in its raw table."""
     database = fresh_database(spark, purpose)
     ensure_table(spark, f"{database}.raw_events")
-    raw = raw_events(spark, sf_dir)
-    raw.withColumn("event_date", F.to_date("created_at")).hint("rebalance", "event_date").write.insertInto(
-        f"{database}.raw_events"
-    )
+    raw = raw_events(spark, sf_dir).withColumn("event_date", F.to_date("created_at"))
+    raw.hint("rebalance", "event_date").write.insertInto(f"{database}.raw_events")
     return database
 
 

@@ -1,6 +1,7 @@
 """Landed files, the raw table and loads that replace dates."""
 
 import gzip
+import itertools
 import json
 from datetime import date
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import land, raw_frame, raw_row, record
+from tallyhouse.operators.hours import hour_window_for_interval
 from tallyhouse.operators.staging import stage_events
 from tallyhouse.plans.daily import load_dates
 from tallyhouse.sources.landing import Landing, days, landed_hours, list_hours, missing_hours
@@ -124,6 +126,22 @@ def test_combining_skips_absent_hours_and_days(spark, tmp_path):
     assert combine_hours(spark, layout, [NEXT]).count() == 0
 
 
+def test_parsing_moves_nothing(spark, tmp_path):
+    for day, hour in itertools.product((DAY, NEXT), (0, 1)):
+        land(tmp_path, day, hour, [record("1")])
+    scan = combine_hours(spark, Landing(str(tmp_path)), [DAY, NEXT], keep_corrupt=True)
+    assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_instant_filters_reach_the_scan(spark, table):
+    fill(spark, table, raw_row("1", f"{DAY}T05:00:00"), raw_row("2", f"{NEXT}T05:00:00"))
+    rows = hour_window_for_interval(spark.table(table), f"{DAY}T04:00:00Z", f"{DAY}T06:00:00Z")
+    assert ids(rows) == ["1"]
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text
+    assert "GreaterThanOrEqual(created_at" in text and "LessThan(created_at" in text
+
+
 def test_record_counts(spark, tmp_path):
     land(tmp_path, DAY, 0, [record("1"), record("2")], extra_lines=["", " "])
     land(tmp_path, DAY, 3, [record("3")], suffix="json.gz")

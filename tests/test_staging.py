@@ -4,7 +4,14 @@ from pyspark.sql import functions as F
 
 from helpers import plan, raw_frame, raw_row
 from tallyhouse.functions import infer_language, json_texts, last_path_part, short_repo_label, split_repo
-from tallyhouse.operators.staging import dedup_latest, stage_events, staged_from_files
+from tallyhouse.operators.staging import (
+    _located,
+    dedup_latest,
+    repeated_ids,
+    stage_events,
+    staged_from_files,
+    winning_copies,
+)
 from tallyhouse.schemas import RAW_SCHEMA, STAGING_COLUMNS
 
 
@@ -142,6 +149,20 @@ def test_file_based_dedup_equals_the_window(spark, tmp_path):
         assert sorted(map(str, staged.rows.select(*columns).collect())) == expected
 
 
+def test_narrow_steps_read_narrow_columns(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    many_copies(spark).write.parquet(path)
+    raw = spark.read.schema(RAW_SCHEMA).parquet(path)
+
+    def scanned(df):
+        return df._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1:]
+
+    for schema in scanned(repeated_ids(raw)):
+        assert schema.splitlines()[0] == "struct<id:string,type:string,created_at:timestamp>"
+    ids = repeated_ids(raw)
+    assert not any("payload" in s.splitlines()[0] for s in scanned(winning_copies(_located(raw), ids)))
+
+
 def test_identical_copies_leave_one(spark, tmp_path):
     path = str(tmp_path / "raw")
     row = raw_row("1", payload='{"a":1}')
