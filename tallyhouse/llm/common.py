@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +69,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@lru_cache(maxsize=8)
+def _shipped(application: str) -> str:
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="tallyhouse-")) / "tallyhouse-package.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(Path(package.name) / file.relative_to(package)))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions that run there."""
+    path = _shipped(spark.sparkContext.applicationId)
+    if path not in _SENT:
+        spark.sparkContext.addPyFile(path)
+        _SENT.add(path)
+
+
+_SENT: set[str] = set()
+
+
 __all__ = [
     "BROADCAST_BYTES", "SPACE", "SPACE_CHARS", "WORD", "documents", "let", "partitions",
-    "scratch_path", "small", "stored", "text_or_empty", "uniform", "words_of",
+    "scratch_path", "ship", "small", "stored", "text_or_empty", "uniform", "words_of",
 ]
