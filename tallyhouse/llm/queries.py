@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, neardup, quality, urls
+from tallyhouse.llm import mixing, neardup, quality, substring, urls
 from tallyhouse.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op7_url_filters": urls.url_report,
     "op8_quality_rules": lambda spark, d: quality.quality_report(documents(spark, d)),
+    "op6_substring_dedup": lambda spark, d: substring.removal_report(documents(spark, d)),
     "op9_minhash_near_dedup": lambda spark, d: neardup.class_report(documents(spark, d)),
     "op10_mixing": lambda spark, d: mixing.mix_report(documents(spark, d)),
 }
