@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, neardup, quality, substring, urls
+from tallyhouse.llm import mixing, neardup, packing, quality, substring, tokenids, urls
 from tallyhouse.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op3_token_ids": lambda spark, d: tokenids.token_report(documents(spark, d)),
+    "op5_best_fit_packing": lambda spark, d: packing.pack_documents(documents(spark, d)),
     "op7_url_filters": urls.url_report,
     "op8_quality_rules": lambda spark, d: quality.quality_report(documents(spark, d)),
     "op6_substring_dedup": lambda spark, d: substring.removal_report(documents(spark, d)),
