@@ -21,8 +21,9 @@ from tallyhouse.llm.tokens import encoded_batches, public_tokenizer
 
 #: Tokens of a sequence.
 LENGTH = 2048
-#: Open sequences of a task.
-OPEN = 512
+#: Open sequences of a task, and pieces it meets in one round.
+OPEN = 4096
+ROUND = 4096
 #: Tokens packed by one task, about.
 TASK_TOKENS = 64_000_000
 #: Id after each document.
@@ -134,16 +135,20 @@ def pack_pieces(
 
     ``pieces`` is a stored table.  Pieces are dealt at random by their values and
     met in an order that depends on their values alone, so a task that is run
-    again packs the same way.  Each task closes its own sequences: with about
-    ``task_tokens`` tokens each, the open ones at its end weigh little.
+    again packs the same way.  They come in rounds of about ``ROUND``, the long
+    ones of a round first, so that its short ones fill what the long ones left.
+    Each task closes its own sequences: with about ``task_tokens`` tokens each,
+    the open ones at its end weigh little.
     """
-    total = pieces.agg(F.sum("length")).first()[0] or 0
+    total, count = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     tasks = max(1, total // task_tokens)
+    rounds = max(1, count // (tasks * ROUND))
     order = F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(11))
     dealt = pieces.withColumn("__order", order)
     placed = dealt.repartition(tasks, F.xxhash64("__order", F.lit(13))).sortWithinPartitions(
-        "__order", "doc_id", "piece"
-    )
+        F.pmod(F.xxhash64("__order", F.lit(17)), F.lit(rounds)),
+        F.col("length").desc(), "__order", "doc_id", "piece",
+    )
     schema = f"{_PIECES}, sequence_id long, offset long"
     return placed.drop("__order").mapInArrow(_packing(length, bound), schema)
 

@@ -6,13 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, neardup, packing, quality, substring, tokenids, urls
+from tallyhouse.llm import (
+    lmscore,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    simhash,
+    substring,
+    tokenids,
+    toxicity,
+    urls,
+)
 from tallyhouse.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity_report(documents(spark, sf_dir), labels)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": toxicity_query,
+    "op2_fingerprints": lambda spark, d: simhash.fingerprint_report(documents(spark, d)),
     "op3_token_ids": lambda spark, d: tokenids.token_report(documents(spark, d)),
+    "op4_lm_scoring": lambda spark, d: lmscore.score_documents(documents(spark, d)),
     "op5_best_fit_packing": lambda spark, d: packing.pack_documents(documents(spark, d)),
     "op7_url_filters": urls.url_report,
     "op8_quality_rules": lambda spark, d: quality.quality_report(documents(spark, d)),
