@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, quality
+from tallyhouse.llm import mixing, neardup, packing, quality, substring
 from tallyhouse.llm.common import documents, stored
 
 
@@ -13,14 +13,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_quality(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return neardup.keep_one_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier one has; emptied ones stay, empty."""
+    return substring.drop_repeats(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight wants it."""
     return mixing.keep_mix(docs)
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents and their places in sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
     ("source_mix", source_mix),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: The rounding of the mix and the tokenizer of the packing are not SQL.
