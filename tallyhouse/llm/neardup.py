@@ -98,7 +98,7 @@ def registers(
         turn = 0
         while len(who):
             turn += 1
-            bits = mixed(what + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15))
+            bits = mixed(what + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64)))
             when = when - np.log(_unit(bits)) / rate
             early = when <= horizon[who]
             who, what, rate, when, bits = (x[early] for x in (who, what, rate, when, bits))

@@ -19,6 +19,7 @@ from tallyhouse.llm import (
     urls,
 )
 from tallyhouse.llm.common import documents
+from tallyhouse.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,4 +43,4 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": lambda spark, d: mixing.mix_report(documents(spark, d)),
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import partitions, ship, stored, text_or_empty
+from tallyhouse.llm.common import partitions, ship, text_or_empty
 from tallyhouse.llm.wordhash import counted, filled, slices, split_words, text_hash, window_hashes
 
 #: Words of the windows asked for.
@@ -76,6 +76,8 @@ def _table(rows: list[tuple]) -> pa.Table:
 def _to_shards(block: int, shards: int, columns: list[np.ndarray]) -> pa.Table:
     """One message for each shard that has some of a block's hashes."""
     packer = zstandard.ZstdCompressor(level=1)
+    if not len(columns[0]):
+        return _table([])
     shard = columns[0] // -(-(1 << 63) // shards)
     edges = np.flatnonzero(np.diff(shard, prepend=-1, append=shards))
     return _table(
@@ -165,6 +167,8 @@ def _by_hash(hashes: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
 
     ``ids`` must not descend.
     """
+    if not len(hashes):
+        return [np.empty(0, np.int64)] * 3
     order = np.argsort(hashes, kind="stable")
     hashes, ids = hashes[order], ids[order]
     first = np.flatnonzero(np.diff(hashes, prepend=-1))
@@ -198,7 +202,7 @@ def _candidates(words: _Words, levels: list[tuple[int, int]], heard: list[pa.Tab
     return at, doc, least
 
 
-def _asking(levels: list[tuple[int, int]], shards: int) -> Callable:
+def _asking(levels: list[tuple[int, int]], shards: int, last: bool) -> Callable:
     """Messages of a block about its candidates of the last of ``levels``."""
     length, bits = levels[-1]
 
@@ -208,6 +212,9 @@ def _asking(levels: list[tuple[int, int]], shards: int) -> Callable:
         words = _Words(documents)
         at, doc, _ = _candidates(words, levels, heard)
         columns = _by_hash(words.windows(length, at, bits), words.ids[doc])
+        if not last:
+            # Ids are looked at for the windows asked for only.
+            columns[1][:] = 0
         return _to_shards(documents["block"][0].as_py(), shards, columns)
 
     return ask
@@ -317,11 +324,12 @@ def _deduplicated(docs: DataFrame, columns: list, body: Callable, schema: str, w
         text_or_empty().alias("text"),
         F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"),
     )
+    # One plan for all levels: the texts are dealt out once and each level reads that
+    # exchange again.
     answers: list[DataFrame] = []
     for level in range(len(levels)):
-        asked = _exchange(dealt, answers, _asking(levels[: level + 1], blocks), _MESSAGE)
-        answered = asked.groupBy("shard").applyInArrow(_answers, _MESSAGE)
-        answers.append(stored(answered, f"repeats-{lengths[level]}"))
+        asked = _exchange(dealt, answers, _asking(levels[: level + 1], blocks, lengths[level] == window), _MESSAGE)
+        answers.append(asked.groupBy("shard").applyInArrow(_answers, _MESSAGE))
     return _exchange(dealt, answers, body(levels), schema)
 
 
