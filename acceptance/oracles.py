@@ -116,7 +116,7 @@ FROM raw"""
 COUNTS_BY_DATE = "SELECT CAST(created_at AS DATE) AS event_date, count(*) AS raw_rows FROM raw"
 GRID = """
 SELECT CAST(d AS DATE) AS event_date, CAST(h AS INTEGER) AS hour_of_day
-FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) AS g(d),
+FROM generate_series((SELECT date_trunc('day', min(created_at)) FROM raw), (SELECT date_trunc('day', max(created_at)) FROM raw), INTERVAL 1 DAY) AS g(d),
      range(24) AS r(h)
 WHERE NOT EXISTS (SELECT 1 FROM raw WHERE CAST(created_at AS DATE) = CAST(d AS DATE)
                   AND hour(created_at) = h)"""
@@ -235,7 +235,8 @@ TWINS: dict[str, str] = {
         CAST(hour(created_at) AS INTEGER) AS hour_of_day,
         'raw/' || strftime(created_at, '%Y-%m-%d/hours/%H') || '.ndjson' AS hour_path,
         'raw/' || strftime(created_at, '%Y-%m-%d') || '/events.ndjson' AS daily_path FROM raw""",
-    "bad_record_budget": f"SELECT {RAW_COLUMNS} FROM raw WHERE id IS NOT NULL",
+    "bad_record_budget": f"""SELECT {RAW_COLUMNS} FROM raw
+        WHERE NOT (id IS NULL AND CAST(created_at AS DATE) = {TARGET} AND hour(created_at) = 5)""",
     "count_records": """SELECT CAST(created_at AS DATE) AS event_date,
         CAST(hour(created_at) AS INTEGER) AS hour_of_day, count(*) AS records FROM raw GROUP BY ALL""",
     "combine_hours": """SELECT CAST(created_at AS DATE) AS file_date, count(*) AS records,
@@ -252,8 +253,10 @@ TWINS: dict[str, str] = {
         UNION ALL {DATED_RAW} WHERE CAST(created_at AS DATE) = {STRAY} AND public""",
     "materialize": "SELECT * FROM repo_days",
     "backfill": DATED_RAW,
-    "expire_partitions": f"{COUNTS_BY_DATE} WHERE created_at >= DATE '2024-01-31' - 20 GROUP BY ALL",
-    "retained": f"{COUNTS_BY_DATE} WHERE created_at >= DATE '2024-01-31' - 20 GROUP BY ALL",
+    "backfill_mixed_names": DATED_RAW,
+    "expire_landed": f"{COUNTS_BY_DATE} WHERE created_at >= (SELECT max(CAST(created_at AS DATE)) FROM raw) - 20 GROUP BY ALL",
+    "expire_partitions": f"{COUNTS_BY_DATE} WHERE created_at >= (SELECT max(CAST(created_at AS DATE)) FROM raw) - 20 GROUP BY ALL",
+    "retained": f"{COUNTS_BY_DATE} WHERE created_at >= (SELECT max(CAST(created_at AS DATE)) FROM raw) - 20 GROUP BY ALL",
     "raw_row_counts": f"{COUNTS_BY_DATE} GROUP BY ALL",
     # staging
     "required_fields": f"""SELECT {RAW_COLUMNS} FROM raw
@@ -268,6 +271,7 @@ TWINS: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC, type DESC, actor DESC) = 1""",
     "stg_events": STAGED,
     "stg_from_files": STORED_STAGED,
+    "stg_from_files_small_bound": STORED_STAGED,
     # marts
     "events_by_type": "SELECT * FROM by_type",
     "events_by_hour": "SELECT * FROM by_hour",
@@ -339,7 +343,8 @@ TWINS: dict[str, str] = {
         UNPIVOT (event_count FOR measure IN (pushes, stars, forks, pull_requests, issues))""",
     "repo_treemap": """SELECT string_split(repo_name, '/')[-1] AS label,
         CAST(sum(total_events) AS BIGINT) AS total_events,
-        round(sum(unique_contributors * total_events) / sum(total_events), 9) AS contributors
+        round(sum(unique_contributors * total_events) / sum(total_events), 9) AS contributors,
+        CAST(sum(pushes) AS BIGINT) AS pushes, CAST(sum(stars) AS BIGINT) AS stars
         FROM placed WHERE place <= 40 GROUP BY 1""",
     "language_totals": "SELECT * FROM language_sums",
     "dominant_language": _share("repo_language", "push_count", "language_sums"),

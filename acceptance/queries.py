@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -10,11 +11,11 @@ from pyspark.sql import functions as F
 
 from acceptance.fixture import raw_events
 from acceptance.warehouse import (
-    FIRST_DAY,
-    LAST_DAY,
     as_lines,
     fresh_database,
+    day_bounds,
     landed_files,
+    mixed_files,
     stored_raw,
     warehouse,
 )
@@ -80,11 +81,19 @@ class Derived:
 
     @cached_property
     def languages(self) -> DataFrame:
-        return reports.language_range(self.trends, FIRST_DAY, LAST_DAY)
+        return reports.language_range(self.trends, self.first_day, self.last_day)
 
     @cached_property
     def rollup(self) -> DataFrame:
-        return analytics.repo_rollup(reports.top_repo_days(self.repos, FIRST_DAY, LAST_DAY))
+        return analytics.repo_rollup(reports.top_repo_days(self.repos, self.first_day, self.last_day))
+
+    @cached_property
+    def first_day(self) -> str:
+        return day_bounds(self.spark, self.sf_dir)[0]
+
+    @cached_property
+    def last_day(self) -> str:
+        return day_bounds(self.spark, self.sf_dir)[1]
 
     @property
     def landed(self) -> landing.Landing:
@@ -92,7 +101,7 @@ class Derived:
 
     @property
     def all_days(self) -> list:
-        return landing.days(FIRST_DAY, LAST_DAY)
+        return landing.days(self.first_day, self.last_day)
 
 
 def zoneless(df: DataFrame) -> DataFrame:
@@ -126,14 +135,18 @@ def hour_paths(d: Derived) -> DataFrame:
 
 
 def bad_record_budget(d: Derived) -> DataFrame:
-    """Records without an id are cut short on landing, which makes them malformed."""
+    """Records without an id of one hour are cut short on landing, which makes them malformed."""
     path = scratch_path(d.spark, "malformed")
     lines = as_lines(d.raw)
-    broken = F.col("value").startswith('{"id":null')
+    broken = (
+        F.col("value").startswith('{"id":null')
+        & (F.col("day") == F.lit(TARGET_DAY).cast("date"))
+        & (F.col("hour") == F.lit("05"))
+    )
     cut = F.expr("left(value, length(value) - 9)")
     lines.select(F.when(broken, cut).otherwise(F.col("value")).alias("value")).write.text(path)
     scan = ndjson.scan_ndjson(d.spark, path, keep_corrupt=True)
-    return ndjson.bad_record_budget(scan, limit=10**9)
+    return ndjson.bad_record_budget(scan)
 
 
 def combine_hours(d: Derived) -> DataFrame:
@@ -147,12 +160,12 @@ def missing_hours(d: Derived) -> DataFrame:
     landed = d.raw.select(
         event_date("created_at").alias("event_date"), hour_of_day("created_at").alias("hour_of_day")
     )
-    return landing.missing_hours(landed, FIRST_DAY, LAST_DAY)
+    return landing.missing_hours(landed, d.first_day, d.last_day)
 
 
 def missing_files(d: Derived) -> DataFrame:
     landed = landing.landed_hours(d.spark, d.landed, d.all_days)
-    return landing.missing_hours(landed, FIRST_DAY, LAST_DAY)
+    return landing.missing_hours(landed, d.first_day, d.last_day)
 
 
 def ensure_table(d: Derived) -> DataFrame:
@@ -191,15 +204,31 @@ def backfill(d: Derived) -> DataFrame:
     return d.spark.table(f"{database}.raw_events")
 
 
+def backfill_mixed_names(d: Derived) -> DataFrame:
+    """A range load of dates whose files are partly named by hours and partly not."""
+    database = fresh_database(d.spark, "mixed")
+    files = mixed_files(d.spark, d.sf_dir)
+    daily.load_dates(d.spark, database, files, d.all_days, bad_record_limit=0)
+    return d.spark.table(f"{database}.raw_events")
+
+
+def expire_landed(d: Derived) -> DataFrame:
+    """Files that retention leaves; the landing is one of its own."""
+    files = mixed_files.anew(d.spark, d.sf_dir)
+    landing.expire_landed(d.spark, files, d.last_day, KEEP_DAYS)
+    left = ndjson.combine_hours(d.spark, files, landing.list_dates(d.spark, files, ["*"]))
+    return left.groupBy(F.col("file_date").alias("event_date")).agg(F.count(F.lit(1)).alias("raw_rows"))
+
+
 def expire_partitions(d: Derived) -> DataFrame:
     table = f"{stored_raw(d.spark, d.sf_dir, 'expired')}.raw_events"
-    tables.expire_partitions(d.spark, table, LAST_DAY, KEEP_DAYS)
+    tables.expire_partitions(d.spark, table, d.last_day, KEEP_DAYS)
     return tables.raw_row_counts(d.spark.table(table))
 
 
 def retained(d: Derived) -> DataFrame:
     dated = d.raw.withColumn("event_date", event_date("created_at"))
-    return tables.raw_row_counts(tables.retained(dated, LAST_DAY, KEEP_DAYS))
+    return tables.raw_row_counts(tables.retained(dated, d.last_day, KEEP_DAYS))
 
 
 SOURCES = {
@@ -220,6 +249,8 @@ SOURCES = {
     "replace_date": lambda d: zoneless(replace_date(d)),
     "materialize": materialize,
     "backfill": lambda d: zoneless(backfill(d)),
+    "backfill_mixed_names": lambda d: zoneless(backfill_mixed_names(d)),
+    "expire_landed": expire_landed,
     "expire_partitions": expire_partitions,
     "retained": retained,
     "raw_row_counts": lambda d: tables.raw_row_counts(d.raw),
@@ -254,9 +285,9 @@ def casts(d: Derived) -> DataFrame:
     return staging.project_rename(texts)
 
 
-def stg_from_files(d: Derived) -> DataFrame:
+def stg_from_files(d: Derived, **bound) -> DataFrame:
     database = stored_raw(d.spark, d.sf_dir, "staged")
-    return daily.build_staging(d.spark, database)
+    return daily.build_staging(d.spark, database, **bound)
 
 
 STAGING = {
@@ -273,6 +304,7 @@ STAGING = {
     ),
     "stg_events": lambda d: zoneless(staging.stage_events(d.raw)),
     "stg_from_files": lambda d: zoneless(stg_from_files(d)),
+    "stg_from_files_small_bound": lambda d: zoneless(stg_from_files(d, broadcast_bytes=1000)),
 }
 
 
@@ -320,13 +352,13 @@ MARTS = {
 
 REPORTS = {
     "date_bounds": lambda d: reports.date_bounds(d.raw),
-    "type_range": lambda d: reports.type_range(d.by_type, FIRST_DAY, LAST_DAY),
-    "hour_range": lambda d: reports.hour_range(d.by_hour, FIRST_DAY, LAST_DAY),
-    "top_repo_days": lambda d: reports.top_repo_days(d.repos, FIRST_DAY, LAST_DAY),
+    "type_range": lambda d: reports.type_range(d.by_type, d.first_day, d.last_day),
+    "hour_range": lambda d: reports.hour_range(d.by_hour, d.first_day, d.last_day),
+    "top_repo_days": lambda d: reports.top_repo_days(d.repos, d.first_day, d.last_day),
     "language_range": lambda d: d.languages,
-    "kpi_totals": lambda d: reports.kpi_totals(d.by_type, FIRST_DAY, LAST_DAY),
-    "kpi_uniques": lambda d: reports.kpi_uniques(d.stg, FIRST_DAY, LAST_DAY),
-    "kpis": lambda d: reports.kpis(d.by_type, d.stg, FIRST_DAY, LAST_DAY),
+    "kpi_totals": lambda d: reports.kpi_totals(d.by_type, d.first_day, d.last_day),
+    "kpi_uniques": lambda d: reports.kpi_uniques(d.stg, d.first_day, d.last_day),
+    "kpis": lambda d: reports.kpis(d.by_type, d.stg, d.first_day, d.last_day),
     "pipeline_status": lambda d: reports.pipeline_status(d.raw),
     "date_range_filter": lambda d: reports.date_range_filter(d.repos, *WEEK),
 }
@@ -387,8 +419,9 @@ def on_stored(table: str, rule: quality.Check) -> Callable[[Derived], DataFrame]
 
 
 def check_sql(d: Derived) -> DataFrame:
-    d.stg.createOrReplaceTempView("check_sql_stg")
-    query = "SELECT count(*) FROM check_sql_stg WHERE repo_name IS NULL"
+    view = f"check_sql_stg_{uuid.uuid4().hex[:12]}"
+    d.stg.createOrReplaceTempView(view)
+    query = f"SELECT count(*) FROM {view} WHERE repo_name IS NULL"
     return quality.check_sql(d.spark, query, 0, "events name a repository")
 
 

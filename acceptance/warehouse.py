@@ -20,9 +20,6 @@ from tallyhouse.session import scratch_path, shared_dir
 from tallyhouse.sources.landing import Landing
 from tallyhouse.sources.tables import ensure_table
 
-FIRST_DAY = "2024-01-01"
-LAST_DAY = "2024-01-31"
-
 
 def once_per_session(make: Callable) -> Callable:
     """Remember a result per Spark application, data folder and arguments."""
@@ -37,9 +34,18 @@ def once_per_session(make: Callable) -> Callable:
                 made[key] = make(spark, sf_dir, *args)
             return made[key]
 
+    remembered.anew = make
     return remembered
 
 
+@once_per_session
+def day_bounds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last date of the derived records."""
+    day = F.to_date("created_at")
+    first, last = raw_events(spark, sf_dir).agg(F.min(day), F.max(day)).first()
+    return str(first), str(last)
+
+
 def fresh_database(spark: SparkSession, purpose: str) -> str:
     """A new database whose managed tables lie in the shared folder."""
     name = f"{purpose}_{uuid.uuid4().hex[:12]}"
@@ -90,6 +96,17 @@ def landed_files(spark: SparkSession, sf_dir: str, compression: str) -> Landing:
     return Landing(root, hour_file="day={date}/hour={hour:02d}", day_files="day={date}")
 
 
+@once_per_session
+def mixed_files(spark: SparkSession, sf_dir: str) -> Landing:
+    """All records as files, those of even hours in folders of hours and the others beside them."""
+    root = scratch_path(spark, "landing-mixed")
+    lines = as_lines(raw_events(spark, sf_dir)).hint("rebalance", "day")
+    even = F.col("hour").cast("int") % 2 == 0
+    lines.filter(even).write.partitionBy("day", "hour").text(root)
+    lines.filter(~even).drop("hour").write.mode("append").partitionBy("day").text(root)
+    return Landing(root, hour_file="day={date}/hour={hour:02d}", day_files="day={date}")
+
+
 def stored_raw(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """A database of its own with every record in its raw table."""
     database = fresh_database(spark, purpose)

@@ -17,14 +17,20 @@ def _col(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _unix_hours(timestamp: ColumnLike) -> Column:
+    """Whole hours from 1970 to an instant, a column of type timestamp."""
+    return F.floor(F.unix_micros(_col(timestamp)) / F.lit(3_600_000_000))
+
+
 def event_date(timestamp: ColumnLike) -> Column:
-    """Calendar date of an instant (UTC when the session runs in UTC)."""
-    return F.to_date(_col(timestamp))
+    """Calendar date of an instant in UTC, whatever the session's zone is."""
+    days = F.floor(_unix_hours(timestamp) / 24).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
 
 
 def hour_of_day(timestamp: ColumnLike) -> Column:
-    """Hour 0..23 of an instant."""
-    return F.hour(_col(timestamp))
+    """Hour 0..23 of an instant in UTC, whatever the session's zone is."""
+    return F.pmod(_unix_hours(timestamp), F.lit(24)).cast("int")
 
 
 def type_filter(column: ColumnLike, types: Iterable[str]) -> Column:
@@ -37,13 +43,28 @@ def json_texts(json_column: ColumnLike, **outputs: str) -> list[Column]:
 
     ``json_texts("repo", repo_name="name", repo_id="id")`` gives two columns.
     Missing fields, JSON nulls and malformed text give NULL; numbers keep their
-    digits.  All fields share one ``from_json`` so the text is parsed once per
-    row: naming the mode stops the optimizer from narrowing the schema per
-    field, which would turn it into one parse per field.
+    digits.  Objects and arrays give NULL.  All fields share one ``from_json`` so
+    the text is parsed once per row: naming the mode stops the optimizer from
+    narrowing the schema per field, which would turn it into one parse per field.
+    Only a value that begins like an object or array is parsed again, to tell
+    it from a string that does.
     """
-    fields = ", ".join(f"`{name}` STRING" for name in outputs.values())
-    parsed = F.from_json(_col(json_column), fields, {"mode": "PERMISSIVE"})
-    return [parsed[name].alias(alias) for alias, name in outputs.items()]
+    source = _col(json_column)
+
+    def parsed(kind: str) -> Column:
+        fields = ", ".join(f"`{name}` {kind}" for name in outputs.values())
+        return F.from_json(source, fields, {"mode": "PERMISSIVE"})
+
+    texts, maps, lists = parsed("STRING"), parsed("MAP<STRING, STRING>"), parsed("ARRAY<STRING>")
+
+    def scalar(name: str) -> Column:
+        text = texts[name]
+        container = F.when(text.startswith("{"), maps[name].isNotNull()).when(
+            text.startswith("["), lists[name].isNotNull()
+        )
+        return F.when(F.coalesce(container, F.lit(False)), F.lit(None)).otherwise(text)
+
+    return [scalar(name).alias(alias) for alias, name in outputs.items()]
 
 
 def split_repo(full_name: ColumnLike, index: int) -> Column:

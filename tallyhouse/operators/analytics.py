@@ -207,14 +207,16 @@ def repo_breakdown(rollup: DataFrame, n: int = BREAKDOWN_REPOS) -> DataFrame:
 def repo_treemap(rollup: DataFrame, n: int = TREEMAP_REPOS) -> DataFrame:
     """Boxes of the ``n`` busiest repositories, one per last path part.
 
-    Repositories that share a label share a box: events add up, contributors are
-    averaged with the events as weight.
+    Repositories that share a label share a box: events, pushes and stars add up,
+    contributors are averaged with the events as weight.
     """
     top = _ranked(rollup).limit(n).withColumn("label", last_path_part("repo_name"))
     weighted = F.sum(F.col("unique_contributors") * F.col("total_events"))
     return top.groupBy("label").agg(
         F.sum("total_events").alias("total_events"),
         (weighted / F.sum("total_events")).alias("contributors"),
+        F.sum("pushes").alias("pushes"),
+        F.sum("stars").alias("stars"),
     )
 
 

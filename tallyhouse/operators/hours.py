@@ -43,9 +43,13 @@ def interval_hours(start: datetime | str, end: datetime | str) -> tuple[int, int
     """Hour window ``(start, count)`` that covers a run interval within one day.
 
     The last hour counts when it is only partly covered.  None when the interval
-    is empty or leaves the day; midnight at its end still belongs to the day.
+    is empty, leaves the day or is not readable; midnight at its end still belongs to
+    the day.
     """
-    first, last = _utc(start), _utc(end)
+    try:
+        first, last = _utc(start), _utc(end)
+    except ValueError:
+        return None
     midnight = datetime.combine(first.date(), time(), timezone.utc)
     stop = ceil((last - midnight) / HOUR)
     if last <= first or stop > 24:

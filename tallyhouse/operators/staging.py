@@ -154,9 +154,10 @@ def winning_copies(located: DataFrame, ids: DataFrame) -> DataFrame:
     maximum, not a window: copies of a hot id are combined before the shuffle.
     """
     candidates = located.join(F.broadcast(ids), "id", "left_semi").select(
-        *_narrow_columns(), "_file", "_row"
+        *_narrow_columns(), "payload", "_file", "_row"
     )
-    order = ["event_timestamp", *[c for c in _TIE_BREAK if c != "payload"], "_file", "_row"]
+    # The payload of repeated ids only is read; place decides between equal copies.
+    order = ["event_timestamp", *_TIE_BREAK, "_file", "_row"]
     best = candidates.groupBy("event_id").agg(F.max(F.struct(*order)).alias("best"))
     return best.select(
         F.col("event_id").alias("_id"),
@@ -183,7 +184,7 @@ def staged_from_files(
     are stored and measured before they are broadcast; when either is larger
     than ``broadcast_bytes`` the window plan of :func:`stage_events` is used.
 
-    Copies that agree on everything but the payload are told apart by position.
+    Copies are ordered as in :func:`stage_events`, whichever plan is used.
     """
     spark = raw.sparkSession
     scratch: list[str] = []

@@ -28,7 +28,7 @@ from tallyhouse.operators.staging import (
 )
 from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING, RETENTION_DAYS
 from tallyhouse.session import drop_path, write_through
-from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_hours
+from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_dates
 from tallyhouse.sources.ndjson import CORRUPT, BadRecordsError, combine_hours
 from tallyhouse.sources.tables import (
     DATE,
@@ -52,6 +52,8 @@ class LoadResult:
     dates: list[date] = field(default_factory=list)
     source: str | None = None
     rows_by_date: Mapping[date | None, int] = field(default_factory=dict)
+    rows_deleted: int = 0
+    table_rows: int | None = None
 
     @property
     def rows_loaded(self) -> int:
@@ -79,7 +81,7 @@ def load_dates(
     """
     wanted = sorted({as_date(d) for d in dates})
     ensure_table(spark, f"{database}.{RAW}")
-    present = sorted({day for day, _ in list_hours(spark, landing, wanted)})
+    present = list_dates(spark, landing, wanted)
     if not present:
         log.warning("%s: nothing has landed for %s", database, ", ".join(map(str, wanted)))
         return LoadResult()
@@ -91,10 +93,13 @@ def load_dates(
             if count > bad_record_limit:
                 raise BadRecordsError(count, bad_record_limit, where=f"files of {day}")
         good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        table = spark.table(f"{database}.{RAW}")
+        deleted = table.filter(F.col(DATE).isin(*present)).count()
         rows = replace_dates(good, f"{database}.{RAW}", present)
     finally:
         drop_path(spark, path)
-    result = LoadResult(present, landing.day_glob(present), rows)
+    total = spark.table(f"{database}.{RAW}").count()
+    result = LoadResult(present, landing.day_glob(present), rows, deleted, total)
     log.info("%s: loaded %d rows from %s", database, result.rows_loaded, result.source)
     return result
 
@@ -172,7 +177,7 @@ def refresh(spark: SparkSession, database: str, changed: Sequence[DateLike]) ->
     part = stg.filter(F.col(DATE).isin(*rewritten))
     for name, build in MARTS.items():
         overwrite_dates(build(part), f"{database}.{name}", rewritten, CLUSTERING[name])
-    gate(quality_report(stored_tables(spark, database)))
+    gate(quality_report({name: spark.table(f"{database}.{name}") for name in MARTS}))
     return rewritten
 
 

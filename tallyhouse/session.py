@@ -67,7 +67,7 @@ def shared_dir(spark: SparkSession) -> str:
     checkpoint_dir = context.getCheckpointDir()
     if checkpoint_dir:
         return checkpoint_dir.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     created = tempfile.mkdtemp(prefix="tallyhouse-")
     context.setCheckpointDir(created)

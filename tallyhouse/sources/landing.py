@@ -11,6 +11,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.schemas import RETENTION_DAYS
+from tallyhouse.session import drop_path
+
 DateLike = date | str
 
 
@@ -48,6 +51,11 @@ class Landing:
     day_files: str = "{date}/hours"
     daily_file: str = "{date}/events.ndjson"
 
+    @classmethod
+    def daily(cls, root: str) -> Landing:
+        """The older layout: one file per date."""
+        return cls(root, day_files=cls.daily_file)
+
     @classmethod
     def archive(cls, root: str) -> Landing:
         """Layout of the public hourly archives: one flat folder, plain hour numbers."""
@@ -74,7 +82,18 @@ class Landing:
         A load of a date always takes the whole date, also when the run asked
         for fewer hours.
         """
-        return self._at(self.day_files.format(date=_either(str(as_date(d)) for d in dates)))
+        named = (d if d == "*" else str(as_date(d)) for d in dates)
+        return self._at(self.day_files.format(date=_either(named)))
+
+    def _date_pattern(self) -> str:
+        # The date as the glob for a date's files has it; what follows is left open.
+        before = self.day_files.split("{date}")[0]
+        return "/" + re.escape(before) + r"(\d{4}-\d{2}-\d{2})(?!\d)"
+
+    def date_of(self, path: str) -> date | None:
+        """Date a landed file belongs to, whatever its name."""
+        match = re.search(self._date_pattern(), path)
+        return match and date.fromisoformat(match[1])
 
     def _pattern(self) -> str:
         # What follows the hour is left open, so 01.json.gz counts as hour 01.
@@ -89,31 +108,57 @@ class Landing:
         return match and (date.fromisoformat(match[1]), int(match[2]))
 
     def file_date(self, path: Column) -> Column:
-        """Date a landed file belongs to, from a column of paths."""
-        return F.to_date(F.nullif(F.regexp_extract(path, self._pattern(), 1), F.lit("")))
+        """Date a landed file belongs to, whatever its name, from a column of paths."""
+        return F.to_date(F.nullif(F.regexp_extract(path, self._date_pattern(), 1), F.lit("")))
 
     def file_hour(self, path: Column) -> Column:
         """Hour a landed file belongs to, from a column of paths."""
         return F.nullif(F.regexp_extract(path, self._pattern(), 2), F.lit("")).cast("int")
 
 
-def list_hours(
-    spark: SparkSession, landing: Landing, dates: Sequence[DateLike]
-) -> list[tuple[date, int]]:
-    """Date and hour of every landed file of ``dates``.
-
-    A file listing: no data is read and no job runs.  Its length is 24 per date.
-    """
+def landed_files(spark: SparkSession, glob: str) -> list[str]:
+    """Paths of the files a glob names: a listing, no data is read."""
     try:
         reader = spark.read.option("recursiveFileLookup", "true")
-        files = reader.text(landing.day_glob(dates)).inputFiles()
+        return sorted(reader.text(glob).inputFiles())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
+
+
+def list_hours(
+    spark: SparkSession, landing: Landing, dates: Sequence[DateLike]
+) -> list[tuple[date, int]]:
+    """Date and hour of every landed file of ``dates`` that is named by an hour.
+
+    As long as the hours of ``dates`` have files; several parts of an hour count once.
+    """
+    files = landed_files(spark, landing.day_glob(dates))
     return sorted({hour for hour in map(landing.hour_of, files) if hour})
 
 
+def list_dates(spark: SparkSession, landing: Landing, dates: Sequence[DateLike]) -> list[date]:
+    """Those of ``dates`` for which any file has landed, whatever its name."""
+    files = landed_files(spark, landing.day_glob(dates))
+    return sorted({day for day in map(landing.date_of, files) if day})
+
+
+def expire_landed(
+    spark: SparkSession, landing: Landing, as_of: DateLike, keep_days: int = RETENTION_DAYS
+) -> list[str]:
+    """Delete landed files of dates older than ``keep_days`` before ``as_of``; returns them.
+
+    Files whose path has no date stay.
+    """
+    oldest = as_date(as_of) - timedelta(keep_days)
+    every = landed_files(spark, landing.day_glob(["*"]))
+    expired = [f for f in every if (day := landing.date_of(f)) is not None and day < oldest]
+    for path in expired:
+        drop_path(spark, path)
+    return expired
+
+
 def landed_hours(spark: SparkSession, landing: Landing, dates: Sequence[DateLike]) -> DataFrame:
     """(event_date, hour_of_day) of the hours that have landed."""
     listed = list_hours(spark, landing, dates)

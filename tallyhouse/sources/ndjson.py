@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.schemas import BAD_RECORD_LIMIT, RAW_SCHEMA
+from tallyhouse.session import drop_path, write_through
 from tallyhouse.sources.landing import DateLike, Landing, as_date
 
 #: Column that holds the text of a record that does not fit the schema.
@@ -65,13 +66,16 @@ def scan_ndjson(
 
 
 def bad_record_budget(df: DataFrame, limit: int = BAD_RECORD_LIMIT) -> DataFrame:
-    """Good records of a ``keep_corrupt`` scan, or BadRecordsError beyond ``limit``."""
-    values = [c for c in df.columns if c != CORRUPT]
-    # The hash makes the count parse whole records, as in _good.
-    found, _ = df.agg(F.count(CORRUPT), F.max(F.xxhash64(*values))).first()
+    """Good records of a ``keep_corrupt`` scan, or BadRecordsError beyond ``limit``.
+
+    The scan is parsed once, into shared scratch, which the result reads.
+    """
+    parsed, path = write_through(df, "parsed-records")
+    found = parsed.filter(F.col(CORRUPT).isNotNull()).count()
     if found > limit:
+        drop_path(df.sparkSession, path)
         raise BadRecordsError(found, limit)
-    return _good(df)
+    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def combine_hours(

@@ -101,6 +101,9 @@ def replace_dates(
     targets = sorted({as_date(d) for d in dates})
     if not targets:
         raise ValueError("no dates to load")
+    foreign = F.col("file_date").isNull() | ~F.col("file_date").isin(*targets)
+    if "file_date" in batch.columns and not batch.filter(foreign).isEmpty():
+        raise ValueError("rows whose file_date is missing or not among the dates to load")
     if "file_date" not in batch.columns:
         if len(targets) > 1:
             raise ValueError("several dates need a file_date column")
@@ -153,17 +156,42 @@ def materialize(
     a large date over as many tasks as its size needs.  With ``redistribute``
     off the rows are written where they are, for inputs that already lie by date.
 
-    The whole table is replaced, dates that no longer occur included.
+    The whole table is replaced, dates that no longer occur included.  The new
+    files of a stored table are committed together once all are written, so it
+    stays as it is when the write fails; then the dates that have old files only
+    are dropped.  A table of other columns is dropped before it is written.
     """
+    spark = df.sparkSession
     placed = df.hint("rebalance", partition_by) if redistribute else df
-    (
-        placed.sortWithinPartitions(partition_by, *cluster_by)
-        .write.mode("overwrite")
-        .format("parquet")
-        .partitionBy(partition_by)
-        .saveAsTable(table)
-    )
-    return df.sparkSession.table(table)
+    placed = placed.sortWithinPartitions(partition_by, *cluster_by)
+    names = [*[c for c in df.columns if c != partition_by], partition_by]
+    types = dict(df.dtypes)
+    if not (
+        spark.catalog.tableExists(table)
+        and spark.table(table).dtypes == [(name, types[name]) for name in names]
+    ):
+        placed.write.mode("overwrite").format("parquet").partitionBy(partition_by).saveAsTable(table)
+        return spark.table(table)
+    before = set(spark.table(table).inputFiles())
+    with _dynamic_overwrite(spark):
+        placed.select(*names).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    left = before.intersection(spark.table(table).inputFiles())
+    _drop_dates(spark, table, sorted({_partition_value(path, partition_by) for path in left}), partition_by)
+    return spark.table(table)
+
+
+def _partition_value(path: str, column: str) -> str:
+    return path.split(f"/{column}=", 1)[1].split("/", 1)[0]
+
+
+def _drop_dates(spark: SparkSession, table: str, values: Sequence[str], column: str = DATE) -> None:
+    if not values:
+        return
+    texts = ["NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"DATE'{v}'" for v in values]
+    listed = ", ".join(f"PARTITION ({column} = {t})" for t in texts)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+    spark.catalog.refreshTable(table)
 
 
 def overwrite_dates(

@@ -1,7 +1,7 @@
 import pytest
 
 from acceptance.queries import Derived
-from acceptance.warehouse import FIRST_DAY, LAST_DAY, stored_raw, warehouse
+from acceptance.warehouse import day_bounds, stored_raw, warehouse
 from tallyhouse.operators import analytics, reports
 from tallyhouse.plans.dashboard import available_range, dashboard
 from tallyhouse.sources.tables import ensure_table
@@ -21,12 +21,12 @@ def values(df):
 def test_whole_range_equals_the_operators(spark, database):
     d = Derived(spark, SMALL)
     first, last = available_range(spark, database)
-    assert str(first) == FIRST_DAY
+    assert str(first) == day_bounds(spark, SMALL)[0]
     with dashboard(spark, database) as page:
         assert values(page["events_by_type"]) == values(d.by_type)
         assert values(page["repo_rollup"].select(*d.rollup.columns)) == values(d.rollup)
         assert values(page["language_totals"]) == values(analytics.language_totals(d.languages))
-        kpis = reports.kpis(d.by_type, d.stg, FIRST_DAY, LAST_DAY)
+        kpis = reports.kpis(d.by_type, d.stg, *day_bounds(spark, SMALL))
         assert values(page["kpis"]) == values(kpis)
         for name, df in page.items():
             assert df.count() > 0, name

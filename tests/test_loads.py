@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 from helpers import land, raw_frame, raw_row, record
 from tallyhouse.operators.hours import hour_window_for_interval
 from tallyhouse.operators.staging import stage_events
+from tallyhouse.plans import daily
 from tallyhouse.plans.daily import load_dates
-from tallyhouse.sources.landing import Landing, days, landed_hours, list_hours, missing_hours
+from tallyhouse.sources.landing import (
+    Landing,
+    days,
+    expire_landed,
+    landed_hours,
+    list_hours,
+    missing_hours,
+)
 from tallyhouse.sources.ndjson import (
     CORRUPT,
     BadRecordsError,
@@ -343,3 +351,62 @@ def test_day_list():
         days("2024-03-02", "2024-03-01")
     with pytest.raises(ValueError):
         days("03/02/2024", "2024-03-01")
+
+
+def test_range_load_takes_files_of_any_name(spark, database, tmp_path):
+    landing = Landing(str(tmp_path))
+    for n, day in enumerate(("2024-05-01", "2024-05-02")):
+        land(tmp_path, day, 0, [record(f"{n}a{i}", f"{day}T10:00:00") for i in range(3)])
+        late = tmp_path / day / "hours" / "late.ndjson"
+        lines = [json.dumps(record(f"{n}b{i}", f"{day}T11:00:00")) for i in range(5)]
+        late.write_text("\n".join([*lines, "{bad"]) + "\n")
+    span = ["2024-05-01", "2024-05-02"]
+    result = daily.load_dates(spark, database, landing, span)
+    assert result.rows_by_date == {as_day: 8 for as_day in days(*span)}
+    assert (result.rows_deleted, result.table_rows) == (0, 16)
+    single = [daily.load_dates(spark, database, landing, [day]) for day in span]
+    assert [(r.rows_loaded, r.rows_deleted, r.table_rows) for r in single] == [(8, 8, 16)] * 2
+    with pytest.raises(BadRecordsError):
+        daily.load_dates(spark, database, landing, span, bad_record_limit=0)
+
+
+def test_one_file_per_date(spark, database, tmp_path):
+    for day in ("2024-05-01", "2024-05-02"):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "events.ndjson").write_text(json.dumps(record(day, f"{day}T01:00:00")) + "\n")
+    result = daily.load_dates(spark, database, Landing.daily(str(tmp_path)), ["2024-05-01", "2024-05-02"])
+    assert result.rows_loaded == 2
+
+
+def test_landed_files_expire(spark, tmp_path):
+    for day in ("2024-04-30", "2024-05-01", "2024-05-31"):
+        land(tmp_path, day, 3, [record("1")])
+    gone = expire_landed(spark, Landing(str(tmp_path)), "2024-05-31", 30)
+    assert len(gone) == 1 and "2024-04-30" in gone[0]
+    assert not (tmp_path / "2024-04-30" / "hours" / "03.ndjson").exists()
+    assert (tmp_path / "2024-05-01" / "hours" / "03.ndjson").exists()
+
+
+def test_rows_of_other_files_are_refused(spark, database):
+    ensure_table(spark, f"{database}.raw_events")
+    batch = raw_frame(spark, raw_row("1")).withColumn("file_date", F.lit(None).cast("date"))
+    with pytest.raises(ValueError):
+        replace_dates(batch, f"{database}.raw_events", ["2024-05-01"])
+
+
+def test_failed_rebuild_leaves_the_old_table(spark, database):
+    rows = spark.range(3).withColumn("event_date", F.lit("2024-05-01").cast("date"))
+    materialize(rows, f"{database}.kept")
+    with pytest.raises(Exception):
+        materialize(rows.withColumn("id", F.raise_error(F.lit("no")).cast("long")), f"{database}.kept")
+    assert spark.table(f"{database}.kept").count() == 3
+
+
+def test_rebuild_drops_dates_that_no_longer_occur(spark, database):
+    rows = spark.createDataFrame(
+        [(1, date(2024, 5, 1)), (2, date(2024, 5, 2)), (3, None)], "id long, event_date date"
+    )
+    materialize(rows, f"{database}.dates")
+    stored = materialize(rows.filter("id = 2"), f"{database}.dates")
+    assert [tuple(r) for r in stored.collect()] == [(2, date(2024, 5, 2))]
+    assert materialize(rows.filter("id > 3"), f"{database}.dates").count() == 0
