@@ -198,18 +198,76 @@ def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return float(np.sum(x[both] / (above[at] + ratio[both] * below[at])))
 
 
-def similarities(a: np.ndarray, ca: np.ndarray, b: np.ndarray, cb: np.ndarray) -> tuple[float, float]:
-    """Jaccard and probability Jaccard similarity of two counted shingle sets."""
-    everything = np.union1d(a, b)
-    if not len(everything):
-        return 1.0, 1.0
-    x, y = np.zeros(len(everything)), np.zeros(len(everything))
-    x[np.searchsorted(everything, a)] = weights_of(ca)
-    y[np.searchsorted(everything, b)] = weights_of(cb)
-    plain = (len(a) + len(b) - len(everything)) / len(everything)
-    if x.max() == 1 and y.max() == 1:
-        return plain, plain
-    return plain, probability_jaccard(x, y)
+def linked(
+    sets: list[tuple[np.ndarray, np.ndarray]], least: float, left: int | None = None
+) -> list[tuple[int, int]]:
+    """Pairs of counted shingle sets whose similarity is ``least`` or more, by either measure.
+
+    With ``left`` only pairs of one of the first ``left`` sets and one of the others.
+    Sizes of intersections are products of 0-1 matrices, made over so many shared
+    shingles at a time.  The probability Jaccard similarity is at most the weight
+    that either text has in common with the other, so it is worked out only where
+    repeated shingles make it differ and that bound reaches ``least``.
+    """
+    n = len(sets)
+    rows, columns = (slice(0, n), slice(0, n)) if left is None else (slice(0, left), slice(left, n))
+    sizes = np.array([len(ids) for ids, _ in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    weight = weights_of(np.concatenate([counts for _, counts in sets]))
+    repeats = np.bincount(owner, weight > 1, n) > 0
+    totals = np.bincount(owner, weight, n)
+    _, number, found = np.unique(
+        np.concatenate([ids for ids, _ in sets]), return_inverse=True, return_counts=True
+    )
+    shared = found[number] > 1
+    owner, number, weight = owner[shared], number[shared], weight[shared]
+    order = np.argsort(number, kind="stable")
+    owner, number, weight = owner[order], number[order], weight[order]
+    column = np.cumsum(np.diff(number, prepend=-1) > 0) - 1
+    common = np.zeros((n, n))[rows, columns]
+    held, holds = common.copy(), common.copy()
+    width = 4096
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [start, start + width]))
+        has = np.zeros((n, width), np.float32)
+        has[owner[part], column[part] - start] = 1
+        common += has[rows] @ has[columns].T
+        if repeats.any():
+            weighs = np.zeros((n, width), np.float32)
+            weighs[owner[part], column[part] - start] = weight[part]
+            held += weighs[rows] @ has[columns].T
+            holds += has[rows] @ weighs[columns].T
+    union = sizes[rows, None] + sizes[None, columns] - common
+    alike = common >= (least - 1e-9) * union
+    if repeats.any():
+        bound = np.minimum(held / totals[rows, None], holds / totals[None, columns])
+        open_ = (repeats[rows, None] | repeats[None, columns]) & ~alike & (bound >= least - 1e-6)
+        for i, j in np.argwhere(open_):
+            a, b = sets[i], sets[j + (left or 0)]
+            everything = np.union1d(a[0], b[0])
+            x, y = np.zeros(len(everything)), np.zeros(len(everything))
+            x[np.searchsorted(everything, a[0])] = weights_of(a[1])
+            y[np.searchsorted(everything, b[0])] = weights_of(b[1])
+            alike[i, j] = probability_jaccard(x, y) >= least - 1e-9
+    pairs = np.argwhere(alike)
+    pairs[:, 1] += left or 0
+    return [(i, j) for i, j in pairs.tolist() if i != j]
+
+
+def _forest(names: list[str], pairs: list[tuple[int, int]]) -> list[tuple[str, str]]:
+    """As few links as connect what ``pairs`` connect."""
+    root = list(range(len(names)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in pairs:
+        root[find(i)] = find(j)
+    tied = ((names[find(i)], names[i]) for i in range(len(names)))
+    return sorted({(a, b) for a, b in tied if a != b})
 
 
 def _sets_of_texts(banding: Banding):
@@ -231,39 +289,49 @@ def _sets_of_texts(banding: Banding):
     return sets
 
 
-def _linking(least: float):
+def _block_links(keys: tuple[str, ...], least: float):
+    """Links within each block of rows that arrive together.
+
+    Rows with ``first`` set are held against the others, in a block without such
+    rows all are held against all.
+    """
+
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+
+        def done() -> pa.RecordBatch:
+            held.sort(key=lambda r: not r["first"])
+            left = sum(r["first"] for r in held) or None
+            sets = [(r["shingles"], r["counts"]) for r in held]
+            names = [r["node"] for r in held]
+            found = _forest(names, linked(sets, least, left)) if len(held) > (left or 0) else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], ["a", "b"]
+            )
+
         for batch in batches:
-            arrays = {}
-            for name in ("sa", "ca", "sb", "cb"):
-                column = batch[name]
-                offsets = column.offsets.to_numpy()
-                values = column.values.to_numpy(zero_copy_only=False)
-                arrays[name] = (offsets, values)
-
-            def at(name, i):
-                offsets, values = arrays[name]
-                return values[offsets[i] : offsets[i + 1]]
-
-            keep = [
-                max(similarities(at("sa", i), at("ca", i), at("sb", i), at("cb", i))) >= least - 1e-9
-                for i in range(batch.num_rows)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            flat = {c: batch[c].to_pylist() for c in (*keys, "node", "first")}
+            arrays = {
+                c: (batch[c].offsets.to_numpy(), batch[c].values.to_numpy(zero_copy_only=False))
+                for c in ("shingles", "counts")
+            }
+            for i in range(batch.num_rows):
+                row = {c: v[i] for c, v in flat.items()}
+                row |= {c: v[o[i] : o[i + 1]].copy() for c, (o, v) in arrays.items()}
+                if held and any(held[0][k] != row[k] for k in keys):
+                    yield done()
+                    held = []
+                held.append(row)
+        if held:
+            yield done()
 
     return links
 
 
-def verified(pairs: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose exact similarity reaches the threshold, by either measure."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", "sa", "ca", "sb", "cb")
-        .mapInArrow(_linking(banding.similarity), "a string, b string")
-    )
+def _links_in_blocks(rows: DataFrame, sets: DataFrame, keys: tuple[str, ...], least: float) -> DataFrame:
+    """(a, b) from rows (keys, node, first), a block for each value of ``keys``."""
+    placed = rows.join(sets, "node").repartition(*keys).sortWithinPartitions(*keys, "node")
+    return placed.mapInArrow(_block_links(keys, least), "a string, b string")
 
 
 # ---------------------------------------------------------------------------
@@ -305,85 +373,88 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "label")
 
 
-def _relabeled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` after the classes at the two ends of each link became one."""
-    a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    edges = (
-        links.join(a, "a").join(b, "b").filter("la <> lb")
-        .select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
-    )
-    joined = components(edges).select(F.col("node").alias("old"), F.col("label").alias("new"))
-    merged = labels.join(joined, F.col("label") == F.col("old"), "left")
-    return stored(merged.select("node", F.coalesce("new", "label").alias("label")), "classes")
+#: Texts and shingles of a block.
+BLOCK_TEXTS = 256
+BLOCK_SHINGLES = 1_000_000
 
 
-#: All pairs that are left are verified once they are at most so many per bucket row,
-#: or after so many rounds.
-_LEFT_PER_ROW = 4
-_ROUNDS = 12
+def _blocks_of(texts: Column, shingles: Column) -> Column:
+    """How many blocks a group is dealt into."""
+    return F.greatest(F.ceil(texts / BLOCK_TEXTS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1))
 
 
 def text_classes(members: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
     """(node, label) of the nodes in ``members`` (bucket, node).
 
-    Every pair of texts that share a bucket and are not yet in one class is
-    verified sooner or later, so no link between classes is lost.  A large bucket
-    is worked down first: each round holds its members against one of them, the
-    first time against the one that shares most buckets with others, which is the
-    likeliest original of a group of copies, later against one drawn from the
-    bucket's largest class.  Members that join that class need no more pairs with
-    it.  When few pairs are left all of them are verified at once.
+    Texts that share buckets, directly or by way of others, are a group; a group is
+    dealt into blocks.  First the texts of a block are held against one another and
+    against the group's centre, the text that shares most buckets, which is the
+    likeliest original of a group of copies.  Then texts that are not of the centre's
+    class are held against all other blocks, a block of them at a time.  So every pair
+    of a group that is not known to be of one class is looked at, pairs are never
+    rows, and a group of copies of one original takes time in proportion to its size.
     """
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    degree = (
-        members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("degree"))
+    sizes = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("hub")
     )
-    nodes = stored(degree, "degrees")
-    labels = nodes.select("node", F.col("node").alias("label"))
-    tried = None
-    turn = 0
-    while True:
-        labeled = stored(members.join(labels, "node"), "labeled-buckets")
-        parts = labeled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-        whole = parts.groupBy("bucket").agg(
-            F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-            F.max_by("label", F.struct("n", "label")).alias("largest"),
-        )
-        open_ = stored(whole.filter("all * all > squares"), "open-buckets")
-        left, rows = open_.agg(
-            F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("squares")) / 2), F.lit(0)),
-            F.coalesce(F.sum("all"), F.lit(0)),
-        ).first()
-        if not left:
-            return labels
-        last = left <= _LEFT_PER_ROW * rows or turn >= _ROUNDS
-        here = labeled.join(open_, "bucket")
-        if last:
-            other = labeled.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"))
-            ordered = "label <> lb AND node < b"
-            pairs = here.join(other, ["bucket"]).filter(ordered).select(F.col("node").alias("a"), "b")
-        else:
-            first = F.col("degree") if turn == 0 else F.xxhash64(F.lit(turn), "bucket", "node")
-            ranked = here.join(nodes, "node") if turn == 0 else here.filter("label = largest")
-            pivots = ranked.groupBy("bucket").agg(
-                F.max_by(F.struct("node", "label"), F.struct(first, F.col("node"))).alias("pivot")
-            )
-            paired = here.join(pivots, "bucket").filter("label <> pivot.label")
-            pairs = paired.select(
-                F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")
-            )
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        links = stored(verified(pairs, sets, banding), "links")
-        if not links.isEmpty():
-            labels = _relabeled(labels, links)
-        if last:
-            return labels
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        turn += 1
+    sized = stored(members.join(sizes, "bucket"), "sized-buckets")
+    chained = sized.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    groups = components(chained.distinct()).withColumnRenamed("label", "group")
+    degrees = sized.groupBy("node").agg(F.sum("size").alias("degree"))
+    volumes = sets.select("node", F.size("shingles").alias("volume"))
+    nodes = stored(groups.join(degrees, "node").join(volumes, "node"), "grouped")
+    whole = stored(
+        nodes.groupBy("group").agg(
+            _blocks_of(F.count(F.lit(1)), F.sum("volume")).alias("blocks"),
+            F.max_by("node", F.struct("degree", "node")).alias("centre"),
+        ),
+        "groups",
+    )
+    placed = stored(
+        nodes.join(small(whole, 160), "group").withColumn(
+            "block", F.pmod(F.xxhash64("node"), F.col("blocks"))
+        ),
+        "placed",
+    )
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    centres = (
+        placed.filter("node = centre")
+        .select("group", "node", F.col("block").alias("own"), F.explode(numbers).alias("block"))
+        .filter("block <> own")
+    )
+    first = F.lit(False).alias("first")
+    together = placed.select("group", "block", "node", first).unionAll(
+        centres.select("group", "block", "node", first)
+    )
+    links = stored(_links_in_blocks(together, sets, ("group", "block"), banding.similarity), "links")
+
+    def labeled(links: DataFrame) -> DataFrame:
+        known = components(links)
+        named = placed.join(known, "node", "left")
+        return stored(named.withColumn("label", F.coalesce("label", "node")), "labeled")
+
+    labels = labeled(links)
+    central = labels.filter("node = centre AND blocks > 1").select("group", F.col("label").alias("main"))
+    apart = labels.join(small(stored(central, "main-classes"), 160), "group").filter("label <> main")
+    apart = stored(apart.select("group", "node", "volume", "blocks"), "apart")
+    if apart.isEmpty():
+        return labels.select("node", "label")
+    dealt = apart.groupBy("group").agg(
+        _blocks_of(F.count(F.lit(1)), F.sum("volume")).alias("parts")
+    )
+    dealt = small(stored(dealt, "parts"), 128)
+    ones = apart.join(dealt, "group").select(
+        "group", "node", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).alias("part"),
+        F.explode(numbers).alias("block"), F.lit(True).alias("first"),
+    )
+    parts = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    others = placed.join(dealt, "group").select(
+        "group", "node", F.explode(parts).alias("part"), "block", first
+    )
+    crossing = _links_in_blocks(
+        ones.unionByName(others), sets, ("group", "part", "block"), banding.similarity
+    )
+    return labeled(stored(links.unionAll(crossing), "all-links")).select("node", "label")
 
 
 def classified(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:

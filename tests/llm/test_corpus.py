@@ -176,7 +176,8 @@ def brute_classes(rows, least=0.8):
                 same = not a and not b
             else:
                 same = len(a.keys() & b.keys()) >= least * len(a.keys() | b.keys())
-                same = same or brute_probability_jaccard(a, b) >= least
+                if max(*a.values(), *b.values()) > 1:
+                    same = same or brute_probability_jaccard(a, b) >= least
             if same:
                 parent[find(i)] = find(j)
     groups = defaultdict(list)
@@ -211,9 +212,9 @@ def test_near_duplicate_classes(spark, rows):
     assert set(kept[0].asDict()) == {f.split()[0] for f in SCHEMA.split(", ")}
 
 
-def test_rounds_against_one_member_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "_LEFT_PER_ROW", 0)
-    monkeypatch.setattr(neardup, "_ROUNDS", 3)
+@pytest.mark.parametrize("texts", [2, 7, 256])
+def test_blocks_lose_no_link(spark, monkeypatch, texts):
+    monkeypatch.setattr(neardup, "BLOCK_TEXTS", texts)
     given = near_copies(40, 5) + near_copies(5, 6)
     got = {r.doc_id: r.class_id for r in neardup.class_report(spark.createDataFrame(given, SCHEMA)).collect()}
     assert got == {d: c for (d, _), c in brute_classes(given).items()}
@@ -357,7 +358,7 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-ODD = ["a  b", " lead", "trail ", "x \n y", "it's we're  don't", "a\u00a0 b", "\u2003 c", "a\x1c b", "é\u0301 ́x", " ", "  "]
+ODD = ["a  b", " lead", "trail ", "x \n y", "it's we're  don't", "a\u00a0 b", "\u2003 c", "a\x1c b", "a\x85 b ^ c ^^d", "^", "x\u200b y", "é\u0301 ́x", " ", "  "]
 
 
 @pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
