@@ -219,30 +219,33 @@ def staged_from_files(
 # ---------------------------------------------------------------------------
 
 
-def moved_ids(raw: DataFrame, stg: DataFrame, changed: Sequence[date]) -> DataFrame:
-    """Ids that occur both on the dates ``changed`` and on other dates.
+def changed_ids(raw: DataFrame, stg: DataFrame, changed: Sequence[date]) -> DataFrame:
+    """Distinct ids on the dates ``changed``, now or before.
 
     ``raw`` holds the new records and ``stg`` the staging table from before, both
-    with ``event_date``.  An id is on a changed date when a new record there
-    carries it, or when its staged row was there.  Only through these ids can
-    another date gain or lose a staged row.
-
-    Reads ids and dates and keeps two flags per id, combined before the shuffle.
+    with ``event_date``; only those dates are read.
     """
     inside = F.col("event_date").isin(*changed)
-    now = required_fields(raw).select("id", inside.alias("inside"))
-    before = stg.filter(inside).select(F.col("event_id").alias("id"), F.lit(True).alias("inside"))
-    per_id = (
-        now.unionByName(before)
-        .groupBy("id")
-        .agg(F.bool_or("inside").alias("here"), F.bool_or(~F.col("inside")).alias("elsewhere"))
-    )
-    return per_id.filter("here AND elsewhere").select("id")
+    now = required_fields(raw.filter(inside)).select("id")
+    before = stg.filter(inside).select(F.col("event_id").alias("id"))
+    return now.unionAll(before).distinct()
+
 
+def copies_elsewhere(
+    raw: DataFrame,
+    ids: DataFrame,
+    changed: Sequence[date],
+    broadcast_bytes: int = WINNER_BROADCAST_BYTES,
+) -> DataFrame:
+    """(id, event_date) of usable records of other dates that carry one of ``ids``.
 
-def dates_of(raw: DataFrame, ids: DataFrame) -> DataFrame:
-    """Distinct dates of the usable records that carry ``ids``."""
-    return required_fields(raw).join(ids, "id", "left_semi").select("event_date").distinct()
+    Only through these can another date gain or lose a staged row.  ``ids`` is the
+    stored result of :func:`changed_ids`.  It is broadcast when its measured size
+    allows, so that the history is read once and nothing but its hits is moved.
+    """
+    known = F.broadcast(ids) if _fits(ids, ["id"], broadcast_bytes) else ids
+    history = required_fields(raw.filter(~F.col("event_date").isin(*changed)))
+    return history.join(known, "id", "left_semi").select("id", "event_date").distinct()
 
 
 def restaged(
@@ -254,8 +257,8 @@ def restaged(
 ) -> DataFrame:
     """New staging rows of the dates ``changed`` and ``others``, with ``event_date``.
 
-    ``moved`` is the stored result of :func:`moved_ids` and ``others`` the other
-    dates of those ids.  Every copy of an id seen on a changed date lies on one
+    ``moved`` is the stored result of :func:`copies_elsewhere` and ``others`` its
+    dates.  Every copy of an id seen on a changed date lies on one
     of the two, so these ids are deduplicated within them; the other staged rows
     of ``others`` stay as they are.
     """

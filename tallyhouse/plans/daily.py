@@ -21,8 +21,8 @@ from tallyhouse.operators.marts import MARTS, dated
 from tallyhouse.operators.quality import gate, quality_report
 from tallyhouse.operators.staging import (
     WINNER_BROADCAST_BYTES,
-    dates_of,
-    moved_ids,
+    changed_ids,
+    copies_elsewhere,
     restaged,
     staged_from_files,
 )
@@ -160,10 +160,12 @@ def refresh(spark: SparkSession, database: str, changed: Sequence[DateLike]) ->
     """
     dates = sorted({as_date(d) for d in changed})
     raw, stg = spark.table(f"{database}.{RAW}"), spark.table(f"{database}.{STAGING}")
-    moved, moved_path = write_through(moved_ids(raw, stg, dates), "moved-ids")
-    paths = [moved_path]
+    ids, ids_path = write_through(changed_ids(raw, stg, dates), "changed-ids")
+    paths = [ids_path]
     try:
-        others = sorted({r[0] for r in dates_of(raw, moved).collect()} - set(dates))
+        moved, path = write_through(copies_elsewhere(raw, ids, dates), "moved-ids")
+        paths.append(path)
+        others = sorted(r[0] for r in moved.select(DATE).distinct().collect())
         rows, path = write_through(restaged(raw, stg, moved, dates, others), "restaged")
         paths.append(path)
         rewritten = sorted({*dates, *others})
