@@ -2,15 +2,21 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from helpers import plan, raw_frame, raw_row
-from tallyhouse.functions import infer_language, json_texts, last_path_part, short_repo_label, split_repo
+from helpers import at, plan, raw_frame, raw_row
+from tallyhouse.functions import (
+    event_date,
+    hour_of_day,
+    infer_language,
+    json_texts,
+    last_path_part,
+    short_repo_label,
+    split_repo,
+)
 from tallyhouse.operators.staging import (
-    _located,
     dedup_latest,
     repeated_ids,
     stage_events,
     staged_from_files,
-    winning_copies,
 )
 from tallyhouse.schemas import RAW_SCHEMA, STAGING_COLUMNS
 
@@ -192,3 +198,21 @@ def test_no_copies_need_no_join(spark, tmp_path):
 def test_dedup_of_a_composite_key(spark):
     df = spark.createDataFrame([(1, 1, 5), (1, 1, 9), (1, 2, 3)], "a int, b int, t int")
     assert sorted(map(tuple, dedup_latest(df, ["a", "b"], "t").collect())) == [(1, 1, 9), (1, 2, 3)]
+
+
+def test_objects_and_arrays_are_not_scalars(spark):
+    texts = ['{"id":{"a":1},"login":["x"]}', '{"id":"{a","login":"[x"}', '{"id":7,"login":{}}', '{"id":[],"login":"l"}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, j string")
+    got = df.select("n", *json_texts("j", a="id", b="login")).orderBy("n").collect()
+    assert [tuple(r)[1:] for r in got] == [(None, None), ("{a", "[x"), ("7", None), (None, "l")]
+
+
+def test_dates_and_hours_are_utc_in_any_session(spark):
+    df = spark.createDataFrame([(at("2024-05-01T01:30:00"),), (at("1969-12-31T23:30:00"),)], "t timestamp")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [tuple(map(str, r)) for r in df.select(event_date("t"), hour_of_day("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [("2024-05-01", "1"), ("1969-12-31", "23")]
