@@ -12,9 +12,9 @@ the next round begins from the average.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -140,33 +140,45 @@ class WindowNetwork:
 
     def log_probabilities(self, around: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Log probability of each token given the tokens around it."""
-        logits = self.hidden(around) @ self.output + self.output_bias
+        logits = self.hidden(around) @ self.output
+        logits += self.output_bias
         own = logits[np.arange(len(token)), token]
-        top = logits.max(axis=1)
-        logits -= top[:, None]
+        if self.largest_logit() > 80:
+            # Only such could be too large for exp.
+            top = logits.max(axis=1)
+            logits -= top[:, None]
+            own -= top
         np.exp(logits, out=logits)
-        return (own - top - np.log(logits.sum(axis=1))).astype(np.float64)
+        return own.astype(np.float64) - np.log(logits.sum(axis=1))
+
+    def largest_logit(self) -> float:
+        """A bound: hidden values lie between -1 and 1."""
+        return float((np.abs(self.output).sum(axis=0) + np.abs(self.output_bias)).max())
 
     def learn(self, around: np.ndarray, token: np.ndarray, sums: list[np.ndarray]) -> None:
         """One step on a batch; ``sums`` holds the squares of past slopes, per weight."""
         n = len(token)
         hidden = self.hidden(around)
-        logits = hidden @ self.output + self.output_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        error = np.exp(logits)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(n), token] -= 1
-        error /= n
+        error = hidden @ self.output
+        error += self.output_bias
+        if self.largest_logit() > 80:
+            error -= error.max(axis=1, keepdims=True)
+        np.exp(error, out=error)
+        error *= 1 / (n * error.sum(axis=1, keepdims=True))
+        error[np.arange(n), token] -= np.float32(1 / n)
         slope = (error @ self.output.T) * (1 - hidden * hidden)
         steps = [(self.output, hidden.T @ error), (self.output_bias, error.sum(axis=0)),
                  (self.bias, slope.sum(axis=0))]
         for (weights, grad), past in zip(steps, sums):
             past += grad * grad
-            weights -= self.shape.rate * grad / np.sqrt(past + 1e-8)
+            grad /= np.sqrt(past + np.float32(1e-8))
+            grad *= np.float32(self.shape.rate)
+            weights -= grad
         for k in range(around.shape[1]):
-            ids, place = np.unique(around[:, k], return_inverse=True)
-            grad = np.zeros((len(ids), slope.shape[1]), np.float32)
-            np.add.at(grad, place, slope)
+            order = np.argsort(around[:, k], kind="stable")
+            sorted_ids = around[order, k]
+            first = np.flatnonzero(np.diff(sorted_ids.astype(np.int32), prepend=-1))
+            ids, grad = sorted_ids[first], np.add.reduceat(slope[order], first, axis=0)
             past = sums[3][k]
             past[ids] += grad * grad
             self.inputs[k][ids] -= self.shape.rate * grad / np.sqrt(past[ids] + 1e-8)
@@ -175,18 +187,27 @@ class WindowNetwork:
         return [np.zeros_like(x) for x in (self.output, self.output_bias, self.bias, self.inputs)]
 
 
-def windows(documents: list[np.ndarray], reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, the tokens around each (0 beyond the ends), and its document's number."""
+def windows(
+    documents: list[np.ndarray], reach: int, choose=None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, the tokens around each (0 beyond the ends), and its document's number.
+
+    ``choose`` gives the places that are wanted, and their order, from how many there are.
+    """
     sizes = np.fromiter(map(len, documents), np.int64, len(documents))
     gap = np.zeros(reach, np.uint16)
     padded = np.concatenate([gap, *(x for d in documents for x in (d, gap))])
     before = np.arange(len(documents)) * reach + reach
     starts = before + np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(documents) else before
     at = np.repeat(starts, sizes) + counted(sizes)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    if choose is not None:
+        wanted = choose(len(at))
+        at, owner = at[wanted], owner[wanted]
     shifts = [s for s in range(-reach, reach + 1) if s]
     around = np.stack([padded[at + s] for s in shifts], axis=1) if len(at) else None
     empty = np.empty((0, 2 * reach), np.uint16)
-    return padded[at], empty if around is None else around, np.repeat(np.arange(len(sizes)), sizes)
+    return padded[at], empty if around is None else around, owner
 
 
 def _document_groups(batch: pa.RecordBatch, limit: int = 200_000):
@@ -203,21 +224,23 @@ def _document_groups(batch: pa.RecordBatch, limit: int = 200_000):
 
 
 def _training(shape: Shape, values: np.ndarray, turn: int):
+    def chosen(seen: int, places: int) -> np.ndarray:
+        chance = mixed(
+            np.arange(places, dtype=np.uint64) * np.uint64(2 * turn + 3) + np.uint64(seen)
+        )
+        used = np.flatnonzero(chance % np.uint64(shape.stride) == 0)
+        return used[np.argsort(mixed(chance[used]), kind="stable")]
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork(shape, values)
         past, seen = network.past(), 0
         for batch in batches:
             for _, documents in _document_groups(batch):
-                token, around, owner = windows(documents, shape.reach)
-                chance = mixed(
-                    np.arange(len(token), dtype=np.uint64) * np.uint64(2 * turn + 3) + np.uint64(seen)
-                )
-                used = np.flatnonzero(chance % np.uint64(shape.stride) == 0)
-                used = used[np.argsort(mixed(chance[used]), kind="stable")]
-                for at in range(0, len(used), shape.batch):
-                    part = used[at : at + shape.batch]
+                token, around, _ = windows(documents, shape.reach, partial(chosen, seen))
+                for at in range(0, len(token), shape.batch):
+                    part = slice(at, at + shape.batch)
                     network.learn(around[part], token[part], past)
-                seen += len(used)
+                seen += len(token)
         if seen:
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
@@ -272,7 +295,7 @@ def train_network(tokens: DataFrame, shape: Shape = Shape()) -> WindowNetwork:
     return network
 
 
-def _scoring(shape: Shape, values: np.ndarray, rows_at_once: int = 8192):
+def _scoring(shape: Shape, values: np.ndarray, rows_at_once: int = 1024):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork(shape, values)
         for batch in batches:
