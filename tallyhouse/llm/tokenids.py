@@ -3,8 +3,8 @@
 An id is split into chunks of ``CHUNK_BITS`` bits, lowest first.  Level 0 has the
 first chunk of every id, level 1 the second chunk of the ids that go on, and so on.
 A bitmap beside each level tells which ids go on, and a directory of counts tells
-how many did before each 512 bits, so the place of an id's next chunk is one
-look-up and at most eight words of bits away.  Any id is read without decoding
+how many did before each 64 bits, so the place of an id's next chunk is one
+look-up and one count of bits away.  Any id is read without decoding
 others.
 
 A segment is one such structure with the documents it holds; the file of a token
@@ -37,7 +37,6 @@ TASK_CHARS = 32_000_000
 _MAGIC = b"DACS"
 _HEAD = struct.Struct("<4sHHqq")
 _LEVEL = struct.Struct("<qqqq")
-_BLOCK_WORDS = 8
 
 _SEGMENTS = "part long, first_in_part long, n_tokens long, n_docs long, payload binary"
 
@@ -53,13 +52,11 @@ class CodeLevel:
     @classmethod
     def build(cls, chunks: np.ndarray, more: np.ndarray) -> CodeLevel:
         bits = np.packbits(more, bitorder="little")
-        size = -(-len(bits) // (8 * _BLOCK_WORDS)) * 8 * _BLOCK_WORDS
-        words = np.zeros(size, np.uint8)
-        words[: len(bits)] = bits
-        words = words.view("<u8")
-        per_block = np.bitwise_count(words).reshape(-1, _BLOCK_WORDS).sum(axis=1, dtype=np.int64)
-        directory = np.cumsum(per_block) - per_block
-        return cls(chunks, words, directory.astype("<u4"))
+        padded = np.zeros(-(-len(bits) // 8) * 8, np.uint8)
+        padded[: len(bits)] = bits
+        words = padded.view("<u8")
+        per_word = np.bitwise_count(words).astype(np.int64)
+        return cls(chunks, words, (np.cumsum(per_word) - per_word).astype("<u4"))
 
     def goes_on(self, at: np.ndarray) -> np.ndarray:
         return (self.words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
@@ -67,13 +64,8 @@ class CodeLevel:
     def rank(self, at: np.ndarray) -> np.ndarray:
         """How many of the chunks before each of ``at`` go on."""
         word = at >> 6
-        block = word // _BLOCK_WORDS
-        count = self.directory[block].astype(np.int64)
-        for k in range(_BLOCK_WORDS - 1):
-            place = block * _BLOCK_WORDS + k
-            count += np.where(place < word, np.bitwise_count(self.words[place]), 0)
         mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return count + np.bitwise_count(self.words[word] & mask)
+        return self.directory[word].astype(np.int64) + np.bitwise_count(self.words[word] & mask)
 
 
 class DirectCodes:
