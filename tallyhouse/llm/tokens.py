@@ -18,9 +18,9 @@ import pyarrow.compute as pc
 from tallyhouse.llm.wordhash import slices
 
 #: Pieces kept by a worker; beyond that it starts anew.
-CACHED_PIECES = 1_500_000
+CACHED_PIECES = 400_000
 #: Bytes of text encoded at once.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 #: Pieces encoded as one text.
 _JOINED = 2000
 
@@ -169,6 +169,8 @@ def encoded_batches(
     batches: Iterator[pa.RecordBatch], path: str, keeps_space: bool, end_id: int
 ) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Batches of moderate size with the ids of column ``text``, ``end_id`` at the end of each."""
+    # What earlier tasks of this worker no longer need goes back to the system first.
+    pa.default_memory_pool().release_unused()
     tokenizer = encoder(path, keeps_space)
     last = np.array([end_id], np.uint32)
     for batch in batches:
