@@ -4,8 +4,10 @@ Every token is predicted from the two tokens before and the two after it; a
 document's score is the sum of the log probabilities of its tokens, each with that
 token left out of what the network sees.
 
-The vocabulary is the corpus's most frequent words, counted over all documents, and
-buckets for all other words.  The network is trained by local gradient descent: each
+The network's vocabulary is the corpus's most frequent words, counted over all
+documents, and buckets for all other words; it grows with the corpus.  A word of a
+bucket has the probability P(bucket | around it) * P(word | bucket), the second factor
+from the counts of all words, so each word is scored as itself.  The network is trained by local gradient descent: each
 task trains a copy on its share of the corpus, copies are averaged over a tree, and
 the next round begins from the average.
 """
@@ -13,18 +15,19 @@ the next round begins from the average.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import ship, stored
-from tallyhouse.llm.wordhash import counted, filled, mixed, slices, split_words, text_hash
+from tallyhouse.llm.wordhash import counted, filled, mixed, slices, split_words
 
 
 @dataclass(frozen=True)
@@ -32,7 +35,8 @@ class Shape:
     """Sizes of the network and of its training.
 
     ``vocabulary`` includes the padding (0) and ``buckets`` for words that are not
-    frequent.  Each round uses one token in ``stride`` of every document.
+    frequent.  It is the least one: :meth:`grown` has more words for more tokens.
+    Each round uses one token in ``stride`` of every document.
     """
 
     vocabulary: int = 512
@@ -48,6 +52,14 @@ class Shape:
     def words(self) -> int:
         return self.vocabulary - self.buckets - 1
 
+    def grown(self, tokens: int) -> Shape:
+        """With words of their own growing as the fourth root of the corpus's tokens."""
+        words = max(self.words, round(_GROWTH * tokens**0.25))
+        return replace(self, vocabulary=words + self.buckets + 1)
+
+
+#: Frequent words per fourth root of the number of tokens: 447 for four million.
+_GROWTH = 10
 
 #: Averages are taken over so many groups of copies before the last one.
 _GROUPS = 16
@@ -77,33 +89,72 @@ def word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_words(docs: DataFrame, number: int) -> list[str]:
-    """The ``number`` most frequent words, ties by the word."""
-    top = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(number)
-    return [r.word for r in top.collect()]
+def frequent_words(counts: DataFrame, number: int) -> list[tuple[str, int]]:
+    """The ``number`` most frequent words of ``counts`` (word, n), ties by the word."""
+    top = counts.orderBy(F.col("n").desc(), "word").limit(number)
+    return [(r.word, r.n) for r in top.collect()]
+
+
+def word_key(word: str) -> int:
+    """What Spark's xxhash64 gives for the word."""
+    key = xxhash.xxh64_intdigest(word, seed=42)
+    return key - (1 << 64) if key >> 63 else key
+
+
+def bucket_shares(
+    counts: DataFrame, frequent: list[tuple[str, int]], buckets: int
+) -> DataFrame:
+    """(word_key, log_share) of all words that are not ``frequent``: log P(word | bucket)."""
+    rare = F.lit(False)
+    if frequent:
+        word, n = frequent[-1]
+        rare = (F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word))
+    keyed = counts.filter(rare).groupBy(F.xxhash64("word").alias("word_key")).agg(
+        F.sum("n").alias("n")
+    )
+    bucketed = keyed.withColumn("bucket", F.pmod("word_key", F.lit(buckets)))
+    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("of_bucket"))
+    return bucketed.join(F.broadcast(totals), "bucket").select(
+        "word_key", (F.log("n") - F.log("of_bucket")).alias("log_share")
+    )
+
+
+_TOKENS = "doc_id long, row long, tokens binary, rare array<long>"
 
 
 def _numbering(words: list[str], shape: Shape):
     numbers = {word: i + 1 for i, word in enumerate(words)}
     other = 1 + shape.words
 
-    def number(word: str) -> int:
-        known = numbers.get(word)
-        return known if known is not None else other + text_hash(word) % shape.buckets
-
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
             texts = pc.utf8_lower(filled(batch["text"]))
             for start, end in slices(texts):
                 flat, starts = split_words(texts.slice(start, end - start))
                 coded = flat.dictionary_encode()
-                of_known = np.fromiter(map(number, coded.dictionary.to_pylist()), np.uint16)
-                ids = of_known[coded.indices.to_numpy()] if len(flat) else of_known
-                packed = [ids[i:j].astype("<u2").tobytes() for i, j in zip(starts[:-1], starts[1:])]
+                found = coded.dictionary.to_pylist()
+                number = np.fromiter((numbers.get(w, 0) for w in found), np.uint16, len(found))
+                key = np.fromiter(
+                    (0 if n else word_key(w) for w, n in zip(found, number.tolist())),
+                    np.int64, len(found),
+                )
+                is_rare = number == 0
+                number[is_rare] = other + key[is_rare] % shape.buckets
+                at = coded.indices.to_numpy() if len(flat) else np.empty(0, np.int64)
+                ids, rare = number[at].astype("<u2"), is_rare[at]
+                before = np.concatenate([[0], np.cumsum(rare)])[starts].astype(np.int32)
+                packed = [ids[i:j].tobytes() for i, j in zip(starts[:-1], starts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(start, end - start), pa.array(packed, pa.binary())],
-                    names=["doc_id", "tokens"],
+                    [
+                        batch["doc_id"].slice(start, end - start),
+                        pa.array(np.arange(row, row + end - start)),
+                        pa.array(packed, pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(before), pa.array(key[at[rare]])),
+                    ],
+                    names=["doc_id", "row", "tokens", "rare"],
                 )
+                row += end - start
 
     return tokens
 
@@ -285,7 +336,7 @@ def train_network(tokens: DataFrame, shape: Shape = Shape()) -> WindowNetwork:
     """
     network = WindowNetwork(shape)
     for turn in range(shape.rounds):
-        copies = tokens.mapInArrow(_training(shape, network.values, turn), _COPIES)
+        copies = tokens.select("tokens").mapInArrow(_training(shape, network.values, turn), _COPIES)
         means = copies.groupBy("place").applyInArrow(_averaged, _COPIES)
         table = means.toArrow()
         if not table.num_rows:
@@ -307,11 +358,10 @@ def _scoring(shape: Shape, values: np.ndarray, rows_at_once: int = 1024):
                     logs = network.log_probabilities(around[part], token[part])
                     total += np.bincount(owner[part], logs, len(documents))
                 sizes = np.fromiter(map(len, documents), np.int64, len(documents))
-                mean = pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(first, len(documents)), pa.array(sizes),
-                     pa.array(total), mean],
-                    names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                    [batch["doc_id"].slice(first, len(documents)),
+                     batch["row"].slice(first, len(documents)), pa.array(sizes), pa.array(total)],
+                    names=["doc_id", "row", "n_tokens", "of_network"],
                 )
 
     return score
@@ -325,9 +375,25 @@ def score_documents(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     * An empty table gives an empty result; only doc_id and text are looked at.
     """
     ship(docs.sparkSession)
-    words = frequent_words(docs, shape.words)
+    counts = stored(word_counts(docs), "word-counts")
+    shape = shape.grown(counts.agg(F.sum("n")).first()[0] or 0)
+    frequent = frequent_words(counts, shape.words)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    tokens = stored(rows.mapInArrow(_numbering(words, shape), "doc_id long, tokens binary"), "tokens")
+    numbered = rows.mapInArrow(_numbering([word for word, _ in frequent], shape), _TOKENS)
+    tokens = stored(numbered, "tokens")
     network = train_network(tokens, shape)
-    schema = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
-    return tokens.mapInArrow(_scoring(shape, network.values), schema)
+    shares = bucket_shares(counts, frequent, shape.buckets)
+    # By shuffle at any size: the words of a corpus grow with it, and none here is frequent.
+    rare = (
+        tokens.select("row", F.explode("rare").alias("word_key"))
+        .join(shares.hint("merge"), "word_key")
+        .groupBy("row").agg(F.sum("log_share").alias("within_buckets"))
+    )
+    scored = tokens.select("doc_id", "row", "tokens").mapInArrow(
+        _scoring(shape, network.values), "doc_id long, row long, n_tokens long, of_network double"
+    )
+    total = F.col("of_network") + F.coalesce("within_buckets", F.lit(0.0))
+    return scored.join(rare, "row", "left").select(
+        "doc_id", "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"),
+    )

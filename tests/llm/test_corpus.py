@@ -541,6 +541,32 @@ def test_scores_are_sums_over_all_tokens(spark, docs, rows):
         assert got[doc_id].log_likelihood <= 0
 
 
+def test_words_of_a_bucket_are_scored_as_themselves(spark):
+    common = " ".join(f"c{i % 150:03d}" for i in range(3000))
+    rows = [(i, common) for i in range(4)]
+    rows += [(10, "known " * 30 + "strange")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    # 120 frequent words at this size; one bucket holds the others, "strange" once in it.
+    shape = lmscore.Shape(vocabulary=8, buckets=1, hidden=4)
+    n = 4 * 3000 + 31
+    assert shape.grown(n).words == round(10 * n**0.25) > shape.words
+    assert shape.grown(10 * n).words > shape.grown(n).words
+    counts = lmscore.word_counts(frame)
+    frequent = lmscore.frequent_words(counts, 100)
+    shares = {r.word_key: r.log_share for r in lmscore.bucket_shares(counts, frequent, 1).collect()}
+    assert len(shares) == 152 - 100
+    assert sum(map(math.exp, shares.values())) == pytest.approx(1)
+    assert shares[lmscore.word_key("strange")] == pytest.approx(math.log(1 / (50 * 80 + 31)))
+    pair = spark.createDataFrame(
+        rows + [(20, "known " * 5), (21, "strange " * 5)], "doc_id long, text string"
+    )
+    got = {r.doc_id: r for r in lmscore.score_documents(pair, shape).collect()}
+    # Both words are of the one bucket, so the network cannot tell the two texts apart.
+    top = {w for w, _ in lmscore.frequent_words(lmscore.word_counts(pair), shape.grown(n + 10).words)}
+    assert not top & {"known", "strange"}
+    assert got[20].log_likelihood - got[21].log_likelihood == pytest.approx(5 * math.log(35 / 6))
+
+
 def test_network_against_direct_formula():
     shape = lmscore.Shape(vocabulary=12, buckets=2, hidden=4)
     network = lmscore.WindowNetwork(shape)
