@@ -36,7 +36,8 @@ class Shape:
 
     ``vocabulary`` includes the padding (0) and ``buckets`` for words that are not
     frequent.  It is the least one: :meth:`grown` has more words for more tokens.
-    Each round uses one token in ``stride`` of every document.
+    Each round trains on one token in ``stride``, another part in each round,
+    so ``stride`` rounds train on every token of every document once.
     """
 
     vocabulary: int = 512
@@ -44,10 +45,14 @@ class Shape:
     hidden: int = 32
     reach: int = 2
     rounds: int = 2
-    stride: int = 8
+    stride: int = 2
     batch: int = 256
     rate: float = 0.1
 
+    def __post_init__(self):
+        if self.stride > self.rounds:
+            raise ValueError(f"{self.rounds} rounds of one token in {self.stride} leave tokens out")
+
     @property
     def words(self) -> int:
         return self.vocabulary - self.buckets - 1
@@ -243,17 +248,19 @@ def windows(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, the tokens around each (0 beyond the ends), and its document's number.
 
-    ``choose`` gives the places that are wanted, and their order, from how many there are.
+    ``choose`` gives the tokens that are wanted, and their order, from each one's
+    document and its place there.
     """
     sizes = np.fromiter(map(len, documents), np.int64, len(documents))
     gap = np.zeros(reach, np.uint16)
     padded = np.concatenate([gap, *(x for d in documents for x in (d, gap))])
     before = np.arange(len(documents)) * reach + reach
     starts = before + np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(documents) else before
-    at = np.repeat(starts, sizes) + counted(sizes)
+    place = counted(sizes)
+    at = np.repeat(starts, sizes) + place
     owner = np.repeat(np.arange(len(sizes)), sizes)
     if choose is not None:
-        wanted = choose(len(at))
+        wanted = choose(owner, place)
         at, owner = at[wanted], owner[wanted]
     shifts = [s for s in range(-reach, reach + 1) if s]
     around = np.stack([padded[at + s] for s in shifts], axis=1) if len(at) else None
@@ -274,20 +281,25 @@ def _document_groups(batch: pa.RecordBatch, limit: int = 200_000):
         yield first, held
 
 
-def _training(shape: Shape, values: np.ndarray, turn: int):
-    def chosen(seen: int, places: int) -> np.ndarray:
-        chance = mixed(
-            np.arange(places, dtype=np.uint64) * np.uint64(2 * turn + 3) + np.uint64(seen)
-        )
-        used = np.flatnonzero(chance % np.uint64(shape.stride) == 0)
-        return used[np.argsort(mixed(chance[used]), kind="stable")]
+def _chosen(stride: int, turn: int, rows: np.ndarray, owner: np.ndarray, place: np.ndarray):
+    """Tokens of the round ``turn``, in random order: each is of one round in ``stride``.
+
+    That depends on the row and the place in its text alone, so rounds may deal rows otherwise.
+    """
+    chance = mixed(mixed(rows.astype(np.uint64))[owner] + place.astype(np.uint64))
+    used = np.flatnonzero(chance % np.uint64(stride) == turn % stride)
+    return used[np.argsort(mixed(chance[used] + np.uint64(turn)), kind="stable")]
 
+
+def _training(shape: Shape, values: np.ndarray, turn: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork(shape, values)
         past, seen = network.past(), 0
         for batch in batches:
-            for _, documents in _document_groups(batch):
-                token, around, _ = windows(documents, shape.reach, partial(chosen, seen))
+            rows = batch["row"].to_numpy()
+            for first, documents in _document_groups(batch):
+                choose = partial(_chosen, shape.stride, turn, rows[first : first + len(documents)])
+                token, around, _ = windows(documents, shape.reach, choose)
                 for at in range(0, len(token), shape.batch):
                     part = slice(at, at + shape.batch)
                     network.learn(around[part], token[part], past)
@@ -336,7 +348,7 @@ def train_network(tokens: DataFrame, shape: Shape = Shape()) -> WindowNetwork:
     """
     network = WindowNetwork(shape)
     for turn in range(shape.rounds):
-        copies = tokens.select("tokens").mapInArrow(_training(shape, network.values, turn), _COPIES)
+        copies = tokens.select("row", "tokens").mapInArrow(_training(shape, network.values, turn), _COPIES)
         means = copies.groupBy("place").applyInArrow(_averaged, _COPIES)
         table = means.toArrow()
         if not table.num_rows:

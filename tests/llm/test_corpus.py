@@ -579,6 +579,29 @@ def test_network_against_direct_formula():
     assert network.log_probabilities(around, token) == pytest.approx(want[np.arange(4), token], abs=1e-4)
 
 
+def test_rounds_train_on_every_token_once(spark, docs, monkeypatch):
+    shape = lmscore.Shape()
+    numbered = docs.mapInArrow(lmscore._numbering([], shape), lmscore._TOKENS).toArrow()
+    batch = numbered.combine_chunks().to_batches()[0]
+    learned = []
+    learn = lmscore.WindowNetwork.learn
+    monkeypatch.setattr(
+        lmscore.WindowNetwork, "learn",
+        lambda self, around, token, past: learned.extend(
+            zip(map(tuple, around.tolist()), token.tolist())
+        ) or learn(self, around, token, past),
+    )
+    monkeypatch.setattr(lmscore, "TaskContext", type("T", (), {"get": lambda: type("C", (), {"partitionId": lambda _: 0})()}))
+    for turn in range(shape.rounds):
+        values = lmscore.WindowNetwork(shape).values
+        list(lmscore._training(shape, values, turn)(iter([batch])))
+    documents = [np.frombuffer(x, "<u2") for x in batch["tokens"].to_pylist()]
+    token, around, _ = lmscore.windows(documents, shape.reach)
+    assert Counter(learned) == Counter(zip(map(tuple, around.tolist()), token.tolist()))
+    with pytest.raises(ValueError):
+        lmscore.Shape(stride=3, rounds=2)
+
+
 def test_training_tells_order_from_disorder(spark):
     rng = np.random.default_rng(12)
     ordered = [" ".join(["a b c d"] * 40) for _ in range(60)]
