@@ -5,15 +5,16 @@ fingerprint's bits, for or against, with the weight ``1 + ln count``.  Texts of
 have equal fingerprints, and the share of equal bits follows the angle between
 the weighted texts.
 
-Search cuts a fingerprint into ``radius + 1`` blocks.  Two fingerprints within the
-radius are equal in one block at least, so a table per block, keyed by it, finds
-every such pair.
+Search cuts a fingerprint into eight blocks.  Two fingerprints within the radius differ
+in at most ``radius // 8`` bits of one block at least, so a table per block, asked for all
+values so near to the query's block, finds every such pair.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,11 @@ from tallyhouse.llm.wordhash import filled, mixed
 BITS = 128
 #: Words of a term.
 TERM_WORDS = 2
-#: Differing bits at which two fingerprints still match.
-RADIUS = 3
+#: Differing bits at which two fingerprints still match: texts with 0.8 of their five-word
+#: shingles in common differ in 5 to 18 bits on the given documents.
+RADIUS = 20
+#: Bits of a block, the key of a table.
+BLOCK_BITS = 16
 #: Characters of text in one task, about.
 TASK_CHARS = 32_000_000
 
@@ -177,19 +181,22 @@ def neighbour_figures(docs: DataFrame) -> DataFrame:
     return chained.filter("part IS NULL").select(*_FIGURES).unionAll(done)
 
 
-def _blocks(high: Column, low: Column, radius: int) -> list[Column]:
-    """``radius + 1`` parts of a fingerprint, which together are all of it."""
-    if not 1 <= radius <= 15 or BITS % (radius + 1):
-        raise ValueError(f"{BITS} bits do not fall into {radius + 1} equal blocks")
-    width = BITS // (radius + 1)
-    if width > 64:
-        raise ValueError("a block has 64 bits at most")
-    mask = F.lit((1 << width) - 1 if width < 64 else -1).cast("long")
-    per_word = 64 // width
+def _blocks(high: Column, low: Column) -> list[Column]:
+    """The parts of a fingerprint, which together are all of it."""
+    mask = F.lit((1 << BLOCK_BITS) - 1).cast("long")
     return [
-        F.shiftrightunsigned(word, k * width).bitwiseAND(mask)
+        F.shiftrightunsigned(word, at).bitwiseAND(mask)
         for word in (low, high)
-        for k in range(per_word)
+        for at in range(0, 64, BLOCK_BITS)
+    ]
+
+
+def _flips(most: int) -> list[int]:
+    """All changes of a block in at most so many bits."""
+    return [
+        sum(1 << bit for bit in bits)
+        for n in range(min(most, BLOCK_BITS) + 1)
+        for bits in combinations(range(BLOCK_BITS), n)
     ]
 
 
@@ -199,29 +206,44 @@ def find_within_radius(
     """(q_high, q_low, high, low, distance) of all pairs within ``radius`` bits.
 
     Both inputs have (high, low); repeated fingerprints count once, so a group of
-    copies is one entry.  A pair equal in several blocks comes out of the first such
-    table only, decided inside the join, so no pair is made twice.
+    copies is one entry.  A pair near in several blocks comes out of the first such
+    table only, and the distance is checked inside the join, so no pair is made twice
+    and no pair beyond the radius is made.
     """
-
-    def tables(df: DataFrame, high: str, low: str) -> DataFrame:
-        distinct = df.select(F.col("high").alias(high), F.col("low").alias(low)).distinct()
-        blocks = F.array(*_blocks(F.col(high), F.col(low), radius))
-        return distinct.select(high, low, F.posexplode(blocks).alias("table", "block"))
-
-    a, b = tables(queries, "q_high", "q_low"), tables(prints, "high", "low")
-    pairs = zip(
-        _blocks(F.col("q_high"), F.col("q_low"), radius), _blocks(F.col("high"), F.col("low"), radius)
-    )
-    first = F.coalesce(*[F.when(x == y, F.lit(i)) for i, (x, y) in enumerate(pairs)])
+    if not 0 <= radius < BITS:
+        raise ValueError(f"a radius is from 0 to {BITS - 1} bits")
+    per_block = radius // (BITS // BLOCK_BITS)
+    flips = F.array(*[F.lit(x).cast("long") for x in _flips(per_block)])
+
+    def keys(high: str, low: str) -> list[Column]:
+        return [
+            block + F.lit(table << BLOCK_BITS).cast("long")
+            for table, block in enumerate(_blocks(F.col(high), F.col(low)))
+        ]
+
+    asked = queries.select(F.col("high").alias("q_high"), F.col("low").alias("q_low")).distinct()
+
+    def near_to(key: Column) -> Column:
+        return F.transform(flips, lambda x: key.bitwiseXOR(x))
+
+    near = [near_to(key) for key in keys("q_high", "q_low")]
+    left = asked.select("q_high", "q_low", F.explode(F.flatten(F.array(*near))).alias("q_key"))
+    distinct = prints.select("high", "low").distinct()
+    right = distinct.select("high", "low", F.explode(F.array(*keys("high", "low"))).alias("key"))
+    apart = [
+        F.bit_count(x.bitwiseXOR(y))
+        for x, y in zip(
+            _blocks(F.col("q_high"), F.col("q_low")), _blocks(F.col("high"), F.col("low"))
+        )
+    ]
+    first = F.coalesce(*[F.when(n <= per_block, F.lit(i)) for i, n in enumerate(apart)])
     distance = F.bit_count(F.col("q_high").bitwiseXOR(F.col("high"))) + F.bit_count(
         F.col("q_low").bitwiseXOR(F.col("low"))
     )
-    left, right = a.alias("a"), b.alias("b")
     on = (
-        (F.col("a.table") == F.col("b.table"))
-        & (F.col("a.block") == F.col("b.block"))
-        & (F.col("a.table") == first)
+        (F.col("q_key") == F.col("key"))
         & (distance <= radius)
+        & (F.shiftright("key", BLOCK_BITS) == first)
     )
     return left.join(right, on).select(
         "q_high", "q_low", "high", "low", distance.cast("int").alias("distance")

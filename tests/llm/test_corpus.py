@@ -473,6 +473,37 @@ def test_halves_are_nearer_than_strangers(spark):
     assert abs(np.mean([r.near_next for r in got]) - 0.5) < 0.05
 
 
+def test_search_finds_edited_texts(spark):
+    rng = np.random.default_rng(10)
+    texts = []
+    for _ in range(40):
+        ws = [f"w{n}" for n in rng.integers(0, 3000, 300)]
+        texts.append(" ".join(ws))
+        for at in rng.choice(300, 5, replace=False):
+            ws[at] = "edited"
+        texts.append(" ".join(ws))
+    for a, b in zip(texts[::2], texts[1::2]):
+        x, y = shingles(a).keys(), shingles(b).keys()
+        assert len(x & y) >= 0.8 * len(x | y)
+    prints = simhash.fingerprints(pa.array(texts, pa.large_string())).view(np.int64)
+    frame = spark.createDataFrame(
+        [(int(high), int(low)) for low, high in prints], "high long, low long"
+    )
+    asked = frame.limit(80)
+
+    def gap(i, j):
+        return int(np.bitwise_count((prints[i] ^ prints[j]).view(np.uint64)).sum())
+
+    assert np.median([gap(i, i + 1) for i in range(0, 80, 2)]) > 3
+    found = {tuple(r) for r in simhash.find_within_radius(asked, frame).collect()}
+    for i in range(0, 80, 2):
+        (ql, qh), (l, h) = prints[i].tolist(), prints[i + 1].tolist()
+        assert (qh, ql, h, l, gap(i, i + 1)) in found
+    for radius in (0, 5, 20, 26):
+        rows = simhash.find_within_radius(asked, frame, radius).collect()
+        assert len(rows) == sum(gap(i, j) <= radius for i in range(80) for j in range(80))
+
+
 def test_search_finds_all_within_radius(spark):
     rng = np.random.default_rng(9)
     base = [(int(a), int(b)) for a, b in rng.integers(-(2**62), 2**62, (30, 2))]
