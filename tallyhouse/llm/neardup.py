@@ -4,7 +4,9 @@ A text is the weighted set of its five-word shingles; a shingle found ``c`` time
 weighs ``1 + ln c``.  Each shingle is the source of a Poisson process with its
 weight as rate, each arrival falls into a register at random, and a register
 keeps the shingle that arrives first.  Two texts agree in a register with the
-probability of their probability Jaccard similarity.
+probability of their probability Jaccard similarity.  A text with repeated shingles has
+a second row of registers with all weights 1, which agree with the probability of
+plain Jaccard similarity; for other texts the two rows are the same.
 
 Registers are banded; texts that share a band are candidates; a candidate pair is
 a link when its exact similarity reaches the threshold.  Classes are the connected
@@ -29,7 +31,7 @@ from tallyhouse.llm.wordhash import counted, filled, mixed, slices, window_hashe
 class Banding:
     """A pair of similarity s shares a band with probability 1 - (1 - s^rows)^bands.
 
-    That is 0.9997 at 0.8 and above, and 0.03 at 0.3.
+    This holds for either similarity, plain or probability Jaccard.  That is 0.9997 at 0.8 and above, and 0.03 at 0.3.
     """
 
     bands: int = 20
@@ -128,24 +130,45 @@ def _band_keys(signature: np.ndarray, banding: Banding) -> np.ndarray:
     return keys
 
 
+def _bands_of_texts(texts: pa.Array, banding: Banding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys of all texts in order, where each text's begin (with the end), and whether
+    it has words.
+
+    A text's keys are those of its weighted registers and, where shingles are repeated, those
+    of its plain ones, in the same bands: a plain set is found by either kind of text.
+    """
+    owner, shingle, counts = shingle_sets(texts, banding.words)
+    size = banding.bands * banding.rows
+    weighted = _band_keys(registers(owner, shingle, weights_of(counts), len(texts), size), banding)
+    keys = np.concatenate([weighted, weighted], axis=1)
+    repeats = np.bincount(owner, counts > 1, len(texts)) > 0
+    if repeats.any():
+        live = repeats[owner]
+        number = np.cumsum(repeats) - 1
+        ones = np.ones(int(live.sum()))
+        plain = registers(number[owner[live]], shingle[live], ones, int(repeats.sum()), size)
+        keys[repeats, banding.bands :] = _band_keys(plain, banding)
+    wanted = np.ones(keys.shape, bool)
+    # Keys of different bands differ, so a key comes twice in its own band only.
+    wanted[:, banding.bands :] = keys[:, banding.bands :] != weighted
+    starts = np.concatenate([[0], np.cumsum(wanted.sum(axis=1))])
+    return keys[wanted], starts, np.bincount(owner, minlength=len(texts)) > 0
+
+
 def _signing(banding: Banding):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = filled(batch["text"])
             for start, end in _text_slices(whole):
                 texts = whole.slice(start, end - start)
-                owner, shingle, counts = shingle_sets(texts, banding.words)
-                signature = registers(
-                    owner, shingle, weights_of(counts), len(texts), banding.bands * banding.rows
-                )
-                keys = _band_keys(signature, banding).view(np.int64)
-                offsets = np.arange(0, keys.size + 1, banding.bands, dtype=np.int32)
+                keys, starts, has_words = _bands_of_texts(texts, banding)
+                keys, offsets = keys.view(np.int64), starts.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(start, end - start),
                         batch["node"].slice(start, end - start),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))),
-                        pa.array(np.bincount(owner, minlength=len(texts)) > 0),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
+                        pa.array(has_words),
                     ],
                     names=["doc_id", "node", "bands", "has_words"],
                 )
