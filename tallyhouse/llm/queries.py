@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import (
+    linededup,
     lmscore,
     mixing,
     neardup,
     packing,
     quality,
+    runs,
     simhash,
     substring,
     tokenids,
     toxicity,
     urls,
+    whitening,
 )
 from tallyhouse.llm.common import documents
 from tallyhouse.llm.sql import SQL
@@ -24,12 +27,15 @@ from tallyhouse.llm.sql import SQL
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.toxicity_report(documents(spark, sf_dir), labels)
 
 
+def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_query,
     "op2_fingerprints": lambda spark, d: simhash.fingerprint_report(documents(spark, d)),
@@ -41,6 +47,9 @@ QUERIES: dict[str, Query] = {
     "op6_substring_dedup": lambda spark, d: substring.removal_report(documents(spark, d)),
     "op9_minhash_near_dedup": lambda spark, d: neardup.class_report(documents(spark, d)),
     "op10_mixing": lambda spark, d: mixing.mix_report(documents(spark, d)),
+    "op11_periodic_runs": lambda spark, d: runs.runs_report(documents(spark, d)),
+    "op12_line_dedup": lambda spark, d: linededup.line_report(documents(spark, d)),
+    "op13_embedding_whitening": whitening_query,
 }
 
 __all__ = ["QUERIES", "SQL"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.linededup import MIN_CHARS, MIN_DOCS
 from tallyhouse.llm.quality import LineLimits
 from tallyhouse.llm.urls import BLOCK_ABOVE, BOUND, RULES
 
@@ -143,8 +144,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM figures
 """
 
+LINE_DEDUP = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(said) AS line, unnest(range(1, len(said) + 1)) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS said FROM documents)
+),
+keyed AS (
+  SELECT *, translate({_TRIM.format("line")}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+),
+shared AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= {MIN_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {MIN_DOCS}
+),
+judged AS (
+  SELECT doc_id, line, pos, coalesce(doc_id < last, false) AS gone
+  FROM keyed LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 SQL = {
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op7_url_filters": URL_FILTERS,
     "op8_quality_rules": QUALITY_RULES,
+    "op12_line_dedup": LINE_DEDUP,
 }

@@ -87,7 +87,7 @@ def words(text):
 
 def test_all_are_registered():
     names = set(queries())
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_dedup", "substring_dedup", "source_mix", "best_fit_packing"
     ]

@@ -1,0 +1,381 @@
+"""Periodic runs, line deduplication and whitening, against plain Python and numpy."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from tallyhouse.llm import linededup, runs, whitening
+
+SMALL = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, runs string, row int, keep long, block int, n_words string"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(i, t, "x", 1, 2, 3, None) for i, t in rows], SCHEMA).repartition(parts)
+
+
+# -- periodic runs -----------------------------------------------------------
+
+
+def brute_runs(w, min_length=6, min_exponent=4):
+    """Every maximal stretch of equal distance, named by its smallest period."""
+    found = {}
+    for q in range(1, len(w)):
+        i = 0
+        while i < len(w) - q:
+            j = i
+            while j < len(w) - q and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(min_length, min_exponent * q) and j > i:
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted((a, b - a, q) for (a, b), q in found.items())
+
+
+def edited_words(doc_id, text):
+    w = words(text)
+    if doc_id is None or not w:
+        return w
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def expected_runs(doc_id, text):
+    w = edited_words(doc_id, text)
+    found = brute_runs(w)
+    gone = {i for a, n, q in found for i in range(a + q, a + n)}
+    best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+    figures = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    listed = "".join(f"{a},{n},{q}\n" for a, n, q in found)
+    kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+    return (doc_id, len(found), *figures, sha(listed), sha(kept))
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(0, 2), max_size=60), min_size=1, max_size=4),
+    st.sampled_from([(6, 4), (2, 2), (5, 3)]),
+)
+def test_runs_of_arrays_equal_brute_force(texts, limits):
+    flat = np.array([x for t in texts for x in t], np.int32)
+    starts = np.cumsum([0, *map(len, texts)])
+    got = list(zip(*(x.tolist() for x in runs.find_runs(flat, starts, *limits))))
+    want = [(a + starts[i], n, q) for i, t in enumerate(texts) for a, n, q in brute_runs(t, *limits)]
+    assert got == want
+
+
+@pytest.mark.parametrize("period", [1, 2, 3, 7, 64, 1000, 4999])
+def test_long_periodic_texts(period):
+    """Texts that are one run, beside texts that are none; no period is too long."""
+    body = np.concatenate([np.arange(100) + 10_000, np.arange(20_000) % period, np.arange(50) + 20_000])
+    plain = np.arange(30_000, 33_000)
+    flat = np.concatenate([plain, body, plain])
+    starts = np.cumsum([0, len(plain), len(body), len(plain)])
+    start, length, found = runs.find_runs(flat, starts)
+    assert (start.tolist(), length.tolist(), found.tolist()) == ([3100], [20_000], [period])
+
+
+def test_hash_collisions_do_not_make_runs(monkeypatch):
+    """With windows of one hash only, the comparison of words is all that is left."""
+    monkeypatch.setattr(runs, "_doubled", lambda h, size: np.zeros_like(h[:-size]) if len(h) > size else h[:0])
+    w = np.concatenate([np.arange(300), np.arange(200) % 9, np.arange(1000, 1100)])
+    got = runs.find_runs(w, np.array([0, len(w)]))
+    assert [x.tolist() for x in got] == [[300], [200], [9]]
+
+
+def test_a_run_needs_two_periods():
+    with pytest.raises(ValueError):
+        runs.find_runs(np.zeros(4), np.array([0, 4]), 1, 1)
+
+
+ROWS = [
+    (0, None), (1, ""), (2, " \t\n "), (3, "a a a a a"), (4, "a a a a a a"), (5, "a  a\ta\na a a b"),
+    (6, "x y " * 4), (7, "x y " * 3 + "x"), (8, "one two three " * 30), (9, "é ü é ü é ü é ü 漢"),
+    (10, " ".join(f"w{i % 977}" for i in range(9000))), (11, "a " * 6 + "b " * 6 + "a b " * 9),
+    (12, "p q r " * 5 + "s t " * 5), (12, "p q r " * 5 + "s t " * 5), (None, "n n n n n n n"),
+    *[(100 + i, f"only some words number {i} here and there {i} " * (1 + i % 5)) for i in range(60)],
+    (-5, "minus " * 9),
+]
+
+
+def test_runs_report_equals_brute_force(spark, empty):
+    got = sorted(map(tuple, runs.runs_report(frame(spark, ROWS)).collect()), key=str)
+    assert got == sorted((expected_runs(*row) for row in ROWS), key=str)
+    assert sum(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in ROWS if i is not None) > 3
+    assert runs.runs_report(empty).count() == 0
+
+
+def test_registered_runs_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: tuple(r) for r in queries()["op11_periodic_runs"](spark, SMALL).collect()}
+    assert len(got) == len(docs)
+    short = [r for r in docs if len(words(r.text)) <= 1200]
+    assert len(short) > 150
+    for row in short:
+        assert got[row.doc_id] == expected_runs(*row)
+
+
+def test_runs_keep_the_columns_asked_for(spark):
+    docs = frame(spark, [(1, "a " * 7), (None, None)])
+    got = runs.periodic_runs(docs, carry=("doc_id", "row", "keep"))
+    assert got.columns == ["doc_id", "row", "keep", "n_words", "runs", "collapsed"]
+    found = {r.doc_id: r for r in got.collect()}
+    assert [tuple(x) for x in found[1].runs] == [(0, 7, 1)] and found[1].collapsed == "a"
+    assert found[None].n_words == 0 and found[None].runs == [] and found[None].collapsed == ""
+    squares = runs.periodic_runs(docs.withColumn("text", F.lit("b c b c d")), min_length=4, min_exponent=2)
+    assert [tuple(x) for x in squares.first().runs] == [(0, 4, 2)]
+
+
+def test_runs_move_no_rows(spark):
+    plan = runs.runs_report(frame(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the repartition of the frame
+
+
+# -- line deduplication ------------------------------------------------------
+
+
+def brute_lines(rows, min_chars=20, min_docs=3, last_first=True, once=False):
+    def key(line):
+        trimmed = line.strip(" \t\n\x0b\x0c\r")
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in trimmed)
+
+    holders = defaultdict(dict)
+    for doc_id, text in rows:
+        for pos, line in enumerate((text or "").split("\n")):
+            if len(key(line)) >= min_chars and doc_id is not None:
+                known = holders[key(line)].get(doc_id, pos)
+                holders[key(line)][doc_id] = min(pos, known)
+    out = []
+    for doc_id, text in rows:
+        kept = []
+        lines = (text or "").split("\n")
+        for pos, line in enumerate(lines):
+            docs = holders.get(key(line), {})
+            if doc_id is not None and len(docs) >= min_docs:
+                top = (max if last_first else min)(docs)
+                if top != doc_id or (once and docs[top] != pos):
+                    continue
+            kept.append(line)
+        out.append((doc_id, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    return sorted(out, key=str)
+
+
+LINE = "  Subscribe to OUR letter today\t"
+LINES = [
+    (0, None), (1, ""), (2, "\n\n"), (3, LINE), (4, LINE.lower() + "\nown line of the fourth text"),
+    (5, f"first\n{LINE}\nsecond\n{LINE.strip()}\nlast"), (6, "x\n" * 700 + LINE + "\n" + "y\n" * 130),
+    (7, "short line\nshort line"), (8, "short line"), (9, "short line"),
+    (10, "nineteen characters\nTwenty characters ok"), (11, "nineteen characters\ntwenty characters OK"),
+    (12, "nineteen characters\n\x0btwenty characters ok\r"), (13, "Ünïcode lines are kept apart"),
+    (14, "ünïcode lines are kept apart"), (15, "ÜNÏCODE LINES ARE KEPT APART"),
+    (16, "漢字" * 10), (17, "漢字" * 10), (18, "漢字" * 10 + "\n" + "漢字" * 10),
+    (None, LINE), (None, LINE + "\nno id"), (20, "two documents have it\nand more"),
+    (21, "two documents have it"), (22, "one id, three rows, one document"),
+    (22, "one id, three rows, one document"), (22, "one id, three rows, one document\nand another text"),
+    (3, LINE), (3, "other text of three\n" + LINE), (30, "the last\n" + LINE + "\n" + LINE.upper()),
+]
+
+
+@pytest.mark.parametrize("last_first,once", [(True, False), (False, False), (True, True), (False, True)])
+def test_lines_equal_brute_force(spark, empty, last_first, once):
+    # With ``once``, equal ids with different texts have no common positions.
+    rows = LINES if not once else [r for r in LINES if r[0] not in (3, 22)]
+    docs = frame(spark, rows)
+    bitmaps = linededup.keep_bitmaps(docs, last_first=last_first, once=once)
+    judged = linededup.without_lines(docs, bitmaps).collect()
+    got = [(r.row.doc_id, r.n_lines, r.n_dropped, sha(r.kept_text)) for r in judged]
+    assert sorted(got, key=str) == brute_lines(rows, last_first=last_first, once=once)
+
+
+def test_line_report(spark, empty):
+    got = sorted(map(tuple, linededup.line_report(frame(spark, LINES)).collect()), key=str)
+    assert got == brute_lines(LINES)
+    assert linededup.line_report(empty).count() == 0
+
+
+def test_line_limits(spark):
+    rows = [(i, f"abc\nline {i % 2}") for i in range(8)]
+    docs = frame(spark, rows)
+    bitmaps = linededup.keep_bitmaps(docs, min_chars=1, min_docs=5)
+    judged = linededup.without_lines(docs, bitmaps).collect()
+    got = [(r.row.doc_id, r.n_lines, r.n_dropped, sha(r.kept_text)) for r in judged]
+    assert sorted(got, key=str) == brute_lines(rows, min_chars=1, min_docs=5)
+
+
+def test_hot_lines_without_broadcast(spark, monkeypatch):
+    """One line in every document and one document in a third of all rows, joined by shuffle."""
+    monkeypatch.setattr(linededup, "small", lambda df, *_: df)
+    monkeypatch.setattr(linededup, "BLOCK_LINES", 50)
+    shared = "this very line is in every document"
+    rows = [(i, f"{shared}\nand this is only in {i}\n{shared}") for i in range(600)]
+    rows += [(599, rows[599][1])] * 300
+    assert sorted(map(tuple, linededup.line_report(frame(spark, rows)).collect()), key=str) == brute_lines(rows)
+
+
+def test_bitmaps_leave_out_whole_words(spark):
+    docs = frame(spark, [(i, "x\n" * 700 + LINE + "\ny" * i) for i in range(4)])
+    found = linededup.keep_bitmaps(docs).filter("doc_id = 1").first().keep
+    assert [(x.whole, x.keep) for x in found] == [(10, ~(1 << 60))]
+
+
+def test_native_line_plan(spark):
+    docs = frame(spark, LINES)
+    plan = linededup.line_report(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas|BatchEval", plan)
+
+
+# -- whitening ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 20, 64])
+@pytest.mark.parametrize("seed", [0, 1])
+def test_inertia_counts(n, seed):
+    rng = np.random.default_rng(seed)
+    a = rng.standard_normal((n, n))
+    a = a + a.T
+    if seed:
+        np.fill_diagonal(a, 0)
+    values = np.linalg.eigvalsh(a)
+    for shift in [*((values[1:] + values[:-1]) / 2), values[0] - 1, values[-1] + 1, 0.0]:
+        assert whitening.eigenvalues_above(a, shift) == (values > shift).sum()
+
+
+SPECTRA = {
+    "spread": lambda n: 10.0 ** -np.arange(n),
+    "equal": lambda n: np.ones(n),
+    "pairs": lambda n: np.repeat(np.arange(n, 0, -2.0), 2)[:n],
+    "near": lambda n: 1 + 1e-9 * np.arange(n)[::-1],
+    "few": lambda n: np.r_[5.0, 4, 1, np.zeros(n - 3)],
+}
+
+
+@pytest.mark.parametrize("kind", SPECTRA)
+def test_leading_components(kind):
+    n = 12
+    spectrum = SPECTRA[kind](n)
+    q, _ = np.linalg.qr(np.random.default_rng(5).standard_normal((n, n)))
+    matrix = (q * spectrum) @ q.T
+    matrix = (matrix + matrix.T) / 2
+    values, vectors = whitening.leading_components(matrix, 8)
+    expected = np.linalg.eigvalsh(matrix)[::-1][: len(values)]
+    assert len(values) == min(8, (spectrum > 1e-13).sum())
+    assert np.abs(values - expected).max() < 1e-13 * spectrum[0]
+    assert np.abs(vectors @ vectors.T - np.eye(len(values))).max() < 1e-13
+    assert np.abs(matrix @ vectors.T - vectors.T * values).max() < 1e-13 * spectrum[0]
+
+
+def numbers(vectors):
+    return [[math.floor(64 * c) + 1_000_000 for c in v] for v in vectors]
+
+
+def check_whitening(rows, kept, components=32):
+    """Rows of the report against numpy's eigenvectors and whole-number arithmetic."""
+    x = numbers([v for _, v in kept])
+    n, dims = len(x), len(x[0])
+    sums = [sum(v[d] for v in x) for d in range(dims)]
+    centred = np.array([[float(Fraction(n * a - s, n)) for a, s in zip(v, sums)] for v in x])
+    covariance = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(covariance)
+    values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]
+    white = centred @ vectors / np.sqrt(values)
+    # Rows come in no order; ids may repeat.
+    got = defaultdict(list)
+    for r in rows:
+        got[r.vec_id, r.component].append(r)
+    assert sum(map(len, got.values())) == n * len(values)
+    sign = {}
+    for i, (vec_id, _) in enumerate(kept):
+        deviation = sum((n * a - s) ** 2 for a, s in zip(x[i], sums))
+        for c in range(len(values)):
+            r = min(got[vec_id, c + 1], key=lambda r: (r.deviation != deviation, abs(abs(r.whitened) - abs(white[i, c]))))
+            assert (r.n, r.deviation) == (n, deviation)
+            assert abs(abs(r.whitened) - abs(white[i, c])) < 1e-8
+            if abs(white[i, c]) > 1e-6:
+                assert sign.setdefault(c, np.sign(r.whitened * white[i, c])) == np.sign(r.whitened * white[i, c])
+            assert abs(r.explained - values[c] / np.trace(covariance)) < 1e-10
+            assert r.identity_error < 1e-9
+
+
+def test_registered_whitening(spark):
+    kept = [tuple(r) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    check_whitening(queries()["op13_embedding_whitening"](spark, SMALL).collect(), kept)
+
+
+VECTORS = "vec_id long, embedding array<float>, component string, n int, vector int, deviation double"
+
+
+def vectors_frame(spark, rows):
+    return spark.createDataFrame([(i, v, "c", 1, 2, 3.0) for i, v in rows], VECTORS).repartition(3)
+
+
+def test_whitening_of_odd_rows(spark):
+    rng = np.random.default_rng(3)
+    good = [(i, [float(np.float32(c)) for c in rng.standard_normal(5) * [9, 4, 2, 1, 1]]) for i in range(60)]
+    good += [(3, good[3][1]), (4, good[9][1]), (None, good[7][1])]
+    bad = [(90, None), (91, [1.0, None, 2.0, 3.0, 4.0]), (92, [math.nan] + [0.0] * 4), (93, [math.inf] + [0.0] * 4),
+           (94, [0.0, 1.0]), (95, []), (96, [1e30] + [0.0] * 4)]
+    rows = whitening.whitening_report(vectors_frame(spark, good + bad)).collect()
+    check_whitening(rows, good)
+
+
+def test_whitening_without_variance(spark):
+    for rows in ([], [(1, [1.0, 2.0])], [(i, [1.0, 2.0]) for i in range(5)], [(1, [])], [(1, None)]):
+        assert whitening.whitening_report(vectors_frame(spark, rows)).count() == 0
+    flat = [(i, [float(i), 7.0, 2.0 * i]) for i in range(9)]
+    rows = whitening.whitening_report(vectors_frame(spark, flat)).collect()
+    assert {r.component for r in rows} == {1} and len(rows) == 9
+
+
+def test_large_numbers_are_summed_exactly(spark):
+    """Entries of more than 20 bits take several limbs; a deviation beyond a long is NULL."""
+    entries = [[float(3**k * (i % 5 - 2)), float(i * i), 0.5 * i] for k, i in zip(range(28), range(28))]
+    exact = [[float(np.float32(c)) for c in v] for v in entries]
+    frame_ = vectors_frame(spark, list(enumerate(exact)))
+    rows, model, _ = whitening.whiten(frame_)
+    x = numbers(exact)
+    n = len(x)
+    sums = [sum(v[d] for v in x) for d in range(3)]
+    assert list(model.sums) == sums
+    products = [[sum((n * v[a] - sums[a]) * (n * v[b] - sums[b]) for v in x) for b in range(3)] for a in range(3)]
+    assert model.trace == pytest.approx(float(Fraction(sum(products[a][a] for a in range(3)), n**3)), rel=1e-15)
+    for r in rows.collect():
+        full = sum((n * a - s) ** 2 for a, s in zip(x[r.vec_id], sums))
+        assert r.deviation == (full if full < 2**63 else None)
+
+
+def test_reruns_and_partitions_agree(spark):
+    frame_ = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    one = whitening.whiten(frame_.repartition(7))[1]
+    two = whitening.whiten(frame_.coalesce(1))[1]
+    assert list(one.sums) == list(two.sums) and np.array_equal(one.vectors, two.vectors)
