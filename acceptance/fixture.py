@@ -2,8 +2,9 @@
 
 Every event is kept.  The table has no repeated ids, missing values or
 repositories, so the adapter adds them by rule, with the same rule in Spark and
-in SQL: some events are delivered a second time an hour later, some lose their
-id, and a repository is made up from the number in ``props``.
+in SQL: some events are delivered a second time an hour later, some at the same
+instant with another payload, some lose their id, and a repository is made up from
+the number in ``props``.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ TYPES = {
     "purchase": "PullRequestEvent",
     "signup": "CreateEvent",
 }
+AGAIN_PAYLOAD = '{"delivered":"again"}'
 SIGNUP_PAYLOAD = '{"ref_type":"branch","master_branch":"main"}'
 
 
@@ -59,7 +61,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = _spread(events).selectExpr(
         "*",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
-        "explode(IF(event_id % 10 = 0, array(0, 1), array(0))) AS late",
+        """explode(CASE WHEN event_id % 10 = 0 THEN array(0, 1)
+                        WHEN event_id % 15 = 7 THEN array(0, 2) ELSE array(0) END) AS late""",
     )
     return delivered.selectExpr(
         "IF(event_id % 97 <> 0, CAST(event_id AS STRING), NULL) AS id",
@@ -70,9 +73,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             IF(k % 25 = 0, concat('orphan', k),
                concat('org', k % 9, '/', get(array({_WORD_LIST}), k % {len(WORDS)}), '-', k)),
             '"}}'), NULL) AS repo""",
-        f"IF(event_type = 'signup', '{SIGNUP_PAYLOAD}', props) AS payload",
+        f"""CASE WHEN late = 2 THEN '{AGAIN_PAYLOAD}'
+            WHEN event_type = 'signup' THEN '{SIGNUP_PAYLOAD}' ELSE props END AS payload""",
         "user_id % 10 <> 0 AS public",
-        "CAST(ts AS TIMESTAMP) + make_dt_interval(0, late) AS created_at",
+        "CAST(ts AS TIMESTAMP) + make_dt_interval(0, late % 2) AS created_at",
         """IF(k % 9 < 3, concat('{"login":"org', k % 9, '"}'), NULL) AS org""",
     )
 
@@ -80,10 +84,13 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW_SQL = f"""
 delivered AS (
   SELECT event_id, user_id, event_type, props, ts,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, 0 AS late FROM events
   UNION ALL
   SELECT event_id, user_id, event_type, props, ts + INTERVAL 1 HOUR,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) FROM events WHERE event_id % 10 = 0
+         CAST(json_extract_string(props, '$.k') AS INTEGER), 1 FROM events WHERE event_id % 10 = 0
+  UNION ALL
+  SELECT event_id, user_id, event_type, props, ts,
+         CAST(json_extract_string(props, '$.k') AS INTEGER), 2 FROM events WHERE event_id % 15 = 7
 ),
 raw AS (
   SELECT
@@ -95,7 +102,8 @@ raw AS (
       CASE WHEN k % 25 = 0 THEN 'orphan' || k
            ELSE 'org' || (k % 9) || '/' || ([{_WORD_LIST}])[k % 12 + 1] || '-' || k END
       || '"}}' END AS repo,
-    CASE WHEN event_type = 'signup' THEN '{SIGNUP_PAYLOAD}' ELSE props END AS payload,
+    CASE WHEN late = 2 THEN '{AGAIN_PAYLOAD}'
+         WHEN event_type = 'signup' THEN '{SIGNUP_PAYLOAD}' ELSE props END AS payload,
     user_id % 10 <> 0 AS public,
     ts AS created_at,
     CASE WHEN k % 9 < 3 THEN '{{"login":"org' || (k % 9) || '"}}' END AS org

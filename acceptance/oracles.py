@@ -22,7 +22,8 @@ staged AS (
          CAST(hour(created_at) AS INTEGER) AS hour_of_day
   FROM raw
   WHERE id IS NOT NULL AND type IS NOT NULL AND created_at IS NOT NULL
-  QUALIFY created_at = max(created_at) OVER (PARTITION BY id)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC, type DESC,
+    json_extract_string(repo, '$.name') DESC NULLS LAST, payload DESC) = 1
 ),
 by_type AS (
   SELECT event_date, event_type, count(*) AS event_count,
@@ -227,6 +228,12 @@ STAGED = f"SELECT {STAGING_COLUMNS} FROM staged"
 STORED_STAGED = f"SELECT {STAGING_COLUMNS}, event_date FROM staged"
 TARGET, STRAY = "DATE '2024-01-10'", "DATE '2024-01-11'"
 
+UNIQUES = """SELECT count(DISTINCT actor_login) AS unique_actors,
+    count(DISTINCT repo_name) AS unique_repos FROM staged"""
+KPIS = """SELECT count(*) AS total_events, count(DISTINCT event_type) AS event_types,
+    count(DISTINCT actor_login) AS unique_actors, count(DISTINCT repo_name) AS unique_repos
+    FROM staged"""
+
 TWINS: dict[str, str] = {
     # sources, sinks, load semantics
     "scan_ndjson": f"SELECT {RAW_COLUMNS} FROM raw",
@@ -251,6 +258,7 @@ TWINS: dict[str, str] = {
     "replace_date": f"""{DATED_RAW} WHERE CAST(created_at AS DATE) <> {TARGET} OR public
         UNION ALL {DATED_RAW} WHERE CAST(created_at AS DATE) = {STRAY} AND public
         UNION ALL {DATED_RAW} WHERE CAST(created_at AS DATE) = {STRAY} AND public""",
+    "replace_date_resumed": f"{DATED_RAW} WHERE CAST(created_at AS DATE) <> {TARGET} OR public",
     "materialize": "SELECT * FROM repo_days",
     "backfill": DATED_RAW,
     "backfill_mixed_names": DATED_RAW,
@@ -268,7 +276,7 @@ TWINS: dict[str, str] = {
     "boolean_cast": "SELECT id AS event_id, created_at AS event_timestamp, public AS is_public FROM raw",
     "payload_passthrough": "SELECT event_id, payload FROM staged",
     "dedup_latest": f"""SELECT {RAW_COLUMNS} FROM raw WHERE id IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC, type DESC, actor DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC, type DESC, actor DESC, payload DESC) = 1""",
     "stg_events": STAGED,
     "stg_from_files": STORED_STAGED,
     "stg_from_files_small_bound": STORED_STAGED,
@@ -306,11 +314,13 @@ TWINS: dict[str, str] = {
     "language_range": "SELECT * FROM language_days",
     "kpi_totals": """SELECT CAST(sum(event_count) AS BIGINT) AS total_events,
         count(DISTINCT event_type) AS event_types FROM by_type""",
-    "kpi_uniques": """SELECT count(DISTINCT actor_login) AS unique_actors,
-        count(DISTINCT repo_name) AS unique_repos FROM staged""",
-    "kpis": """SELECT count(*) AS total_events, count(DISTINCT event_type) AS event_types,
-        count(DISTINCT actor_login) AS unique_actors, count(DISTINCT repo_name) AS unique_repos
-        FROM staged""",
+    "kpi_uniques": UNIQUES,
+    "kpis": KPIS,
+    "kpi_uniques_stored": UNIQUES,
+    "kpi_uniques_week": f"""{UNIQUES}
+        WHERE event_date >= DATE '2024-01-05' AND event_date <= DATE '2024-01-11'""",
+    "kpi_uniques_refreshed": UNIQUES,
+    "kpis_stored": KPIS,
     "pipeline_status": f"{COUNTS_BY_DATE} GROUP BY ALL ORDER BY event_date DESC LIMIT 14",
     "date_range_filter": """SELECT * FROM repo_days
         WHERE event_date >= DATE '2024-01-05' AND event_date <= DATE '2024-01-11'""",

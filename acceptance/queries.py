@@ -28,11 +28,11 @@ from tallyhouse.functions import (
     split_repo,
     type_filter,
 )
-from tallyhouse.operators import analytics, grouping, hours, marts, quality, reports, staging
+from tallyhouse.operators import analytics, grouping, hours, marts, quality, reports, staging, uniques
 from tallyhouse.plans import daily
 from tallyhouse.schemas import ACTIVITY_COUNTERS, CLUSTERING, PUSH_ACTIVITY_TYPES
 from tallyhouse.session import scratch_path
-from tallyhouse.sources import landing, ndjson, tables
+from tallyhouse.sources import landing, ndjson, publish, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -191,6 +191,22 @@ def replace_date(d: Derived) -> DataFrame:
     return d.spark.table(table)
 
 
+def replace_date_resumed(d: Derived) -> DataFrame:
+    """A load of the target day that stops before it is adopted, and one that never got so far."""
+    table = f"{stored_raw(d.spark, d.sf_dir, 'resumed')}.raw_events"
+    day = d.all_days[0].fromisoformat(TARGET_DAY)
+    dated = d.raw.withColumn("event_date", event_date("created_at"))
+    rows = dated.filter(F.col("public") & (F.col("event_date") == F.lit(day)))
+    load = publish.Load.begin(d.spark, table)
+    load.write(rows.select(*d.spark.table(table).columns))
+    load.commit([day])
+    publish.recover(d.spark, table)
+    lost = publish.Load.begin(d.spark, table)
+    lost.write(dated.select(*d.spark.table(table).columns))
+    publish.recover(d.spark, table)
+    return d.spark.table(table)
+
+
 def materialize(d: Derived) -> DataFrame:
     database = fresh_database(d.spark, "materialized")
     return tables.materialize(
@@ -247,6 +263,7 @@ SOURCES = {
     "ensure_table": ensure_table,
     "delete_date": lambda d: zoneless(delete_date(d)),
     "replace_date": lambda d: zoneless(replace_date(d)),
+    "replace_date_resumed": lambda d: zoneless(replace_date_resumed(d)),
     "materialize": materialize,
     "backfill": lambda d: zoneless(backfill(d)),
     "backfill_mixed_names": lambda d: zoneless(backfill_mixed_names(d)),
@@ -299,12 +316,12 @@ STAGING = {
     "payload_passthrough": lambda d: staging.stage_events(d.raw).select("event_id", "payload"),
     "dedup_latest": lambda d: zoneless(
         staging.dedup_latest(
-            d.raw.filter(F.col("id").isNotNull()), "id", "created_at", ["type", "actor"]
+            d.raw.filter(F.col("id").isNotNull()), "id", "created_at", ["type", "actor", "payload"]
         )
     ),
     "stg_events": lambda d: zoneless(staging.stage_events(d.raw)),
     "stg_from_files": lambda d: zoneless(stg_from_files(d)),
-    "stg_from_files_small_bound": lambda d: zoneless(stg_from_files(d, broadcast_bytes=1000)),
+    "stg_from_files_small_bound": lambda d: zoneless(stg_from_files(d, max_bits=4096)),
 }
 
 
@@ -350,6 +367,23 @@ MARTS = {
 # -- report queries ----------------------------------------------------------
 
 
+def member_days(d: Derived) -> DataFrame:
+    return d.spark.table(f"{warehouse(d.spark, d.sf_dir)}.{daily.MEMBER_DAYS}")
+
+
+def refreshed_uniques(d: Derived) -> DataFrame:
+    """Bitmaps written in three refreshes of some dates each, over the whole range."""
+    database = stored_raw(d.spark, d.sf_dir, "uniques")
+    daily.build_staging(d.spark, database)
+    week = landing.days(*WEEK)
+    before, after = ([x for x in d.all_days if side(x)] for side in (week[0].__gt__, week[-1].__lt__))
+    for days in (before, after, week):
+        daily.build_uniques(d.spark, database, days)
+    return uniques.range_uniques(
+        d.spark.table(f"{database}.{daily.MEMBER_DAYS}"), d.first_day, d.last_day
+    )
+
+
 REPORTS = {
     "date_bounds": lambda d: reports.date_bounds(d.raw),
     "type_range": lambda d: reports.type_range(d.by_type, d.first_day, d.last_day),
@@ -359,6 +393,10 @@ REPORTS = {
     "kpi_totals": lambda d: reports.kpi_totals(d.by_type, d.first_day, d.last_day),
     "kpi_uniques": lambda d: reports.kpi_uniques(d.stg, d.first_day, d.last_day),
     "kpis": lambda d: reports.kpis(d.by_type, d.stg, d.first_day, d.last_day),
+    "kpi_uniques_stored": lambda d: uniques.range_uniques(member_days(d), d.first_day, d.last_day),
+    "kpi_uniques_week": lambda d: uniques.range_uniques(member_days(d), *WEEK),
+    "kpi_uniques_refreshed": refreshed_uniques,
+    "kpis_stored": lambda d: uniques.range_kpis(d.by_type, member_days(d), d.first_day, d.last_day),
     "pipeline_status": lambda d: reports.pipeline_status(d.raw),
     "date_range_filter": lambda d: reports.date_range_filter(d.repos, *WEEK),
 }

@@ -18,8 +18,16 @@ def _col(value: ColumnLike) -> Column:
 
 
 def _unix_hours(timestamp: ColumnLike) -> Column:
-    """Whole hours from 1970 to an instant, a column of type timestamp."""
-    return F.floor(F.unix_micros(_col(timestamp)) / F.lit(3_600_000_000))
+    """Whole hours from 1970 to an instant.
+
+    A value without a zone (TIMESTAMP_NTZ) is a wall clock in UTC.  The type is
+    known when the query is planned, so one branch is all that runs.
+    """
+    moment = _col(timestamp)
+    epoch = F.lit("1970-01-01").cast("date")
+    wall = F.datediff(moment.cast("date"), epoch).cast("long") * 24 + F.hour(moment)
+    instant = F.floor(F.unix_micros(moment.cast("timestamp")) / F.lit(3_600_000_000))
+    return F.when(F.typeof(moment) == "timestamp_ntz", wall).otherwise(instant)
 
 
 def event_date(timestamp: ColumnLike) -> Column:

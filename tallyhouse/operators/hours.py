@@ -83,16 +83,24 @@ def hour_window(
 
 
 def hour_window_for_interval(
-    df: DataFrame, start: datetime | str, end: datetime | str, timestamp: str = "created_at"
+    df: DataFrame,
+    start: datetime | str,
+    end: datetime | str,
+    timestamp: str = "created_at",
+    default_day: date | None = None,
 ) -> DataFrame:
     """Rows of the run interval's date in the interval's hours.
 
-    An interval that gives no window takes the whole date.  Written as a range
-    of instants, which scans can push down; a stored date column is tested too,
-    so other partitions are skipped.
+    An interval that gives no window takes the whole date; one whose start is not
+    readable takes the whole of ``default_day`` (yesterday in UTC).  Written as a
+    range of instants, which scans can push down; a stored date column is tested
+    too, so other partitions are skipped.
     """
     first, length = effective_window(interval=(start, end))
-    day = _utc(start).date()
+    try:
+        day = _utc(start).date()
+    except ValueError:
+        day = default_day or run_date()
     opens = datetime.combine(day, time(), timezone.utc) + first * HOUR
     moment = F.col(timestamp)
     rows = df.filter((moment >= F.lit(opens)) & (moment < F.lit(opens + length * HOUR)))

@@ -12,7 +12,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import json_texts
+from tallyhouse.functions import event_date, json_texts
+from tallyhouse.operators.idfilter import MAX_BITS, IdFilter, id_filter
 from tallyhouse.schemas import REQUIRED_FIELDS, STAGING_COLUMNS
 from tallyhouse.session import drop_path, write_through
 
@@ -85,52 +86,26 @@ def stage_events(raw: DataFrame, payload: bool = True) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Deduplication of a stored table without moving the wide rows
+# Deduplication of a stored table without moving the records of single ids
 # ---------------------------------------------------------------------------
 
-#: Largest broadcast relation, in bytes.
-WINNER_BROADCAST_BYTES = 256 * 1024 * 1024
-
-#: Bytes of one broadcast row beside its text: row header, numbers, hash entry.
-_ROW_BYTES = 96
-
-
-def _fits(rows: DataFrame, texts: Sequence[str], limit: int) -> bool:
-    """Whether stored rows make a broadcast of at most ``limit`` bytes.
-
-    Counted on the rows as written, so the size is known and not an estimate of
-    the optimizer.
-    """
-    lengths = sum((F.octet_length(name) for name in texts), F.lit(_ROW_BYTES))
-    size = rows.agg(F.coalesce(F.sum(lengths.cast("long")), F.lit(0))).first()[0]
-    return size <= limit
-
 
 @dataclass(frozen=True)
 class StoredStaging:
-    """Staged rows, and whether they still lie as the raw files did.
+    """Staged rows in two parts.
 
-    ``in_place`` rows were never shuffled: each task holds rows of the dates of
-    the files it read, so they can be written by date without a shuffle.
+    ``settled`` rows have an id of their own.  They were never shuffled: each task
+    holds rows of the dates of the files it read, so they can be written by date as
+    they lie.  ``moved`` rows won over other copies and lie by id; there are none
+    when no id comes twice.
     """
 
-    rows: DataFrame
-    in_place: bool
+    settled: DataFrame
+    moved: DataFrame | None
 
-
-def _located(raw: DataFrame) -> DataFrame:
-    """Usable records of a Parquet scan, each with its file and position.
-
-    Both stay the same for every read of an unchanged file, also when a lost
-    task is run again.
-    """
-    return required_fields(
-        raw.select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
-        )
-    )
+    @property
+    def rows(self) -> DataFrame:
+        return self.settled if self.moved is None else self.settled.unionByName(self.moved)
 
 
 def repeated_ids(raw: DataFrame) -> DataFrame:
@@ -147,44 +122,18 @@ def repeated_ids(raw: DataFrame) -> DataFrame:
     )
 
 
-def winning_copies(located: DataFrame, ids: DataFrame) -> DataFrame:
-    """File and position of the copy to keep, for each of ``ids``.
-
-    ``ids`` is broadcast, so callers check its size first.  The best copy is a
-    maximum, not a window: copies of a hot id are combined before the shuffle.
-    """
-    candidates = located.join(F.broadcast(ids), "id", "left_semi").select(
-        *_narrow_columns(), "payload", "_file", "_row"
-    )
-    # The payload of repeated ids only is read; place decides between equal copies.
-    order = ["event_timestamp", *_TIE_BREAK, "_file", "_row"]
-    best = candidates.groupBy("event_id").agg(F.max(F.struct(*order)).alias("best"))
-    return best.select(
-        F.col("event_id").alias("_id"),
-        F.col("best._file").alias("_keep_file"),
-        F.col("best._row").alias("_keep_row"),
-    )
-
-
-def _without_other_copies(located: DataFrame, winners: DataFrame) -> DataFrame:
-    joined = located.join(F.broadcast(winners), located["id"] == winners["_id"], "left")
-    kept = (F.col("_file") == F.col("_keep_file")) & (F.col("_row") == F.col("_keep_row"))
-    return joined.filter(F.col("_id").isNull() | kept)
-
-
 @contextmanager
-def staged_from_files(
-    raw: DataFrame, broadcast_bytes: int = WINNER_BROADCAST_BYTES
-) -> Iterator[StoredStaging]:
+def staged_from_files(raw: DataFrame, max_bits: int = MAX_BITS) -> Iterator[StoredStaging]:
     """Staged rows of a stored raw table, for the duration of the ``with`` block.
 
-    Three narrow steps replace the shuffle of whole records: find the repeated
-    ids, find where the copy to keep of each lies, then read the table once and
-    skip the other copies against a broadcast of those places.  Ids and places
-    are stored and measured before they are broadcast; when either is larger
-    than ``broadcast_bytes`` the window plan of :func:`stage_events` is used.
+    The repeated ids are found from the id column and put into a filter of at most
+    ``max_bits`` bits, which is broadcast.  Records that it rules out have an id of
+    their own and pass as they lie.  Only the rest is shuffled and ranked as in
+    :func:`stage_events`: copies, and the few single records that the filter hits
+    by chance.  A hot id is one row per map task there.
 
-    Copies are ordered as in :func:`stage_events`, whichever plan is used.
+    There is one plan for every number of repeated ids.  Beyond what the filter
+    holds, more single records take the way of the copies.
     """
     spark = raw.sparkSession
     scratch: list[str] = []
@@ -194,21 +143,16 @@ def staged_from_files(
         scratch.append(path)
         return table
 
-    def staged() -> StoredStaging:
-        ids = stored(repeated_ids(raw), "repeated-ids")
-        if ids.isEmpty():
-            return StoredStaging(project_rename(required_fields(raw)), in_place=True)
-        if _fits(ids, ["id"], broadcast_bytes):
-            located = _located(raw)
-            winners = stored(winning_copies(located, ids), "winning-copies")
-            if _fits(winners, ["_id", "_keep_file"], broadcast_bytes):
-                single = _without_other_copies(located, winners)
-                return StoredStaging(project_rename(single), in_place=True)
-        return StoredStaging(stage_events(raw), in_place=False)
-
     try:
-        result = staged()
-        yield StoredStaging(result.rows.select(*STAGING_COLUMNS), result.in_place)
+        ids = stored(repeated_ids(raw), "repeated-ids")
+        usable, n = required_fields(raw), ids.count()
+        if n == 0:
+            yield StoredStaging(project_rename(usable), None)
+            return
+        made = id_filter(ids, n, max_bits=max_bits)
+        filter_ = IdFilter(stored(made.blocks, "repeated-id-bits"), made.bits)
+        copies, single = filter_.split(usable, "id")
+        yield StoredStaging(project_rename(single), stage_events(copies))
     finally:
         for path in scratch:
             drop_path(spark, path)
@@ -231,21 +175,16 @@ def changed_ids(raw: DataFrame, stg: DataFrame, changed: Sequence[date]) -> Data
     return now.unionAll(before).distinct()
 
 
-def copies_elsewhere(
-    raw: DataFrame,
-    ids: DataFrame,
-    changed: Sequence[date],
-    broadcast_bytes: int = WINNER_BROADCAST_BYTES,
-) -> DataFrame:
+def copies_elsewhere(raw: DataFrame, ids: DataFrame, changed: Sequence[date]) -> DataFrame:
     """(id, event_date) of usable records of other dates that carry one of ``ids``.
 
     Only through these can another date gain or lose a staged row.  ``ids`` is the
-    stored result of :func:`changed_ids`.  It is broadcast when its measured size
-    allows, so that the history is read once and nothing but its hits is moved.
+    stored result of :func:`changed_ids`.  A filter of them is broadcast, so the
+    history's ids are read once and nothing but the filter's hits is moved.
     """
-    known = F.broadcast(ids) if _fits(ids, ["id"], broadcast_bytes) else ids
     history = required_fields(raw.filter(~F.col("event_date").isin(*changed)))
-    return history.join(known, "id", "left_semi").select("id", "event_date").distinct()
+    hits = id_filter(ids, ids.count()).maybe(history.select("id", "event_date"), "id")
+    return hits.join(ids, "id", "left_semi").distinct()
 
 
 def restaged(
@@ -267,5 +206,5 @@ def restaged(
     fresh = stage_events(raw.filter(day.isin(*changed)).unionByName(elsewhere))
     stay = stg.filter(day.isin(*others)).join(moved, stg["event_id"] == moved["id"], "left_anti")
     columns = [*STAGING_COLUMNS, "event_date"]
-    dated = fresh.withColumn("event_date", F.to_date("event_timestamp"))
+    dated = fresh.withColumn("event_date", event_date("event_timestamp"))
     return dated.select(*columns).unionByName(stay.select(*columns))

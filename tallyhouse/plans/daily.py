@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import event_date
+from tallyhouse.operators import uniques
+from tallyhouse.operators.idfilter import MAX_BITS
 from tallyhouse.operators.marts import MARTS, dated
 from tallyhouse.operators.quality import gate, quality_report
 from tallyhouse.operators.staging import (
-    WINNER_BROADCAST_BYTES,
     changed_ids,
     copies_elsewhere,
     restaged,
@@ -30,12 +31,14 @@ from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING, RETENTION_DAYS
 from tallyhouse.session import drop_path, write_through
 from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_dates
 from tallyhouse.sources.ndjson import CORRUPT, BadRecordsError, combine_hours
+from tallyhouse.sources.publish import recover
 from tallyhouse.sources.tables import (
     DATE,
     ensure_table,
     expire_partitions,
     materialize,
     overwrite_dates,
+    raw_row_counts,
     replace_dates,
 )
 
@@ -43,6 +46,9 @@ log = logging.getLogger(__name__)
 
 RAW = "raw_events"
 STAGING = "stg_events"
+#: Numbers of actors and repositories, and the bitmaps of those seen on each date.
+MEMBERS = "members"
+MEMBER_DAYS = "member_days"
 
 
 @dataclass(frozen=True)
@@ -93,27 +99,31 @@ def load_dates(
             if count > bad_record_limit:
                 raise BadRecordsError(count, bad_record_limit, where=f"files of {day}")
         good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        table = spark.table(f"{database}.{RAW}")
-        deleted = table.filter(F.col(DATE).isin(*present)).count()
-        rows = replace_dates(good, f"{database}.{RAW}", present)
+        table = f"{database}.{RAW}"
+        recover(spark, table)
+        before = {r[0]: r.raw_rows for r in raw_row_counts(spark.table(table)).collect()}
+        rows = replace_dates(good, table, present)
     finally:
         drop_path(spark, path)
-    total = spark.table(f"{database}.{RAW}").count()
+    deleted = sum(before.get(day, 0) for day in present)
+    total = sum(before.values()) - deleted + sum(rows.values())
     result = LoadResult(present, landing.day_glob(present), rows, deleted, total)
     log.info("%s: loaded %d rows from %s", database, result.rows_loaded, result.source)
     return result
 
 
-def build_staging(
-    spark: SparkSession, database: str, broadcast_bytes: int = WINNER_BROADCAST_BYTES
-) -> DataFrame:
-    """Rebuild the staging table from the raw table."""
-    with staged_from_files(spark.table(f"{database}.{RAW}"), broadcast_bytes) as staged:
+def build_staging(spark: SparkSession, database: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """Rebuild the staging table from the raw table.
+
+    Records of single ids are written as they lie; only those that won over other
+    copies are dealt out by date first.
+    """
+    with staged_from_files(spark.table(f"{database}.{RAW}"), max_bits) as staged:
+        rows = dated(staged.settled)
+        if staged.moved is not None:
+            rows = rows.unionByName(dated(staged.moved).hint("rebalance", DATE))
         return materialize(
-            dated(staged.rows),
-            f"{database}.{STAGING}",
-            cluster_by=CLUSTERING[STAGING],
-            redistribute=not staged.in_place,
+            rows, f"{database}.{STAGING}", cluster_by=CLUSTERING[STAGING], redistribute=False
         )
 
 
@@ -133,6 +143,45 @@ def build_marts(spark: SparkSession, database: str) -> dict[str, DataFrame]:
         return {name: task.result() for name, task in tasks.items()}
 
 
+def build_uniques(
+    spark: SparkSession, database: str, changed: Sequence[date] | None = None
+) -> DataFrame:
+    """Bring the per-date bitmaps of members up to date with the staging table.
+
+    All dates, or those of ``changed`` only; staging is read for these dates.  Numbers
+    are only ever added, so bitmaps written before stay right, and a run that failed
+    in between can be repeated.
+    """
+    members, days_table = f"{database}.{MEMBERS}", f"{database}.{MEMBER_DAYS}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {members} (kind STRING, name STRING, number BIGINT) USING parquet")
+    stg = spark.table(f"{database}.{STAGING}")
+    if changed is not None:
+        stg = stg.filter(F.col(DATE).isin(*changed))
+    paths: list[str] = []
+
+    def stored(rows: DataFrame, purpose: str) -> DataFrame:
+        table, path = write_through(rows, purpose)
+        paths.append(path)
+        return table
+
+    try:
+        seen = stored(uniques.members_by_date(stg), "members-by-date")
+        fresh = stored(uniques.new_names(seen, spark.table(members)), "new-members")
+        if not fresh.isEmpty():
+            shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            added = uniques.numbered(fresh, spark.table(members), shards)
+            stored(added, "numbered-members").write.insertInto(members)
+            spark.catalog.refreshTable(members)
+        bitmaps = uniques.member_bitmaps(seen, spark.table(members))
+        if changed is None or not spark.catalog.tableExists(days_table):
+            return materialize(bitmaps, days_table, cluster_by=CLUSTERING[MEMBER_DAYS])
+        overwrite_dates(bitmaps, days_table, changed, CLUSTERING[MEMBER_DAYS])
+        return spark.table(days_table)
+    finally:
+        for path in paths:
+            drop_path(spark, path)
+
+
 def stored_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """The checked tables as stored."""
     return {name: spark.table(f"{database}.{name}") for name in (STAGING, *MARTS)}
@@ -148,6 +197,7 @@ def rebuild(spark: SparkSession, database: str) -> None:
     staging = build_staging(spark, database)
     gate(quality_report({STAGING: staging}))
     gate(quality_report(build_marts(spark, database)))
+    build_uniques(spark, database)
 
 
 def refresh(spark: SparkSession, database: str, changed: Sequence[DateLike]) -> list[date]:
@@ -180,9 +230,14 @@ def refresh(spark: SparkSession, database: str, changed: Sequence[DateLike]) ->
     for name, build in MARTS.items():
         overwrite_dates(build(part), f"{database}.{name}", rewritten, CLUSTERING[name])
     gate(quality_report({name: spark.table(f"{database}.{name}") for name in MARTS}))
+    build_uniques(spark, database, rewritten if _has(spark, database, MEMBER_DAYS) else None)
     return rewritten
 
 
+def _has(spark: SparkSession, database: str, *names: str) -> bool:
+    return all(spark.catalog.tableExists(f"{database}.{name}") for name in names)
+
+
 def run_day(
     spark: SparkSession,
     database: str,
@@ -198,8 +253,7 @@ def run_day(
     """
     result = load_dates(spark, database, landing, [day], bad_record_limit)
     if result.dates:
-        built = all(spark.catalog.tableExists(f"{database}.{t}") for t in (STAGING, *MARTS))
-        if changed_only and built:
+        if changed_only and _has(spark, database, STAGING, *MARTS):
             refresh(spark, database, result.changed_dates)
         else:
             rebuild(spark, database)
@@ -238,6 +292,6 @@ def expire(
     """Drop dates older than ``keep_days`` before ``as_of`` from every stored table."""
     return {
         name: expire_partitions(spark, f"{database}.{name}", as_of, keep_days)
-        for name in (RAW, STAGING, *MARTS)
-        if spark.catalog.tableExists(f"{database}.{name}")
+        for name in (RAW, STAGING, *MARTS, MEMBER_DAYS)
+        if _has(spark, database, name)
     }

@@ -7,8 +7,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.operators import analytics, reports
-from tallyhouse.plans.daily import RAW, STAGING
+from tallyhouse.operators import analytics, reports, uniques
+from tallyhouse.plans.daily import MEMBER_DAYS, RAW, STAGING
 from tallyhouse.sources.landing import DateLike
 
 
@@ -28,7 +28,9 @@ def dashboard(
 
     Four small inputs feed most figures and are kept while the block runs: the
     type, hour and language rows of the range (a few per date) and the 200
-    busiest repository-days.  Each is read from its mart once.
+    busiest repository-days.  Each is read from its mart once.  Distinct actors and
+    repositories come from the bitmaps by date, so staging is read only where these
+    were never built.
     """
     if start is None or end is None:
         first, last = available_range(spark, database)
@@ -42,9 +44,13 @@ def dashboard(
     days = reports.top_repo_days(table("top_repos"), start, end).persist()
     languages = reports.language_range(table("language_trends"), start, end).persist()
     rollup = analytics.repo_rollup(days)
+    if spark.catalog.tableExists(f"{database}.{MEMBER_DAYS}"):
+        kpis = uniques.range_kpis(table("events_by_type"), table(MEMBER_DAYS), start, end)
+    else:
+        kpis = reports.kpis(table("events_by_type"), table(STAGING), start, end)
     try:
         yield {
-            "kpis": reports.kpis(table("events_by_type"), table(STAGING), start, end),
+            "kpis": kpis,
             "pipeline_status": reports.pipeline_status(table(RAW)),
             # overview
             "events_by_type": types,

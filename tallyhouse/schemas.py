@@ -73,6 +73,7 @@ CLUSTERING = {
     "events_by_hour": ("hour_of_day",),
     "top_repos": ("repo_name",),
     "language_trends": ("repo_language",),
+    "member_days": ("kind", "bucket"),
 }
 
 #: Malformed records a load may hold before it is refused.

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 from threading import Lock
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import event_date
 from tallyhouse.schemas import RAW_SCHEMA, RETENTION_DAYS
 from tallyhouse.sources.landing import DateLike, as_date
-
-#: Partition column of every stored table.
-DATE = "event_date"
+from tallyhouse.sources.publish import DATE, Load, partition_spec, publish, stored_dates
 
 _RAW_NAMES = RAW_SCHEMA.fieldNames()
 
@@ -29,12 +30,6 @@ def ensure_table(spark: SparkSession, table: str) -> None:
     )
 
 
-def stored_dates(spark: SparkSession, table: str) -> list[date | None]:
-    """Dates that have a partition, from the catalog; None is the NULL date."""
-    names = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return [None if n == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(n) for n in names]
-
-
 def _clear(spark: SparkSession, table: str, day: date) -> None:
     # A static-partition overwrite with no rows: other dates are not touched,
     # and it works for managed and external tables alike.
@@ -59,22 +54,37 @@ def delete_date(spark: SparkSession, table: str, day: DateLike) -> int:
     return found
 
 
+class _Mode:
+    """The overwrite mode a session had, and how many writes want the dynamic one now."""
+
+    def __init__(self) -> None:
+        self.before: str | None = None
+        self.writes = 0
+
+
 _MODE_LOCK = Lock()
+_MODES: WeakKeyDictionary[SparkSession, _Mode] = WeakKeyDictionary()
 
 
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     # insertInto takes the mode from the session only; a writer option of the
-    # same name is ignored there.  The lock keeps loads on several threads from
-    # restoring the setting under each other.
+    # same name is ignored there.  Writes on several threads share the setting:
+    # the first one makes it, the last one restores it, none waits for another.
     key = "spark.sql.sources.partitionOverwriteMode"
     with _MODE_LOCK:
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            yield
-        finally:
-            spark.conf.set(key, before)
+        mode = _MODES.setdefault(spark, _Mode())
+        if not mode.writes:
+            mode.before = spark.conf.get(key)
+            spark.conf.set(key, "dynamic")
+        mode.writes += 1
+    try:
+        yield
+    finally:
+        with _MODE_LOCK:
+            mode.writes -= 1
+            if not mode.writes:
+                spark.conf.set(key, mode.before)
 
 
 def replace_dates(
@@ -91,8 +101,9 @@ def replace_dates(
     * stray rows of dates outside ``dates`` (or without a date) are appended;
     * a loaded date without rows ends up empty.
 
-    Only rows of the loaded dates go through the partition overwrite, so a stray
-    row can never wipe its neighbours.  Returns the rows loaded per date.
+    The dates are replaced in two phases (see :mod:`tallyhouse.sources.publish`): a
+    load that fails leaves the old rows or is finished by the next load.  Returns
+    the rows loaded per date.
 
     ``batch`` is read more than once: pass a stored scan, not a parse of JSON.
     A stored ``event_date`` column lets the stray pass skip what it does not need.
@@ -101,9 +112,6 @@ def replace_dates(
     targets = sorted({as_date(d) for d in dates})
     if not targets:
         raise ValueError("no dates to load")
-    foreign = F.col("file_date").isNull() | ~F.col("file_date").isin(*targets)
-    if "file_date" in batch.columns and not batch.filter(foreign).isEmpty():
-        raise ValueError("rows whose file_date is missing or not among the dates to load")
     if "file_date" not in batch.columns:
         if len(targets) > 1:
             raise ValueError("several dates need a file_date column")
@@ -111,22 +119,32 @@ def replace_dates(
     if DATE not in batch.columns:
         batch = batch.withColumn(DATE, event_date("created_at"))
 
-    day = F.col(DATE)
-    loaded = day.isin(*targets) & (day <= F.col("file_date"))
+    day, file_day = F.col(DATE), F.col("file_date")
+    loaded = day.isin(*targets) & (day <= file_day)
     stray = day.isNull() | ~day.isin(*targets)
-    counts = {r[0]: r[1] for r in batch.filter(loaded | stray).groupBy(DATE).count().collect()}
+    known = F.coalesce(file_day.isin(*targets), F.lit(False))
+    seen = (
+        batch.filter(loaded | stray | ~known)
+        .groupBy(DATE)
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(~known).alias("foreign"))
+        .collect()
+    )
+    if any(r.foreign for r in seen):
+        raise ValueError("rows whose file_date is missing or not among the dates to load")
+    counts = {r[DATE]: r.rows for r in seen}
     columns = [*_RAW_NAMES, DATE]
 
+    parts = []
     if any(d in counts for d in targets):
-        with _dynamic_overwrite(spark):
-            batch.filter(loaded).select(*columns).write.insertInto(table, overwrite=True)
-    stored = set(stored_dates(spark, table))
-    for d in targets:
-        if d not in counts and d in stored:
-            _clear(spark, table, d)
-    if any(d not in targets for d in counts):
-        strays = batch.filter(stray).select(*columns).hint("rebalance", DATE)
-        strays.write.insertInto(table, overwrite=False)
+        parts.append(batch.filter(loaded).select(*columns))
+    elsewhere = [d for d in counts if d not in targets]
+    if elsewhere:
+        # A date is replaced whole, so what it has goes along with the stray rows.
+        there = reduce(or_, [day.eqNullSafe(F.lit(d).cast("date")) for d in elsewhere])
+        kept = spark.table(table).filter(there).select(*columns)
+        strays = batch.filter(stray).select(*columns).unionByName(kept)
+        parts.append(strays.hint("rebalance", DATE))
+    publish(spark, table, parts, counts, [d for d in targets if d not in counts])
     return counts
 
 
@@ -145,7 +163,6 @@ def materialize(
     df: DataFrame,
     table: str,
     cluster_by: Sequence[str] = (),
-    partition_by: str = DATE,
     redistribute: bool = True,
 ) -> DataFrame:
     """Rebuild a table from ``df`` and return it as stored.
@@ -162,36 +179,46 @@ def materialize(
     are dropped.  A table of other columns is dropped before it is written.
     """
     spark = df.sparkSession
-    placed = df.hint("rebalance", partition_by) if redistribute else df
-    placed = placed.sortWithinPartitions(partition_by, *cluster_by)
-    names = [*[c for c in df.columns if c != partition_by], partition_by]
+    placed = df.hint("rebalance", DATE) if redistribute else df
+    placed = placed.sortWithinPartitions(DATE, *cluster_by)
+    names = [*[c for c in df.columns if c != DATE], DATE]
     types = dict(df.dtypes)
     if not (
         spark.catalog.tableExists(table)
         and spark.table(table).dtypes == [(name, types[name]) for name in names]
     ):
-        placed.write.mode("overwrite").format("parquet").partitionBy(partition_by).saveAsTable(table)
+        placed.write.mode("overwrite").format("parquet").partitionBy(DATE).saveAsTable(table)
         return spark.table(table)
-    before = set(spark.table(table).inputFiles())
+    before = set(stored_dates(spark, table))
+    noted, seen = _dates_seen(placed.select(*names))
     with _dynamic_overwrite(spark):
-        placed.select(*names).write.insertInto(table, overwrite=True)
+        noted.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
-    left = before.intersection(spark.table(table).inputFiles())
-    _drop_dates(spark, table, sorted({_partition_value(path, partition_by) for path in left}), partition_by)
+    _drop_dates(spark, table, before - seen())
     return spark.table(table)
 
 
-def _partition_value(path: str, column: str) -> str:
-    return path.split(f"/{column}=", 1)[1].split("/", 1)[0]
+def _drop_dates(spark: SparkSession, table: str, dates: Collection[date | None]) -> None:
+    if dates:
+        listed = ", ".join(partition_spec(d) for d in dates)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+        spark.catalog.refreshTable(table)
 
 
-def _drop_dates(spark: SparkSession, table: str, values: Sequence[str], column: str = DATE) -> None:
-    if not values:
-        return
-    texts = ["NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"DATE'{v}'" for v in values]
-    listed = ", ".join(f"PARTITION ({column} = {t})" for t in texts)
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
-    spark.catalog.refreshTable(table)
+def _dates_seen(df: DataFrame) -> tuple[DataFrame, Callable[[], set[date | None]]]:
+    """``df`` and, once it is written, the dates its rows had."""
+    seen = Observation()
+    noted = df.observe(
+        seen,
+        F.collect_set(F.col(DATE).cast("string")).alias("dates"),
+        F.count_if(F.col(DATE).isNull()).alias("undated"),
+    )
+
+    def dates() -> set[date | None]:
+        found = {date.fromisoformat(d) for d in seen.get["dates"]}
+        return found | {None} if seen.get["undated"] else found
+
+    return noted, dates
 
 
 def overwrite_dates(
@@ -199,19 +226,20 @@ def overwrite_dates(
 ) -> None:
     """Replace ``dates`` of a stored table with the rows of ``df`` dated so.
 
-    Other dates are not touched; a date without rows ends up empty.  ``df`` must
-    not read the dates it replaces.
+    Other dates are not touched; a date without rows goes.  ``df`` is worked out
+    once and may read the dates it replaces.  The dates change in two phases, as in
+    a load, so a refresh that fails can be repeated.
     """
     spark = df.sparkSession
     targets = sorted({as_date(d) for d in dates})
-    rows = df.filter(F.col(DATE).isin(*targets))
-    present = {r[0] for r in rows.select(DATE).distinct().collect()}
-    if present:
-        placed = rows.select(*spark.table(table).columns).hint("rebalance", DATE)
-        with _dynamic_overwrite(spark):
-            placed.sortWithinPartitions(DATE, *cluster_by).write.insertInto(table, overwrite=True)
-    for day in set(stored_dates(spark, table)).intersection(targets) - present:
-        _clear(spark, table, day)
+    rows = df.filter(F.col(DATE).isin(*targets)).select(*spark.table(table).columns)
+    noted, seen = _dates_seen(rows.hint("rebalance", DATE).sortWithinPartitions(DATE, *cluster_by))
+    load = Load.begin(spark, table)
+    load.write(noted)
+    filled = seen()
+    load.commit(sorted(filled), [d for d in targets if d not in filled])
+    load.adopt()
+    load.clean()
 
 
 def retained(df: DataFrame, as_of: DateLike, keep_days: int = RETENTION_DAYS) -> DataFrame:
@@ -229,7 +257,5 @@ def expire_partitions(
     """
     oldest = as_date(as_of) - timedelta(keep_days)
     expired = sorted(d for d in stored_dates(spark, table) if d is not None and d < oldest)
-    if expired:
-        listed = ", ".join(f"PARTITION ({DATE} = DATE'{d}')" for d in expired)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+    _drop_dates(spark, table, expired)
     return expired

@@ -1,0 +1,186 @@
+"""Loads that fail between any two of their steps."""
+
+from datetime import date
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import land, raw_frame, raw_row, record
+from tallyhouse.plans import daily
+from tallyhouse.schemas import RAW_SCHEMA
+from tallyhouse.sources import publish
+from tallyhouse.sources.landing import Landing
+from tallyhouse.sources.publish import Load, recover, stored_dates, table_location
+from tallyhouse.sources.tables import (
+    delete_date,
+    ensure_table,
+    expire_partitions,
+    materialize,
+    overwrite_dates,
+    replace_date,
+)
+
+DAY, NEXT, LAST = "2024-05-01", "2024-05-02", "2024-05-03"
+OLD = [("n", NEXT), ("old1", DAY), ("old2", DAY), ("u", "None")]
+NEW = [("n", NEXT), ("new", DAY), ("stray", NEXT), ("u", "None"), ("v", "None")]
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.fixture()
+def table(spark, database):
+    name = f"{database}.raw_events"
+    ensure_table(spark, name)
+    rows = raw_frame(
+        spark, raw_row("old1"), raw_row("old2"), raw_row("n", f"{NEXT}T00:00:00"), raw_row("u", None)
+    )
+    rows.withColumn("event_date", F.to_date("created_at")).write.insertInto(name)
+    return name
+
+
+def batch(spark):
+    return raw_frame(spark, raw_row("new"), raw_row("stray", f"{NEXT}T01:00:00"), raw_row("v", None))
+
+
+def content(spark, table):
+    spark.catalog.refreshTable(table)
+    return sorted((r.id, str(r.event_date)) for r in spark.table(table).collect())
+
+
+def crash(*_, **__):
+    raise Crash
+
+
+def folders(spark, table, kind):
+    root = Path(table_location(spark, table).removeprefix("file:")) / kind
+    return [p for p in root.glob("*") if not p.name.startswith(".")] if root.exists() else []
+
+
+@pytest.mark.parametrize("step, survives", [
+    ("write", False), ("commit", False), ("adopt", True), ("clean", True),
+])
+def test_crash_before_a_step(spark, table, monkeypatch, step, survives):
+    with monkeypatch.context() as broken:
+        broken.setattr(Load, step, crash)
+        with pytest.raises(Crash):
+            replace_date(batch(spark), table, DAY)
+    assert content(spark, table) == (NEW if step == "clean" else OLD)
+    assert len(recover(spark, table)) == survives
+    assert content(spark, table) == (NEW if survives else OLD)
+    assert recover(spark, table) == []
+    assert folders(spark, table, "_journal") == []
+    replace_date(batch(spark), table, DAY)
+    doubled = [("stray", NEXT), ("v", "None")] if survives else []
+    assert content(spark, table) == sorted(NEW + doubled)
+
+
+@pytest.mark.parametrize("after", [0, 1, 2])
+def test_crash_between_dates(spark, table, monkeypatch, after):
+    """Each date has its old or its new rows; the next load finishes what was committed."""
+    run = type(spark).sql
+    done = []
+
+    def limited(session, text, *rest, **named):
+        if text.startswith("ALTER TABLE"):
+            if len(done) == after:
+                raise Crash
+            done.append(text)
+        return run(session, text, *rest, **named)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(type(spark), "sql", limited)
+        with pytest.raises(Crash):
+            replace_date(batch(spark), table, DAY)
+    got = content(spark, table)
+    for day in (DAY, NEXT, "None"):
+        of_day = [x for x in got if x[1] == day]
+        assert of_day in ([x for x in OLD if x[1] == day], [x for x in NEW if x[1] == day])
+    assert len(recover(spark, table)) == 1
+    assert content(spark, table) == NEW
+
+
+def test_crash_while_cleaning(spark, table, monkeypatch):
+    with monkeypatch.context() as broken:
+        broken.setattr(publish, "drop_path", crash)
+        with pytest.raises(Crash):
+            replace_date(batch(spark), table, DAY)
+    assert content(spark, table) == NEW
+    recover(spark, table)
+    assert content(spark, table) == NEW and folders(spark, table, "_journal") == []
+
+
+def test_failed_rows_leave_the_table(spark, table):
+    bad = batch(spark).withColumn("payload", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        replace_date(bad, table, DAY)
+    assert content(spark, table) == OLD
+    replace_date(batch(spark), table, DAY)
+    assert content(spark, table) == NEW
+    assert len(folders(spark, table, "_loads")) == 1
+
+
+def test_old_files_go(spark, table):
+    for _ in range(3):
+        replace_date(raw_frame(spark, raw_row("new")), table, DAY)
+    assert len(folders(spark, table, "_loads")) == 1
+    assert content(spark, table) == [("n", NEXT), ("new", DAY), ("u", "None")]
+
+
+def test_published_dates_are_deleted_and_expire(spark, table):
+    replace_date(batch(spark), table, DAY)
+    assert delete_date(spark, table, DAY) == 1
+    assert content(spark, table) == [x for x in NEW if x[1] != DAY]
+    assert expire_partitions(spark, table, LAST, 1)[-1] == date(2024, 5, 1)
+    assert date(2024, 5, 1) not in stored_dates(spark, table)
+    replace_date(batch(spark), table, DAY)
+    assert ("new", DAY) in content(spark, table)
+
+
+def test_dates_may_read_what_they_replace(spark, database):
+    name = f"{database}.t"
+    rows = spark.range(6).selectExpr("id", "date_add(DATE'2024-05-01', CAST(id % 3 AS INT)) AS event_date")
+    materialize(rows, name)
+    stored = spark.table(name)
+    overwrite_dates(stored.filter("id <> 4").selectExpr("id + 10 AS id", "event_date"), name, [DAY, NEXT])
+    got = sorted((r.id, str(r.event_date)) for r in spark.table(name).collect())
+    assert got == [(2, LAST), (5, LAST), (10, DAY), (11, NEXT), (13, DAY)]
+    overwrite_dates(spark.table(name).filter("id > 99"), name, [NEXT])
+    assert stored_dates(spark, name) == [date(2024, 5, 1), date(2024, 5, 3)]
+    materialize(rows, name)  # a whole rebuild over dates that lie in folders of loads
+    assert sorted(r.id for r in spark.table(name).collect()) == list(range(6))
+
+
+def test_refresh_then_rebuild(spark, database, tmp_path):
+    layout = Landing(str(tmp_path))
+    for day in (DAY, NEXT):
+        docs = [record(f"{day}-{t}", f"{day}T0{n}:00:00", t, actor=f"u{n}") for n, t in enumerate(
+            ("PushEvent", "WatchEvent", "ForkEvent", "IssuesEvent", "CreateEvent"))]
+        land(tmp_path, day, 1, docs)
+        daily.run_day(spark, database, layout, day, changed_only=True)
+    names = ("stg_events", "events_by_type", "events_by_hour", "top_repos", "language_trends", "member_days")
+
+    def tables():
+        return {n: sorted(map(str, spark.table(f"{database}.{n}").collect())) for n in names}
+
+    land(tmp_path, DAY, 2, [record("more", f"{DAY}T02:00:00", actor="zoe")])
+    daily.run_day(spark, database, layout, DAY, changed_only=True)
+    refreshed = tables()
+    daily.rebuild(spark, database)
+    assert tables() == refreshed
+
+
+def test_many_marts_write_at_once(spark, database, tmp_path):
+    """Writes on threads share the overwrite mode; it is as before when the last one ends."""
+    from tallyhouse.sources.tables import _dynamic_overwrite
+
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    with _dynamic_overwrite(spark):
+        with _dynamic_overwrite(spark):
+            assert spark.conf.get(key) == "dynamic"
+        assert spark.conf.get(key) == "dynamic"
+    assert spark.conf.get(key) == before
+    assert RAW_SCHEMA.fieldNames()[0] == "id"

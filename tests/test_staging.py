@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from tallyhouse.functions import (
     short_repo_label,
     split_repo,
 )
+from tallyhouse.operators.idfilter import BLOCK_BITS, MAX_BITS, bitmap_bits, id_filter
 from tallyhouse.operators.staging import (
     dedup_latest,
     repeated_ids,
@@ -143,16 +146,28 @@ def test_file_based_dedup_equals_the_window(spark, tmp_path):
     raw = spark.read.schema(RAW_SCHEMA).parquet(path)
     columns = list(STAGING_COLUMNS)
     expected = sorted(map(str, stage_events(raw).select(*columns).collect()))
+    for bits in (MAX_BITS, 4096):  # a filter with room, and one that hits by chance
+        with staged_from_files(raw, max_bits=bits) as staged:
+            assert sorted(map(str, staged.rows.select(*columns).collect())) == expected
+
+
+def test_payloads_of_single_ids_are_never_exchanged(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    many_copies(spark).repartition(9).write.parquet(path)
+    raw = spark.read.schema(RAW_SCHEMA).parquet(path)
+    repeated = {r.id for r in repeated_ids(raw).collect()}
     with staged_from_files(raw) as staged:
-        assert staged.in_place
-        assert sorted(map(str, staged.rows.select(*columns).collect())) == expected
-        text = plan(staged.rows)
-        assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
-    for limit in (100, 400):  # too small for the ids, then for the places
-        with staged_from_files(raw, broadcast_bytes=limit) as staged:
-            assert not staged.in_place
-    with staged_from_files(raw, broadcast_bytes=100) as staged:
-        assert sorted(map(str, staged.rows.select(*columns).collect())) == expected
+        text = plan(staged.settled)
+        assert "BroadcastHashJoin" in text
+        assert not re.search("hashpartitioning|rangepartitioning|SinglePartition", text)
+        settled = {r.event_id for r in staged.settled.collect()}
+        # What is shuffled has passed the filter, and is cut to a row per id and task before.
+        moved = plan(staged.moved)
+        assert moved.index("Exchange hashpartitioning") < moved.index("BroadcastHashJoin")
+        assert moved.count("WindowGroupLimit") >= 2
+        assert {r.event_id for r in staged.moved.collect()} - repeated == set()
+    usable = {r.id for r in raw.filter("type IS NOT NULL").select("id").collect()}
+    assert settled == usable - repeated
 
 
 def test_copies_that_differ_in_payload_only(spark, tmp_path):
@@ -160,8 +175,8 @@ def test_copies_that_differ_in_payload_only(spark, tmp_path):
     rows = [raw_row(str(i % 40), payload=f'{{"v":{i % 7}}}') for i in range(280)]
     raw_frame(spark, *rows).repartition(5).write.parquet(path)
     raw = spark.read.schema(RAW_SCHEMA).parquet(path)
-    for limit in (10**6, 1):
-        with staged_from_files(raw, broadcast_bytes=limit) as staged:
+    for bits in (MAX_BITS, 4096):
+        with staged_from_files(raw, max_bits=bits) as staged:
             assert {r.payload for r in staged.rows.collect()} == {'{"v":6}'}
 
 
@@ -207,12 +222,37 @@ def test_objects_and_arrays_are_not_scalars(spark):
     assert [tuple(r)[1:] for r in got] == [(None, None), ("{a", "[x"), ("7", None), (None, "l")]
 
 
-def test_dates_and_hours_are_utc_in_any_session(spark):
+def test_id_filter_has_every_id_and_few_others(spark):
+    ids = spark.range(4000).selectExpr("concat('id', id) AS id")
+    others = spark.range(4000, 60_000).selectExpr("concat('id', id) AS id")
+    made = id_filter(ids, 4000)
+    assert made.bits == 1 << 16 and made.blocks.count() <= made.bits // BLOCK_BITS
+    assert made.maybe(ids, "id").count() == 4000
+    by_chance, out = made.split(others, "id")
+    assert by_chance.count() < 0.01 * 56_000
+    assert by_chance.unionAll(out).distinct().count() == 56_000
+    full = id_filter(ids, 4000, max_bits=BLOCK_BITS)  # far too small: still no id is lost
+    assert full.bits == BLOCK_BITS and full.maybe(ids, "id").count() == 4000
+
+
+def test_filter_size_is_bounded(spark):
+    assert bitmap_bits(0) == bitmap_bits(1) == BLOCK_BITS
+    assert bitmap_bits(1000) == 1 << 14 and bitmap_bits(10**12) == MAX_BITS
+    assert id_filter(spark.range(0).selectExpr("'x' AS id"), 0).maybe(
+        spark.range(9).selectExpr("string(id) AS id"), "id"
+    ).isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_dates_and_hours_are_utc_in_any_session(spark, kind):
     df = spark.createDataFrame([(at("2024-05-01T01:30:00"),), (at("1969-12-31T23:30:00"),)], "t timestamp")
+    # A wall clock of a spring night that New York's clocks leave out, when it has no zone.
+    df = df.unionAll(spark.createDataFrame([(at("2024-03-10T02:30:00"),)], "t timestamp"))
+    df = df.select(F.col("t").cast(kind))
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         got = [tuple(map(str, r)) for r in df.select(event_date("t"), hour_of_day("t")).collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert got == [("2024-05-01", "1"), ("1969-12-31", "23")]
+    assert got == [("2024-05-01", "1"), ("1969-12-31", "23"), ("2024-03-10", "2")]
