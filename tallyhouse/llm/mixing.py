@@ -7,8 +7,11 @@ the other's, at random and without bias, until one of the two is decided.  What
 a source takes in words is the same before and after each such step, so its total
 misses the target by less than the one document decided last.
 
-Groups of documents are rounded each in a task, the one undecided document of
-each goes on to the next level, and so on up a tree.  Native columns throughout.
+What is rounded are hashes and sizes, never texts.  Equal rows have one expectation
+and cannot be told apart, so they are one item: as many of them are taken once more
+as their number times the fraction says, and what is left of that is rounded
+with the others.  Groups of items are rounded each in a task, the one undecided item
+of each goes on to the next level, and so on up a tree.  Native columns throughout.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ MAX_COPIES = 3
 
 #: Documents rounded together, and children of a node of the tree.
 GROUP = 128
+#: Copies of one row that are written together.
+_BLOCK = 4096
 #: Expectations this close to 0 or 1 are decided.
 _EPSILON = 1e-9
 
@@ -69,13 +74,12 @@ def _settle(acc: Column, item: Column) -> Column:
     """One pivotal step between the undecided item of ``acc`` and ``item``."""
 
     def put(done: Column, it: Column, p: Column) -> Column:
-        copies = it["base"] + F.when(p > 0.5, F.lit(1)).otherwise(F.lit(0))
         decided = (p < _EPSILON) | (p > 1 - _EPSILON)
-        entry = F.struct(it["row"].alias("row"), copies.cast("int").alias("copies"))
+        entry = F.struct(it["k1"].alias("k1"), it["k2"].alias("k2"), (p > 0.5).alias("up"))
         return F.when(decided, F.array_append(done, entry)).otherwise(done)
 
     def left(it: Column, p: Column) -> Column:
-        fields = [it[n].alias(n) for n in ("size", "key", "base", "row")]
+        fields = [it[n].alias(n) for n in ("size", "k1", "k2")]
         undecided = (p >= _EPSILON) & (p <= 1 - _EPSILON)
         return F.when(undecided, F.struct(p.alias("p"), *fields))
 
@@ -98,26 +102,23 @@ def _settle(acc: Column, item: Column) -> Column:
     movable = F.struct(
         F.least((1 - a["p"]) * a["size"], b["p"] * b["size"]).alias("up"),
         F.least(a["p"] * a["size"], (1 - b["p"]) * b["size"]).alias("down"),
-        uniform(F.lit(41), a["key"], b["key"]).alias("u"),
+        uniform(F.lit(41), a["k1"], b["k1"]).alias("u"),
     )
     first = F.struct(item.alias("carry"), acc["done"].alias("done"))
     return F.when(acc["carry"].isNull(), first).otherwise(let(movable, step))
 
 
+_ITEM = "struct<p:double,size:double,k1:bigint,k2:bigint>"
+_DONE = "array<struct<k1:bigint,k2:bigint,up:boolean>>"
+
+
 def _round_groups(items: DataFrame) -> DataFrame:
     """(source, node, done, carry) of items (source, node, item), a row per group.
 
     The largest documents are decided first, so that the undecided one is small.
     """
-    item_type = items.schema["item"].dataType
-    row_type = next(f.dataType for f in item_type.fields if f.name == "row")
-    done_type = T.ArrayType(
-        T.StructType([T.StructField("row", row_type), T.StructField("copies", T.IntegerType())])
-    )
     ordered = F.array_sort(F.collect_list("item"), _larger_first)
-    start = F.struct(
-        F.lit(None).cast(item_type).alias("carry"), F.array().cast(done_type).alias("done")
-    )
+    start = F.struct(F.lit(None).cast(_ITEM).alias("carry"), F.array().cast(_DONE).alias("done"))
     grouped = items.groupBy("source", "node").agg(ordered.alias("items"))
     folded = grouped.select("source", "node", F.aggregate("items", start, _settle).alias("f"))
     return folded.select("source", "node", "f.done", "f.carry")
@@ -128,94 +129,146 @@ def _has_map(kind: T.DataType) -> bool:
 
 
 def _larger_first(x: Column, y: Column) -> Column:
-    return (
-        F.when(x["size"] > y["size"], -1)
-        .when(x["size"] < y["size"], 1)
-        .when(x["key"] > y["key"], -1)
-        .when(x["key"] < y["key"], 1)
-        .otherwise(0)
+    order = F.lit(0)
+    for name in ("k2", "k1", "size"):
+        order = F.when(x[name] > y[name], -1).when(x[name] < y[name], 1).otherwise(order)
+    return order
+
+
+def _hashes(docs: DataFrame) -> list[Column]:
+    """128 bits of a whole row, so that only equal rows share them; maps cannot be hashed."""
+    values = [F.col(f"`{f.name}`") for f in docs.schema.fields if not _has_map(f.dataType)]
+    return [F.xxhash64(F.lit(n), *values).alias(name) for n, name in ((97, "k1"), (101, "k2"))]
+
+
+def _rounded(open_: DataFrame, widest: int) -> DataFrame:
+    """(k1, k2, up) of items (source, n, item), ``n`` being the number of items of the source."""
+    nodes = F.greatest(F.lit(1), F.ceil(F.col("n") / GROUP))
+    level = open_.select(
+        "source", F.pmod(F.xxhash64(F.lit(7), "item.k1"), nodes).alias("node"), "item"
     )
+    outcome, width = [], -(-widest // GROUP)
+    while True:
+        rounded = stored(_round_groups(level), "rounded")
+        outcome.append(rounded.select(F.inline("done")))
+        level = rounded.filter("carry IS NOT NULL").select(
+            "source", F.floor(F.col("node") / GROUP).alias("node"), F.col("carry").alias("item")
+        )
+        if width <= 1:
+            break
+        width = -(-width // GROUP)
+    last = uniform(F.lit(43), F.col("item.k1")) < F.col("item.p")
+    merged = level.select("item.k1", "item.k2", last.alias("up"))
+    for part in outcome:
+        merged = merged.unionAll(part)
+    return merged
 
 
-def mix_sources(
+def mix_decisions(
     docs: DataFrame,
     size: str = "size",
     source: str = "source",
     weights: tuple[float, ...] = WEIGHTS,
     max_copies: float = MAX_COPIES,
 ) -> DataFrame:
-    """(row, source_size, target, copies): each row of ``docs`` and how often it is taken.
+    """(k1, k2, rows, source_size, target, base, extra) of each distinct row, stored.
 
-    * ``size`` is a column of ``docs``; NULL counts as 0.
-    * No row is taken more than ``max_copies`` times; rows of size 0 are taken
-      as often as the expectation says, rounded down.
-    * NULL is a source of its own, the last one.
-    * The outcome depends on the values of the rows alone, not on their order or
-      partitions; rows that are equal are rounded one by one.
-    * An empty table gives an empty result; other columns stay in ``row``.
+    ``rows`` rows are equal; each is taken ``base`` times and ``extra`` of them once more.
+    Only hashes and sizes are moved, equal rows combined before.
     """
-    amount = F.coalesce(F.col(f"`{size}`"), F.lit(0)).cast("long")
+    amount = F.coalesce(F.col(f"`{size}`"), F.lit(0)).cast("long").alias("size")
+    narrow = docs.select(*_hashes(docs), F.col(f"`{source}`").alias("source"), amount)
+    alike = stored(
+        narrow.groupBy("k1", "k2", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "alike"
+    )
     targets = stored(
-        source_targets(docs.select(F.col(f"`{source}`").alias("source"), amount.alias("size")),
-                       weights=weights, max_copies=max_copies),
+        source_targets(
+            alike.select("source", (F.col("size") * F.col("rows")).alias("size")),
+            weights=weights,
+            max_copies=max_copies,
+        ),
         "source-targets",
-    )
-    most = targets.agg(F.max("n")).first()[0] or 0
-    rows = docs.select(F.struct("*").alias("row")).withColumns(
-        {"source": F.col("row")[source],
-         "size": F.coalesce(F.col("row")[size], F.lit(0)).cast("long")}
-    )
+    )
+    widest = targets.agg(F.max("n")).first()[0] or 0
     share = F.least(F.lit(float(max_copies)), F.col("target") / F.col("source_size"))
-    joined = rows.join(
+    joined = alike.join(
         small(targets.withColumnRenamed("source", "t_source"), 256),
         F.expr("source <=> t_source"),
     ).withColumn("p", F.when(F.col("source_size") > 0, share).otherwise(F.lit(0.0)))
     # A fraction that is all rounding error counts as decided.
-    base = F.floor(F.col("p") + _EPSILON)
-    fraction = F.greatest(F.col("p") - base, F.lit(0.0))
-    # Of the whole row, so that only equal rows share it; maps cannot be hashed.
-    hashed = [F.col("row")[f.name] for f in docs.schema.fields if not _has_map(f.dataType)]
-    identity = F.xxhash64(F.lit(97), *hashed)
-    item = F.struct(
-        fraction.alias("p"),
-        F.col("size").cast("double").alias("size"),
-        identity.alias("key"),
-        base.cast("int").alias("base"),
-        F.struct("row", "source_size", "target").alias("row"),
+    based = joined.withColumn("base", F.floor(F.col("p") + _EPSILON))
+    more = F.greatest(F.col("p") - F.col("base"), F.lit(0.0)) * F.col("rows")
+    whole = F.floor(more + _EPSILON)
+    # The rest of an expectation is lost for rows without words only.
+    split = based.withColumn("whole", whole).withColumn(
+        "rest", F.when(F.col("size") > 0, F.greatest(more - whole, F.lit(0.0))).otherwise(F.lit(0.0))
     )
-    nodes = F.greatest(F.lit(1), F.ceil(F.col("n") / GROUP))
-    placed = joined.select(
-        "source",
-        F.pmod(F.xxhash64(F.lit(7), identity), nodes).alias("node"),
-        item.alias("item"),
+    item = F.struct(
+        F.col("rest").alias("p"), F.col("size").cast("double").alias("size"), "k1", "k2"
     )
-    open_ = (F.col("item.p") >= _EPSILON) & (F.col("item.size") > 0)
-    # The rest of an expectation is lost for rows without words only.
-    outcome = [
-        placed.filter(~open_).select(
-            F.struct(F.col("item.row").alias("row"), F.col("item.base").alias("copies")).alias("d")
-        )
-    ]
-    level, width = placed.filter(open_), -(-most // GROUP)
-    while True:
-        rounded = stored(_round_groups(level), "rounded")
-        outcome.append(rounded.select(F.explode("done").alias("d")))
-        level = rounded.filter("carry IS NOT NULL").select(
-            "source", F.floor(F.col("node") / GROUP).alias("node"), F.col("carry").alias("item")
-        )
-        if width <= 1:
-            break
-        width = -(-width // GROUP)
-    last = F.col("item.base") + (
-        uniform(F.lit(43), F.col("item.key")) < F.col("item.p")
-    ).cast("int")
-    outcome.append(
-        level.select(F.struct(F.col("item.row").alias("row"), last.alias("copies")).alias("d"))
+    open_ = split.filter(F.col("rest") >= _EPSILON).select("source", "n", item.alias("item"))
+    ups = _rounded(open_, widest).filter("up").select("k1", "k2", F.lit(1).alias("up"))
+    decided = split.join(ups, ["k1", "k2"], "left")
+    extra = F.least(F.col("rows"), F.col("whole") + F.coalesce("up", F.lit(0)))
+    return stored(
+        decided.select(
+            "k1", "k2", "rows", "source_size", "target", F.col("base").cast("long").alias("base"),
+            extra.cast("long").alias("extra"),
+        ),
+        "mix-decisions",
+    )
+
+
+def _repeated(rows: DataFrame, times: Column, most: int) -> DataFrame:
+    """Each of ``rows`` ``times`` over, with its number ``turn`` from 0.
+
+    A row with many copies is dealt out in blocks of them, which several tasks write.
+    """
+    counted = rows.withColumn("times", times).filter("times > 0")
+    turns = F.explode(F.sequence(F.col("from"), F.least(F.col("from") + _BLOCK, F.col("times")) - 1))
+    begun = counted.withColumn(
+        "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(_BLOCK).cast("long")))
     )
-    merged = outcome[0]
-    for part in outcome[1:]:
-        merged = merged.unionAll(part)
-    return merged.select("d.row.*", F.col("d.copies").alias("copies"))
+    if most > _BLOCK:
+        begun = begun.repartition("k1", "k2", "from")
+    return begun.withColumn("turn", turns).drop("times", "from")
+
+
+def _decided_rows(docs: DataFrame, decisions: DataFrame) -> tuple[DataFrame, int]:
+    """(row, rows, source_size, target, base, extra) of each distinct row, and the most rows alike.
+
+    Where no two rows are equal, the decisions are joined to the rows as they are.
+    """
+    most = decisions.agg(F.max("rows")).first()[0] or 0
+    keyed = docs.select(F.struct("*").alias("row"), *_hashes(docs))
+    if most > 1:
+        # Equal rows are combined before they are moved.
+        keyed = keyed.groupBy("k1", "k2").agg(F.first("row").alias("row"))
+    return keyed.join(small(decisions, 96), ["k1", "k2"]), most
+
+
+def mix_sources(
+    docs: DataFrame,
+    size: str = "size",
+    source: str = "source",
+    weights: tuple[float, ...] = WEIGHTS,
+    max_copies: float = MAX_COPIES,
+) -> DataFrame:
+    """(row, source_size, target, copies): each row of ``docs`` and how often it is taken.
+
+    * ``size`` is a column of ``docs``; NULL counts as 0.
+    * No row is taken more than ``max_copies`` times; rows of size 0 are taken
+      as often as the expectation says, rounded down.
+    * NULL is a source of its own, the last one.
+    * The outcome depends on the values of the rows alone, not on their order or
+      partitions; equal rows are decided together, however many they are.
+    * An empty table gives an empty result; other columns stay in ``row``.
+    """
+    decisions = mix_decisions(docs, size, source, weights, max_copies)
+    rows, most = _decided_rows(docs, decisions)
+    each = _repeated(rows, F.col("rows"), most)
+    copies = F.col("base") + F.when(F.col("turn") < F.col("extra"), F.lit(1)).otherwise(F.lit(0))
+    return each.select("row", "source_size", "target", copies.cast("int").alias("copies"))
 
 
 def _sized(docs: DataFrame, name: str) -> DataFrame:
@@ -235,7 +288,13 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_mix(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, each as often as the mix takes it."""
-    mixed = mix_sources(_sized(docs, "__size"), size="__size").filter("copies > 0")
-    repeated = mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    """Rows of ``docs``, each as often as the mix takes it.
+
+    Texts are moved once at most, to meet their decisions; see :func:`mix_sources` for
+    empty tables, missing values and equal rows.
+    """
+    sized = _sized(docs, "__size")
+    rows, most = _decided_rows(sized, mix_decisions(sized, size="__size"))
+    taken = F.col("rows") * F.col("base") + F.col("extra")
+    kept = _repeated(rows, taken, most * (MAX_COPIES + 1))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

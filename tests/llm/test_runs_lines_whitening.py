@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from tallyhouse.llm import linededup, runs, whitening
+from tallyhouse.llm import linededup, mixing, runs, whitening
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -379,3 +379,49 @@ def test_reruns_and_partitions_agree(spark):
     one = whitening.whiten(frame_.repartition(7))[1]
     two = whitening.whiten(frame_.coalesce(1))[1]
     assert list(one.sums) == list(two.sums) and np.array_equal(one.vectors, two.vectors)
+
+
+# -- mixing with many equal rows ---------------------------------------------
+
+MIXED = "doc_id long, text string, source string"
+
+
+def test_a_third_of_all_rows_equal(spark):
+    """Equal rows are decided together: a hundred thousand of them take no longer than one."""
+    hot = spark.range(100_000).selectExpr("CAST(7 AS LONG) AS doc_id", "'five words in this text' AS text", "'a' AS source")
+    rest = spark.range(200_000).selectExpr(
+        "id + 100 AS doc_id", "concat('w ', repeat('x ', CAST(id % 9 AS INT))) AS text", "IF(id % 2 = 0, 'a', 'b') AS source"
+    )
+    docs = hot.unionAll(rest)
+    got = mixing.mix_report(docs).groupBy("doc_id", "size", "source_size", "target").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("taken").alias("taken"), F.min("taken").alias("least"), F.max("taken").alias("most")
+    ).collect()
+    assert sum(r.n for r in got) == 300_000
+    by_target = defaultdict(float)
+    for r in got:
+        by_target[r.target] += r.taken
+        assert r.most <= 3 * r.size and r.least >= 0 and r.most - r.least in (0, r.size)
+    assert all(abs(taken - target) <= 9 for target, taken in by_target.items())
+    assert next(r for r in got if r.doc_id == 7).n == 100_000
+
+
+def test_mix_keeps_equal_rows_apart_from_others(spark):
+    rows = [(1, "a b c", "s")] * 9000 + [(2, "d e", "s")] * 5 + [(3, None, "t"), (4, "f", "t"), (None, "g h", None)]
+    docs = spark.createDataFrame(rows, MIXED).repartition(5)
+    kept = mixing.keep_mix(docs)
+    assert kept.columns == docs.columns
+    counts = {(r.doc_id, r.text, r.source): r["count"] for r in kept.groupBy(*kept.columns).count().collect()}
+    taken = defaultdict(int)
+    for r in mixing.mix_report(docs).filter("size > 0").collect():
+        taken[r.doc_id] += r.taken // r.size
+    taken[3] = 3  # no words: as often as its source grows
+    assert {k[0]: n for k, n in counts.items()} == {k: n for k, n in taken.items() if n}
+    assert set(counts) <= set(rows)
+
+
+def test_mix_moves_no_text_to_be_rounded(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    sized = docs.withColumn("size", F.lit(1).cast("long"))
+    assert mixing.mix_decisions(sized).columns == ["k1", "k2", "rows", "source_size", "target", "base", "extra"]
+    plan = mixing.keep_mix(docs)._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and not re.search("Python|Arrow|Pandas", plan)
