@@ -378,6 +378,9 @@ TWINS: dict[str, str] = {
     "hour_completeness": COMPLETENESS,
     "hour_completeness_stored": COMPLETENESS,
     "checks_only": REPORT,
+    "checks_from_states": REPORT,
+    "check_unique_from_states": """SELECT count(id) AS rows, count(DISTINCT id) AS ids,
+        count(id) - count(DISTINCT id) AS failures FROM raw""",
 }
 
 

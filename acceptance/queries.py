@@ -28,7 +28,17 @@ from tallyhouse.functions import (
     split_repo,
     type_filter,
 )
-from tallyhouse.operators import analytics, grouping, hours, marts, quality, reports, staging, uniques
+from tallyhouse.operators import (
+    analytics,
+    checkstates,
+    grouping,
+    hours,
+    marts,
+    quality,
+    reports,
+    staging,
+    uniques,
+)
 from tallyhouse.plans import daily
 from tallyhouse.schemas import ACTIVITY_COUNTERS, CLUSTERING, PUSH_ACTIVITY_TYPES
 from tallyhouse.session import scratch_path
@@ -467,6 +477,20 @@ def checks_only(d: Derived) -> DataFrame:
     return daily.checks_only(d.spark, warehouse(d.spark, d.sf_dir))
 
 
+def stored_states(d: Derived) -> DataFrame:
+    return daily.checks_from_states(d.spark, warehouse(d.spark, d.sf_dir))
+
+
+def unique_from_states(d: Derived) -> DataFrame:
+    """Repeated ids of the raw records, which staging has none of, from words by date."""
+    raw = d.raw.select(F.col("id").alias("event_id"), event_date("created_at").alias("event_date"))
+    words = checkstates.id_words(raw)
+    rows = raw.agg(F.count("event_id").alias("rows"), F.lit(0).cast("long").alias("ids"))
+    ids = checkstates.distinct_ids(words).select(F.lit(0).cast("long").alias("rows"), "ids")
+    both = rows.unionByName(ids).agg(F.sum("rows").alias("rows"), F.sum("ids").alias("ids"))
+    return both.withColumn("failures", F.col("rows") - F.col("ids"))
+
+
 def quality_report(d: Derived) -> DataFrame:
     stg = d.stg.withColumn("event_date", event_date("event_timestamp"))
     return quality.quality_report(
@@ -504,6 +528,8 @@ QUALITY = {
     "hour_completeness": lambda d: quality.hour_completeness(d.stg, d.by_hour),
     "hour_completeness_stored": stored_completeness,
     "checks_only": checks_only,
+    "checks_from_states": stored_states,
+    "check_unique_from_states": unique_from_states,
 }
 
 

@@ -15,7 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acceptance.fixture import raw_events
-from tallyhouse.plans.daily import build_marts, build_staging, build_uniques
+from tallyhouse.plans.daily import (
+    build_check_states,
+    build_marts,
+    build_staging,
+    build_uniques,
+)
 from tallyhouse.session import scratch_path, shared_dir
 from tallyhouse.sources.landing import Landing
 from tallyhouse.sources.tables import ensure_table
@@ -118,9 +123,10 @@ def stored_raw(spark: SparkSession, sf_dir: str, purpose: str) -> str:
 
 @once_per_session
 def warehouse(spark: SparkSession, sf_dir: str) -> str:
-    """A database with staging, marts and member bitmaps built from every record."""
+    """A database with staging, marts, member bitmaps and check states built from every record."""
     database = stored_raw(spark, sf_dir, "warehouse")
     build_staging(spark, database)
     build_marts(spark, database)
     build_uniques(spark, database)
+    build_check_states(spark, database)
     return database

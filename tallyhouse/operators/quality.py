@@ -18,11 +18,20 @@ from tallyhouse.operators.marts import dated
 
 @dataclass(frozen=True)
 class Check:
-    """One rule of a table; ``failures`` is SQL for an aggregate that must be 0."""
+    """One rule of a table; ``failures`` is SQL for an aggregate that must be 0.
+
+    The rest says how the rule is worked out from one date at a time: ``partial`` is the
+    aggregate of a date (``failures`` where it is left out), ``members`` a column whose
+    distinct values of the date are kept, and ``decide`` the failures in terms of ``total``,
+    the sum over the dates, and ``seen``, the distinct values of all of them.
+    """
 
     column: str | None
     name: str
     failures: str
+    partial: str | None = None
+    members: str | None = None
+    decide: str = "total"
 
 
 def not_null(column: str) -> Check:
@@ -32,7 +41,8 @@ def not_null(column: str) -> Check:
 
 def unique(column: str) -> Check:
     """No value twice."""
-    return Check(column, "unique", f"count({column}) - count(DISTINCT {column})")
+    counted = f"count({column})"
+    return Check(column, "unique", f"{counted} - count(DISTINCT {column})", partial=counted)
 
 
 def non_negative(column: str) -> Check:
@@ -55,9 +65,9 @@ def no_rows(name: str, condition: str) -> Check:
     return Check(None, name, f"count_if({condition})")
 
 
-def holds(name: str, condition: str) -> Check:
+def holds(name: str, condition: str, **by_date: str) -> Check:
     """Table rule: the SQL aggregate ``condition`` is true."""
-    return Check(None, name, f"IF({condition}, 0, 1)")
+    return Check(None, name, f"IF({condition}, 0, 1)", **by_date)
 
 
 # Limits, rule names and the checks of each table.
@@ -70,11 +80,17 @@ IDENTITY_FIELDS = no_rows(
     "event_id IS NULL OR actor_login IS NULL OR event_type IS NULL",
 )
 ENOUGH_EVENT_TYPES = holds(
-    "multiple event types exist", f"count(DISTINCT event_type) >= {MIN_EVENT_TYPES}"
+    "multiple event types exist",
+    f"count(DISTINCT event_type) >= {MIN_EVENT_TYPES}",
+    partial="count(*)",
+    members="event_type",
+    decide=f"IF(size(seen) >= {MIN_EVENT_TYPES}, 0, 1)",
 )
 HOUR_DOMAIN = no_rows("hours in valid range", f"hour_of_day NOT BETWEEN 0 AND {LAST_HOUR}")
 REPO_PRESENT = no_rows("no null repo names", "repo_name IS NULL")
-LANGUAGE_ROWS = holds("language trend rows exist", "count(*) > 0")
+LANGUAGE_ROWS = holds(
+    "language trend rows exist", "count(*) > 0", partial="count(*)", decide="IF(total > 0, 0, 1)"
+)
 
 TABLE_CHECKS: dict[str, tuple[Check, ...]] = {
     "stg_events": (

@@ -74,6 +74,8 @@ CLUSTERING = {
     "top_repos": ("repo_name",),
     "language_trends": ("repo_language",),
     "member_days": ("kind", "bucket"),
+    "check_states": ("table_name",),
+    "check_ids": ("word",),
 }
 
 #: Malformed records a load may hold before it is refused.

@@ -230,7 +230,7 @@ def test_retention_covers_every_table(spark, database, tmp_path):
         land_day(tmp_path, day, hours=[3])
     daily.backfill(spark, database, Landing(str(tmp_path)), span[0], span[-1])
     dropped = daily.expire(spark, database, span[-1], keep_days=1)
-    assert len(dropped) == 7
+    assert len(dropped) == 9
     assert {tuple(map(str, days)) for days in dropped.values()} == {(span[0],)}
     for name, table in daily.stored_tables(spark, database).items():
         assert {str(r.event_date) for r in table.collect()} == set(span[1:]), name
