@@ -144,15 +144,19 @@ class Load:
         """Point the catalog at what the journal says; the same however often it is done."""
         dates = _Files(self.spark, self.table).committed(self.name) or []
         known = set(stored_dates(self.spark, self.table))
-        for day, location, _ in dates:
-            spec = partition_spec(day)
-            if location is None:
-                # Dropping removes the files of a managed table; the rest goes with clean().
-                self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {spec}")
-            elif day in known:
-                self.spark.sql(f"ALTER TABLE {self.table} {spec} SET LOCATION '{location}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {self.table} ADD {spec} LOCATION '{location}'")
+        new = [(day, path) for day, path, _ in dates if path and day not in known]
+        gone = [day for day, path, _ in dates if path is None and day in known]
+        if new:
+            added = " ".join(f"{partition_spec(day)} LOCATION '{path}'" for day, path in new)
+            self.spark.sql(f"ALTER TABLE {self.table} ADD {added}")
+        for day, path, _ in dates:
+            if path and day in known:
+                spec = partition_spec(day)
+                self.spark.sql(f"ALTER TABLE {self.table} {spec} SET LOCATION '{path}'")
+        if gone:
+            # Dropping removes the files of a managed table; the rest goes with clean().
+            dropped = ", ".join(map(partition_spec, gone))
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {dropped}")
         self.spark.catalog.refreshTable(self.table)
 
     def clean(self) -> None:
