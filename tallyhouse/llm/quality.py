@@ -1,8 +1,8 @@
 """Quality rules: figures of one text, and lines that too many documents of a host share.
 
-Native columns throughout.  A text is read twice: once for its lines, which are
-hashed and counted per host, and once for its figures, with the frequent lines
-of its host at hand.
+Native columns throughout.  Lines are hashed once, into a stored table of one row per
+line of each distinct text.  Which lines are frequent, and what a text loses by them,
+follow from that table alone; a text is read again for its figures only.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import SPACE, SPACE_CHARS, let, small, stored, text_or_empty, words_of
+from tallyhouse.llm.common import (
+    BROADCAST_BYTES, SPACE, SPACE_CHARS, let, small, stored, text_or_empty, words_of,
+)
 
 
 @dataclass(frozen=True)
@@ -20,12 +22,11 @@ class LineLimits:
     """When a line is removed and when a document is rejected for it.
 
     A line is removed when it stands in more than ``min_documents`` distinct
-    documents of a host and in more than ``max_share`` of them.  A document is
-    rejected when less than ``min_kept`` of its words are in the lines left.
+    documents of a host, however many the host has.  A document is rejected when
+    less than ``min_kept`` of its words are in the lines left.
     """
 
     min_documents: int = 20
-    max_share: float = 0.1
     min_kept: float = 0.3
 
 
@@ -37,49 +38,96 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(SPACE_CHARS))
 
 
-def _line_keys(text: Column) -> Column:
-    """Hashes of the normalised lines that have a word: trimmed, in lower case."""
-    lines = F.transform(F.split(F.lower(text), "\n"), _trimmed)
-    return F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.xxhash64(x))
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(text, F.length(text))
 
 
-def line_documents(docs: DataFrame, host: str = "source") -> DataFrame:
-    """(host, line, documents): distinct documents of a host that hold a line.
+def text_lines(docs: DataFrame, host: str = "source") -> DataFrame:
+    """(host, document, position, line, words): each line with a word of each distinct text.
 
-    Equal texts count as one document, so copies of a good document do not make
-    its lines frequent.  Counts are combined by (host, line, text) before they
-    are combined by (host, line), which spreads a line that is everywhere.
+    ``line`` is the hash of the normalised line: trimmed, in lower case.  Equal texts
+    of a host are one document, so copies of a good document do not make its lines
+    frequent; they are combined before the shuffle.
     """
     text = text_or_empty()
-    lines = docs.select(
+    split = docs.select(
         F.col(host).alias("host"),
-        F.xxhash64(text, F.length(text)).alias("document"),
-        F.explode(F.array_distinct(_line_keys(text))).alias("line"),
+        _text_key(text).alias("document"),
+        F.posexplode(F.transform(F.split(text, "\n"), _trimmed)).alias("position", "said"),
     )
     return (
-        lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
-    )
+        split.filter(F.col("said") != "")
+        .select(
+            "host", "document", "position",
+            F.xxhash64(_trimmed(F.lower("said"))).alias("line"),
+            F.size(F.split("said", SPACE)).alias("words"),
+        )
+        .distinct()
+    )
+
+
+def frequent_lines(lines: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
+    """(host, line, documents) of the lines to remove, from :func:`text_lines`.
+
+    Counts are combined by (host, line, document) before they are combined by
+    (host, line), which spreads a line that is everywhere.
+    """
+    counts = lines.groupBy("host", "line").agg(F.countDistinct("document").alias("documents"))
+    return counts.filter(F.col("documents") > limits.min_documents)
+
+
+#: A line in more than one of so many rows of lines is joined by broadcast.
+_HOT = 100_000
 
 
-def frequent_lines(
-    docs: DataFrame, limits: LineLimits = LineLimits(), host: str = "source"
+def _frequent_rows(lines: DataFrame, frequent: DataFrame, limit: int) -> DataFrame:
+    """Rows of ``lines`` whose line is in ``frequent``; both are stored tables.
+
+    A list of more than ``limit`` bytes is joined by shuffle, but for its lines that
+    are in more than one of ``_HOT`` rows: there are at most ``_HOT`` of them.
+    """
+
+    def joined(some: DataFrame) -> DataFrame:
+        keys = some.select(F.col("host").alias("h"), F.col("line").alias("l"))
+        return lines.join(keys, F.expr("host <=> h AND line = l"), "left_semi")
+
+    if frequent.count() * 40 <= limit:
+        return joined(F.broadcast(frequent))
+    hot = F.col("documents") * _HOT > lines.count()
+    few, rest = F.broadcast(frequent.filter(hot)), frequent.filter(~hot)
+    keys = few.select(F.col("host").alias("h"), F.col("line").alias("l"))
+    others = lines.join(keys, F.expr("host <=> h AND line = l"), "left_anti")
+    cold = rest.select(F.col("host").alias("h"), F.col("line").alias("l"))
+    return joined(few).unionAll(others.join(cold, F.expr("host <=> h AND line = l"), "left_semi"))
+
+
+def depleted_texts(
+    docs: DataFrame,
+    limits: LineLimits = LineLimits(),
+    host: str = "source",
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(host, frequent): hashes of the lines to remove, one array per host.
+    """(hit_host, hit_document, hit_words, hit_lines): what a text that holds frequent lines loses.
 
-    A removed line is in more than ``max_share`` of a host's documents, so a
-    host has at most (mean lines of a document) / ``max_share`` of them.
+    One row per distinct text of a host: the words in those lines, and their positions.
     """
-    text = text_or_empty()
-    totals = (
-        docs.select(F.col(host).alias("host"), F.xxhash64(text, F.length(text)).alias("document"))
-        .distinct()
-        .groupBy("host")
-        .agg(F.count(F.lit(1)).alias("all_documents"))
+    lines = stored(text_lines(docs, host), "text-lines")
+    frequent = stored(frequent_lines(lines, limits), "frequent-lines")
+    return (
+        _frequent_rows(lines, frequent, limit)
+        .groupBy(F.col("host").alias("hit_host"), F.col("document").alias("hit_document"))
+        .agg(F.sum("words").alias("hit_words"), F.collect_list("position").alias("hit_lines"))
     )
-    over = line_documents(docs, host).filter(F.col("documents") > limits.min_documents)
-    joined = over.alias("l").join(totals.alias("t"), F.expr("l.host <=> t.host"))
-    kept = joined.filter(F.col("documents") > limits.max_share * F.col("all_documents"))
-    return kept.groupBy("l.host").agg(F.sort_array(F.collect_list("line")).alias("frequent"))
+
+
+def _with_hits(rows: DataFrame, hits: DataFrame, bytes_per_row: int, limit: int) -> DataFrame:
+    """``rows`` (host, document and others) with the columns of ``hits``, a stored table.
+
+    Beyond ``limit`` this is a shuffle; a text that many rows share is then a large
+    partition of ``rows`` alone, which adaptive execution splits.
+    """
+    hits = small(hits, bytes_per_row, limit)
+    return rows.join(hits, F.expr("host <=> hit_host AND document = hit_document"), "left")
 
 
 def _window_hashes(words: DataFrame) -> DataFrame:
@@ -160,27 +208,31 @@ def with_figures(texts: DataFrame) -> DataFrame:
     )
 
 
-def _words_in(line: Column) -> Column:
-    trimmed = _trimmed(line)
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE)))
+def _verdicts(limits: LineLimits) -> tuple[Column, Column]:
+    """(base_failed, kept) from the figures and removed_words."""
+    n_words = F.col("n_words")
+    failed = (n_words < 10) | (100 * F.col("n_repeat_words") > 20 * n_words)
+    left = n_words - F.col("removed_words")
+    return failed, ~failed & (left >= limits.min_kept * n_words)
 
 
-def _is_frequent(line: Column, frequent: Column) -> Column:
-    return F.array_contains(frequent, F.xxhash64(_trimmed(F.lower(line))))
+def _without_lines(text: Column, gone: Column) -> Column:
+    """``text`` without the lines at the positions ``gone``."""
 
+    def rest(lines: Column) -> Column:
+        every = F.transform(lines, lambda _, i: i)
+        return F.array_join(
+            F.transform(F.array_except(every, gone), lambda i: F.get(lines, i)), "\n"
+        )
 
-def _removed_words(text: Column, frequent: Column) -> Column:
-    """Words in the lines of ``frequent``; only texts of hosts that have some are split."""
-    counts = F.transform(
-        F.split(text, "\n"),
-        lambda x: F.when(_is_frequent(x, frequent), _words_in(x)).otherwise(F.lit(0)),
-    )
-    total = F.aggregate(counts, F.lit(0), lambda total, n: total + n)
-    return F.when(F.size(frequent) > 0, total).otherwise(F.lit(0))
+    return let(F.split(text, "\n"), rest)
 
 
 def judge_quality(
-    docs: DataFrame, limits: LineLimits = LineLimits(), host: str = "source"
+    docs: DataFrame,
+    limits: LineLimits = LineLimits(),
+    host: str = "source",
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``docs`` as the struct ``row``, with ``figures``, ``removed_words``,
     ``base_failed``, ``kept`` and ``kept_text``.
@@ -193,46 +245,49 @@ def judge_quality(
       when no line is removed.
     * An empty table gives an empty result; other columns stay in ``row``
       whatever their names.
+
+    Tables of more than ``limit`` bytes are joined by shuffle.
     """
-    lines = stored(frequent_lines(docs, limits, host), "frequent-lines")
-    # Wide hosts are rare; the estimate is generous: 128 lines a host.
-    lines = small(lines.withColumnRenamed("host", "line_host"), 1024 + 64)
+    hits = stored(depleted_texts(docs, limits, host, limit), "depleted-texts")
+    width = 64 + 8 * int(hits.agg(F.max(F.size("hit_lines"))).first()[0] or 0)
     rows = docs.select(F.struct("*").alias("row"))
-    joined = rows.join(lines, F.expr(f"row.`{host}` <=> line_host"), "left")
-    measured = with_figures(
-        joined.select(
-            "row",
-            F.coalesce(F.col("frequent"), F.array().cast("array<bigint>")).alias("frequent"),
-            F.coalesce(F.col("row.text"), F.lit("")).alias("text"),
-        )
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    keyed = rows.select(
+        "row", F.col("row")[host].alias("host"), text.alias("text"), _text_key(text).alias("document")
     )
-    removed = _removed_words(F.col("text"), F.col("frequent")).cast("long")
-    judged = measured.withColumn("removed_words", removed)
-    n_words = F.col("n_words")
-    failed = (n_words < 10) | (100 * F.col("n_repeat_words") > 20 * n_words)
-    left = n_words - F.col("removed_words")
-    kept_lines = F.filter(F.split("text", "\n"), lambda x: ~_is_frequent(x, F.col("frequent")))
-    return judged.select(
+    measured = with_figures(_with_hits(keyed, hits, width, limit))
+    removed = F.coalesce("hit_words", F.lit(0)).cast("long")
+    failed, kept = _verdicts(limits)
+    return measured.withColumn("removed_words", removed).select(
         "row",
         F.struct(*FIGURES).alias("figures"),
         "removed_words",
         failed.alias("base_failed"),
-        (~failed & (left >= limits.min_kept * n_words)).alias("kept"),
-        F.when(F.col("removed_words") == 0, F.col("row.text"))
-        .otherwise(F.array_join(kept_lines, "\n"))
+        kept.alias("kept"),
+        F.when(F.col("hit_lines").isNull(), F.col("row.text"))
+        .otherwise(_without_lines(F.col("text"), F.col("hit_lines")))
         .alias("kept_text"),
     )
 
 
-def quality_report(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
-    """Per document: its figures and whether it is kept."""
-    return judge_quality(docs, limits).select(
-        F.col("row.doc_id").alias("doc_id"),
-        "figures.*",
-        "base_failed",
-        "kept",
-        "removed_words",
+def quality_report(
+    docs: DataFrame, limits: LineLimits = LineLimits(), limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Per document: doc_id, its figures, base_failed, kept and removed_words.
+
+    As :func:`judge_quality`, without moving a text: figures are joined, not rows.
+    """
+    hits = depleted_texts(docs, limits, limit=limit).drop("hit_lines")
+    text = text_or_empty()
+    keyed = docs.select(
+        "doc_id", F.col("source").alias("host"), text.alias("text"), _text_key(text).alias("document")
     )
+    figures = with_figures(keyed).drop("text")
+    joined = _with_hits(figures, stored(hits, "depleted-texts"), 64, limit)
+    failed, kept = _verdicts(limits)
+    return joined.withColumn(
+        "removed_words", F.coalesce("hit_words", F.lit(0)).cast("long")
+    ).select("doc_id", *FIGURES, failed.alias("base_failed"), kept.alias("kept"), "removed_words")
 
 
 def keep_quality(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:

@@ -115,12 +115,9 @@ lines AS (
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE {_TRIM.format("line")} <> ''
 ),
-hosts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
 frequent AS (
-  SELECT l.source, l.said
-  FROM (SELECT source, said, count(DISTINCT text) AS n FROM lines GROUP BY source, said) l
-  JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-  WHERE l.n > {_LIMITS.min_documents} AND l.n > {_LIMITS.max_share} * h.n
+  SELECT source, said FROM lines GROUP BY source, said
+  HAVING count(DISTINCT text) > {_LIMITS.min_documents}
 ),
 removed AS (
   SELECT doc_id, CAST(sum(len(regexp_split_to_array(line, '{_SPACE}'))) AS BIGINT) AS n
