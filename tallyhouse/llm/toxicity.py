@@ -130,7 +130,11 @@ def _fit_logistic(
 
 
 def fit(texts: pa.Array, labels: np.ndarray, features: int = FEATURES) -> Model:
-    """A model from labelled texts; without both labels a constant, 0 without any row."""
+    """A model from labelled texts.
+
+    Without both labels a constant: the odds of label 1 among the rows and two more, one
+    and a half of them of label 0, so that nothing is predicted 1 without any row.
+    """
     size = 1 << BITS
     counts = np.zeros((2, size))
     for start, text, feature in text_features(texts):
@@ -139,7 +143,7 @@ def fit(texts: pa.Array, labels: np.ndarray, features: int = FEATURES) -> Model:
             counts[label] += np.bincount(mine, minlength=size)
     positive = int(labels.sum())
     if positive in (0, len(labels)):
-        intercept = 0.0 if not len(labels) else float(np.log((positive + 0.5) / (len(labels) - positive + 0.5)))
+        intercept = float(np.log((positive + 0.5) / (len(labels) - positive + 1.5)))
         return Model(np.empty(0, np.int64), np.empty(0), intercept)
     # Evidence: likelihood ratio of the feature's share in the two classes.
     totals = np.array([len(labels) - positive, positive], float)[:, None]
@@ -181,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Mod
 
     The rows with the least hash of their id are taken: a random sample that is the
     same in each run.  It is bounded, so it is broadcast, and its texts are brought to
-    the driver.  Labels other than 0 and 1 and rows without an id are passed over.
+    the driver, one for each id: rows that repeat an id count as the one with the
+    greatest text.  Labels other than 0 and 1 and rows without an id are passed over.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(
         ~is_held_out(F.col("doc_id"))
@@ -190,8 +195,11 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Mod
     sample = known.select(F.col("doc_id").cast("long").alias("id"), "toxic").orderBy(
         order, "id", "toxic"
     ).limit(limit)
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
-        "id", "toxic", text_or_empty().alias("text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("text_id"), text_or_empty().alias("text"))
+    rows = (
+        texts.join(F.broadcast(sample), F.col("text_id") == F.col("id"))
+        .groupBy("id", "toxic")
+        .agg(F.max("text").alias("text"))
     )
     table = rows.toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
     return fit(filled(table["text"]), table["toxic"].to_numpy().astype(np.int64))
