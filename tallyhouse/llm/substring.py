@@ -106,7 +106,7 @@ def _answers(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.diff(hashes, prepend=-1))
     sizes = np.diff(np.append(first, len(hashes)))
     lowest = np.minimum.reduceat(least, first)
-    # One document is in one block, so two blocks are two documents.
+    # Two blocks are two documents, or repeats of one id, which the ids tell in the end.
     repeated = (sizes > 1) | (np.maximum.reduceat(several, first) > 0)
     told = np.repeat(repeated, sizes)
     hashes, lowest, block = hashes[told], np.repeat(lowest, sizes)[told], block[told]
@@ -322,7 +322,8 @@ def _deduplicated(docs: DataFrame, columns: list, body: Callable, schema: str, w
         *columns,
         F.col("doc_id").cast("long").alias("doc_id"),
         text_or_empty().alias("text"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"),
+        # With the text, so that neither rows without an id nor repeats of one id meet.
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"),
     )
     # One plan for all levels: the texts are dealt out once and each level reads that
     # exchange again.
