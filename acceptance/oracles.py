@@ -238,6 +238,7 @@ TWINS: dict[str, str] = {
     # sources, sinks, load semantics
     "scan_ndjson": f"SELECT {RAW_COLUMNS} FROM raw",
     "scan_gzip": f"SELECT {RAW_COLUMNS} FROM raw",
+    "scan_gzip_spread": f"SELECT {RAW_COLUMNS} FROM raw",
     "hour_paths": """SELECT DISTINCT CAST(created_at AS DATE) AS event_date,
         CAST(hour(created_at) AS INTEGER) AS hour_of_day,
         'raw/' || strftime(created_at, '%Y-%m-%d/hours/%H') || '.ndjson' AS hour_path,
@@ -288,6 +289,8 @@ TWINS: dict[str, str] = {
     "language_trends": "SELECT * FROM trends",
     "distinct_counts": """SELECT org_login, count(DISTINCT actor_login) AS actors,
         count(DISTINCT repo_name) AS repos, count(DISTINCT event_type) AS types FROM staged GROUP BY ALL""",
+    "distinct_sketches": """SELECT count(DISTINCT actor_login) AS actors,
+        count(DISTINCT repo_name) AS repos, true AS actors_near, true AS repos_near FROM staged""",
     "conditional_counts": """SELECT actor_login,
         count(*) FILTER (event_type = 'WatchEvent') AS stars,
         count(*) FILTER (event_type = 'ForkEvent') AS forks,

@@ -260,6 +260,9 @@ def retained(d: Derived) -> DataFrame:
 SOURCES = {
     "scan_ndjson": lambda d: zoneless(scan_plain(d)),
     "scan_gzip": lambda d: zoneless(ndjson.scan_ndjson(d.spark, d.landed.day_glob(d.all_days))),
+    "scan_gzip_spread": lambda d: zoneless(
+        ndjson.combine_hours(d.spark, d.landed, d.all_days, large_bytes=0).drop("file_date")
+    ),
     "hour_paths": hour_paths,
     "bad_record_budget": lambda d: zoneless(bad_record_budget(d)),
     "count_records": lambda d: ndjson.count_records(d.spark, d.landed, d.all_days),
@@ -338,6 +341,24 @@ STAGING = {
 # -- marts -------------------------------------------------------------------
 
 
+def distinct_sketches(d: Derived) -> DataFrame:
+    """Exact distinct counts, and whether sketches of single dates, merged, come within 2 %."""
+    columns = {"actors": "actor_login", "repos": "repo_name"}
+    daily_sketches = grouping.distinct_sketches(
+        d.stg, [event_date("event_timestamp").alias("event_date")], columns
+    )
+    merged = grouping.merged_distincts(daily_sketches, [], list(columns))
+    exact = grouping.distinct_counts(d.stg, [], columns)
+    near = merged.select(*[F.col(c).alias(f"{c}_merged") for c in columns])
+    both = exact.unionByName(near, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return one.select(
+        *columns,
+        *[(F.abs(F.col(f"{c}_merged") - F.col(c)) <= 0.02 * F.col(c)).alias(f"{c}_near") for c in columns],
+    )
+
+
+
 MARTS = {
     "events_by_type": lambda d: d.by_type,
     "events_by_hour": lambda d: d.by_hour,
@@ -347,6 +368,7 @@ MARTS = {
     "distinct_counts": lambda d: grouping.distinct_counts(
         d.stg, ["org_login"], {"actors": "actor_login", "repos": "repo_name", "types": "event_type"}
     ),
+    "distinct_sketches": distinct_sketches,
     "conditional_counts": lambda d: grouping.conditional_counts(
         d.stg, ["actor_login"], "event_type", ACTIVITY_COUNTERS
     ),

@@ -31,7 +31,7 @@ from tallyhouse.operators.staging import (
 from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING, RETENTION_DAYS
 from tallyhouse.session import drop_path, write_through
 from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_dates
-from tallyhouse.sources.ndjson import CORRUPT, BadRecordsError, combine_hours
+from tallyhouse.sources.ndjson import CORRUPT, LARGE_FILE, BadRecordsError, combine_hours
 from tallyhouse.sources.publish import recover
 from tallyhouse.sources.tables import (
     DATE,
@@ -95,7 +95,7 @@ def load_dates(
     if not present:
         log.warning("%s: nothing has landed for %s", database, ", ".join(map(str, wanted)))
         return LoadResult()
-    scan = combine_hours(spark, landing, present, keep_corrupt=True)
+    scan = combine_hours(spark, landing, present, keep_corrupt=True, large_bytes=LARGE_FILE)
     parsed, path = write_through(scan.withColumn(DATE, event_date("created_at")), "parsed-hours")
     try:
         bad = parsed.filter(F.col(CORRUPT).isNotNull()).groupBy("file_date").count()

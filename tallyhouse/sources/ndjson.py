@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,9 @@ from tallyhouse.sources.landing import DateLike, Landing, as_date
 #: Column that holds the text of a record that does not fit the schema.
 CORRUPT = "_corrupt_record"
 
+#: Gzip files above this size are spread over several tasks after they are parsed.
+LARGE_FILE = 256 * 1024 * 1024
+
 
 class BadRecordsError(ValueError):
     """A load holds more malformed records than allowed."""
@@ -49,7 +52,7 @@ def scan_ndjson(
     Fields outside the schema are dropped and blank lines skipped.  A string
     field over a JSON object keeps the object's text.  Compression follows the
     file suffix; a gzip file cannot be split and is one task, so parallelism is
-    the number of hours read.
+    the number of hours read (see :func:`spread_large`).
 
     Malformed records are left out, or kept with their text in
     ``_corrupt_record`` when ``keep_corrupt`` is set.
@@ -65,6 +68,23 @@ def scan_ndjson(
     return scan if keep_corrupt else _good(scan)
 
 
+def is_large_gzip(large_bytes: int = LARGE_FILE) -> Column:
+    """Records of gzip files above ``large_bytes``; decided when files are listed."""
+    path, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+    return path.endswith(".gz") & (size > large_bytes)
+
+
+def spread_large(scan: DataFrame, large_bytes: int = LARGE_FILE) -> DataFrame:
+    """``scan`` with the records of gzip files over ``large_bytes`` dealt over several tasks.
+
+    The sizes are those of the listing: each branch lists its own files, so every file is parsed
+    once and the others stay as they lie.  How many tasks the records of large files become
+    follows from their measured size, through adaptive execution.
+    """
+    large = is_large_gzip(large_bytes)
+    return scan.filter(~large).unionAll(scan.filter(large).hint("rebalance"))
+
+
 def bad_record_budget(df: DataFrame, limit: int = BAD_RECORD_LIMIT) -> DataFrame:
     """Good records of a ``keep_corrupt`` scan, or BadRecordsError beyond ``limit``.
 
@@ -83,10 +103,12 @@ def combine_hours(
     landing: Landing,
     dates: Sequence[DateLike],
     keep_corrupt: bool = False,
+    large_bytes: int | None = None,
 ) -> DataFrame:
     """All landed hours of ``dates`` as one dataset with the date of each file.
 
-    Absent hours add nothing; when nothing has landed the result is empty.
+    Absent hours add nothing; when nothing has landed the result is empty.  With
+    ``large_bytes``, gzip hours above it are spread over several tasks after they are parsed.
     """
     try:
         scan = scan_ndjson(spark, landing.day_glob(dates), keep_corrupt=keep_corrupt)
@@ -99,8 +121,11 @@ def combine_hours(
         scan = spark.createDataFrame([], T.StructType(fields))
         return scan.withColumn("file_date", F.lit(None).cast("date"))
     if len(dates) == 1:
-        return scan.withColumn("file_date", F.lit(as_date(dates[0])))
-    return scan.select("*", landing.file_date(F.col("_metadata.file_path")).alias("file_date"))
+        file_date = F.lit(as_date(dates[0]))
+    else:
+        file_date = landing.file_date(F.col("_metadata.file_path"))
+    dated = scan.withColumn("file_date", file_date)
+    return dated if large_bytes is None else spread_large(dated, large_bytes)
 
 
 def count_records(spark: SparkSession, landing: Landing, dates: Sequence[DateLike]) -> DataFrame:

@@ -22,6 +22,7 @@ from tallyhouse.sources.landing import (
     missing_hours,
 )
 from tallyhouse.sources.ndjson import (
+    is_large_gzip,
     CORRUPT,
     BadRecordsError,
     bad_record_budget,
@@ -141,6 +142,55 @@ def test_parsing_moves_nothing(spark, tmp_path):
     assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_large_gzip_hours_are_spread(spark, tmp_path):
+    for hour in (0, 1):
+        land(tmp_path, DAY, hour, [record(f"s{hour}")], suffix="json.gz")
+    land(tmp_path, DAY, 2, [record(f"p{n}") for n in range(4000)])
+    big = [record(f"b{n}", payload={"text": "x%d" % (n * 7919) * 30}) for n in range(20000)]
+    land(tmp_path, NEXT, 3, big, suffix="json.gz", extra_lines=["{broken"])
+    landing, days = Landing(str(tmp_path)), [DAY, NEXT]
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        spread = combine_hours(spark, landing, days, keep_corrupt=True, large_bytes=50_000)
+        spread.write.parquet(str(tmp_path / "out"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    places = out.select("file_date", F.col("_metadata.file_path").alias("place")).distinct()
+    by_date = places.groupBy("file_date").agg(F.count(F.lit(1)).alias("files"))
+    files = {r.file_date: r.files for r in by_date.collect()}
+    assert files[date(2024, 5, 2)] > 2
+    whole = combine_hours(spark, landing, days, keep_corrupt=True)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, whole.collect()))
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_each_branch_lists_its_own_files(spark, tmp_path, large):
+    for hour in (0, 1):
+        land(tmp_path, DAY, hour, [record(f"s{hour}")], suffix="json.gz")
+    land(tmp_path, DAY, 2, [record(f"b{n}") for n in range(3000)], suffix="json.gz")
+    land(tmp_path, DAY, 3, [record(f"p{n}") for n in range(3000)])
+    wanted = is_large_gzip(5_000)
+    scan = scan_ndjson(spark, Landing(str(tmp_path)).day_glob([DAY]))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = scan.filter(wanted if large else ~wanted)._jdf.queryExecution()
+        assert execution.toRdd().count() == (3000 if large else 3002)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    leaf = execution.executedPlan().collectLeaves().apply(0)
+    assert leaf.metrics().apply("numFiles").value() == (1 if large else 3)
+
+
 def test_instant_filters_reach_the_scan(spark, table):
     fill(spark, table, raw_row("1", f"{DAY}T05:00:00"), raw_row("2", f"{NEXT}T05:00:00"))
     rows = hour_window_for_interval(spark.table(table), f"{DAY}T04:00:00Z", f"{DAY}T06:00:00Z")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, land, plan, record
-from tallyhouse.operators import uniques
+from tallyhouse.operators import grouping, uniques
 from tallyhouse.operators.reports import kpi_uniques
 from tallyhouse.plans import daily
 from tallyhouse.plans.dashboard import dashboard
@@ -123,3 +123,26 @@ def test_without_staged_rows(spark, database):
     daily.build_uniques(spark, database)
     assert tuple(uniques.range_uniques(spark.table(f"{database}.member_days"), SPAN[0], SPAN[1]).first()) == (0, 0)
     assert spark.table(f"{database}.members").filter(F.col("number") > 0).isEmpty()
+
+
+def test_sketches_of_dates_merge_within_two_percent(spark):
+    rows = spark.range(60_000).selectExpr(
+        "id % 6 AS day", "concat('a', id % 41000) AS actor",
+        "if(id % 3 = 0, NULL, concat('r', pmod(hash(id), 900))) AS repo",
+    )
+    columns = {"actors": "actor", "repos": "repo"}
+    stored = grouping.distinct_sketches(rows, ["day"], columns).cache()
+    exact = grouping.distinct_counts(rows, [], columns).first()
+    near = grouping.merged_distincts(stored, [], list(columns)).first()
+    assert all(abs(near[c] - exact[c]) <= 0.02 * exact[c] for c in columns)
+    part = grouping.merged_distincts(stored.filter("day IN (1, 4)"), [], ["repos"]).first().repos
+    want = rows.filter("day IN (1, 4)").agg(F.count_distinct("repo")).first()[0]
+    assert abs(part - want) <= 0.02 * want
+
+
+def test_sketches_without_values(spark):
+    rows = spark.createDataFrame([("a", None), ("b", "x"), ("b", "x"), (None, "y")], "k string, v string")
+    stored = grouping.distinct_sketches(rows, ["k"], {"n": "v"})
+    assert dict(map(tuple, grouping.merged_distincts(stored, ["k"], ["n"]).collect())) == {"a": 0, "b": 1, None: 1}
+    assert grouping.merged_distincts(stored.limit(0), [], ["n"]).first().n == 0
+    assert grouping.merged_distincts(stored.limit(0), ["k"], ["n"]).count() == 0
