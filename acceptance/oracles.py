@@ -263,6 +263,10 @@ TWINS: dict[str, str] = {
     "materialize": "SELECT * FROM repo_days",
     "backfill": DATED_RAW,
     "backfill_mixed_names": DATED_RAW,
+    "load_changed": DATED_RAW,
+    "landed_ledger": """SELECT CAST(created_at AS DATE) AS event_date,
+        CAST(hour(created_at) AS INTEGER) AS hour_of_day, count(*) AS records,
+        CAST(0 AS BIGINT) AS malformed FROM raw GROUP BY ALL""",
     "expire_landed": f"{COUNTS_BY_DATE} WHERE created_at >= (SELECT max(CAST(created_at AS DATE)) FROM raw) - 20 GROUP BY ALL",
     "expire_partitions": f"{COUNTS_BY_DATE} WHERE created_at >= (SELECT max(CAST(created_at AS DATE)) FROM raw) - 20 GROUP BY ALL",
     "retained": f"{COUNTS_BY_DATE} WHERE created_at >= (SELECT max(CAST(created_at AS DATE)) FROM raw) - 20 GROUP BY ALL",

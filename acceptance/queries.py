@@ -135,12 +135,12 @@ def scan_plain(d: Derived) -> DataFrame:
 
 def hour_paths(d: Derived) -> DataFrame:
     layout = landing.Landing("raw")
-    listed = [
-        (day, hour, layout.hour_path(day, hour), layout.daily_path(day))
-        for day, hour in landing.list_hours(d.spark, d.landed, d.all_days)
-    ]
-    return d.spark.createDataFrame(
-        listed, "event_date date, hour_of_day int, hour_path string, daily_path string"
+    day, hour = F.col("event_date"), F.col("hour_of_day")
+    return landing.landed_hours(d.spark, d.landed, d.all_days).select(
+        day,
+        hour,
+        layout.hour_path_of(day, hour).alias("hour_path"),
+        layout.daily_path_of(day).alias("daily_path"),
     )
 
 
@@ -238,6 +238,27 @@ def backfill_mixed_names(d: Derived) -> DataFrame:
     return d.spark.table(f"{database}.raw_events")
 
 
+def load_changed(d: Derived) -> DataFrame:
+    """A load of the first week, then of whatever the ledger does not know, then of nothing."""
+    database = fresh_database(d.spark, "ledgered")
+    week = [day for day in d.all_days if str(day) <= WEEK[1]]
+    for dates in (week, d.all_days):
+        daily.load_changed(d.spark, database, d.landed, dates, bad_record_limit=0)
+    if daily.load_changed(d.spark, database, d.landed, d.all_days).dates:
+        raise ValueError("a date was loaded again though none of its files had changed")
+    return d.spark.table(f"{database}.raw_events")
+
+
+def landed_ledger(d: Derived) -> DataFrame:
+    """Records per hour as the ledger notes them on loading."""
+    database = fresh_database(d.spark, "noted")
+    daily.load_changed(d.spark, database, d.landed, d.all_days, bad_record_limit=0)
+    noted = d.spark.table(f"{database}.landed_files")
+    return noted.groupBy("event_date", "hour_of_day").agg(
+        F.sum("records").alias("records"), F.sum("malformed").alias("malformed")
+    )
+
+
 def expire_landed(d: Derived) -> DataFrame:
     """Files that retention leaves; the landing is one of its own."""
     files = mixed_files.anew(d.spark, d.sf_dir)
@@ -280,6 +301,8 @@ SOURCES = {
     "materialize": materialize,
     "backfill": lambda d: zoneless(backfill(d)),
     "backfill_mixed_names": lambda d: zoneless(backfill_mixed_names(d)),
+    "load_changed": lambda d: zoneless(load_changed(d)),
+    "landed_ledger": landed_ledger,
     "expire_landed": expire_landed,
     "expire_partitions": expire_partitions,
     "retained": retained,

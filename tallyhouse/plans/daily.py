@@ -30,7 +30,21 @@ from tallyhouse.operators.staging import (
 )
 from tallyhouse.schemas import BAD_RECORD_LIMIT, CLUSTERING, RETENTION_DAYS
 from tallyhouse.session import drop_path, write_through
-from tallyhouse.sources.landing import DateLike, Landing, as_date, days, list_dates
+from tallyhouse.sources.landing import (
+    DateLike,
+    Landing,
+    as_date,
+    days,
+    file_listing,
+    list_dates,
+)
+from tallyhouse.sources.ledger import (
+    compare_files,
+    dates_to_load,
+    ensure_ledger,
+    file_records,
+    note_load,
+)
 from tallyhouse.sources.ndjson import CORRUPT, LARGE_FILE, BadRecordsError, combine_hours
 from tallyhouse.sources.publish import recover
 from tallyhouse.sources.tables import (
@@ -47,6 +61,8 @@ log = logging.getLogger(__name__)
 
 RAW = "raw_events"
 STAGING = "stg_events"
+#: Landed files that the dates of the raw table were loaded from.
+LEDGER = "landed_files"
 #: Numbers of actors and repositories, and the bitmaps of those seen on each date.
 MEMBERS = "members"
 MEMBER_DAYS = "member_days"
@@ -81,13 +97,15 @@ def load_dates(
     landing: Landing,
     dates: Sequence[DateLike],
     bad_record_limit: int = BAD_RECORD_LIMIT,
+    note_files: bool = False,
 ) -> LoadResult:
     """Load the landed files of ``dates`` into the raw table, replacing those dates.
 
     Dates without landed files are left as they are.  The JSON is parsed once,
     into shared scratch; counting malformed records and writing the table then
     read columns.  A date with more malformed records than allowed fails the
-    load before the table is touched.
+    load before the table is touched.  With ``note_files`` the ledger is told which
+    files the dates were loaded from (see :func:`load_changed`).
     """
     wanted = sorted({as_date(d) for d in dates})
     ensure_table(spark, f"{database}.{RAW}")
@@ -95,8 +113,17 @@ def load_dates(
     if not present:
         log.warning("%s: nothing has landed for %s", database, ", ".join(map(str, wanted)))
         return LoadResult()
-    scan = combine_hours(spark, landing, present, keep_corrupt=True, large_bytes=LARGE_FILE)
+    scratch = []
+    if note_files:
+        # Before the files are read: what changes afterwards is found by the next run.
+        listing, path = write_through(file_listing(spark, landing, present), "landed-files")
+        scratch.append(path)
+    source = "source_file" if note_files else None
+    scan = combine_hours(
+        spark, landing, present, keep_corrupt=True, large_bytes=LARGE_FILE, file_path=source
+    )
     parsed, path = write_through(scan.withColumn(DATE, event_date("created_at")), "parsed-hours")
+    scratch.append(path)
     try:
         bad = parsed.filter(F.col(CORRUPT).isNotNull()).groupBy("file_date").count()
         for day, count in bad.collect():
@@ -107,8 +134,13 @@ def load_dates(
         recover(spark, table)
         before = {r[0]: r.raw_rows for r in raw_row_counts(spark.table(table)).collect()}
         rows = replace_dates(good, table, present)
+        if note_files:
+            ledger = f"{database}.{LEDGER}"
+            ensure_ledger(spark, ledger)
+            note_load(listing, file_records(parsed, source, CORRUPT), ledger, present)
     finally:
-        drop_path(spark, path)
+        for path in scratch:
+            drop_path(spark, path)
     deleted = sum(before.get(day, 0) for day in present)
     total = sum(before.values()) - deleted + sum(rows.values())
     result = LoadResult(present, landing.day_glob(present), rows, deleted, total)
@@ -116,6 +148,35 @@ def load_dates(
     return result
 
 
+def changed_files(
+    spark: SparkSession, database: str, landing: Landing, dates: Sequence[DateLike]
+) -> DataFrame:
+    """What differs between the landed files of ``dates`` and the ledger, a row per date."""
+    ledger = f"{database}.{LEDGER}"
+    ensure_ledger(spark, ledger)
+    targets = sorted({as_date(d) for d in dates})
+    noted = spark.table(ledger).filter(F.col(DATE).isin(*targets))
+    return dates_to_load(compare_files(file_listing(spark, landing, targets), noted))
+
+
+def load_changed(
+    spark: SparkSession,
+    database: str,
+    landing: Landing,
+    dates: Sequence[DateLike],
+    bad_record_limit: int = BAD_RECORD_LIMIT,
+) -> LoadResult:
+    """Load those of ``dates`` with files that are new, delivered again or gone since their load.
+
+    A date whose files are as the ledger says is neither read nor written.
+    """
+    differ = changed_files(spark, database, landing, dates).select(DATE).collect()
+    if not differ:
+        return LoadResult()
+    wanted = [r[DATE] for r in differ]
+    return load_dates(spark, database, landing, wanted, bad_record_limit, note_files=True)
+
+
 def build_staging(spark: SparkSession, database: str, max_bits: int = MAX_BITS) -> DataFrame:
     """Rebuild the staging table from the raw table.
 

@@ -6,6 +6,8 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +37,11 @@ def _either(options: Iterable[str]) -> str:
     return listed[0] if len(listed) == 1 else "{" + ",".join(listed) + "}"
 
 
+def _printf(number: re.Match) -> str:
+    # The second argument, in the same width as Python's format for whole numbers.
+    return f"%2${number[1].removesuffix('d')}d"
+
+
 @dataclass(frozen=True)
 class Landing:
     """Path layout of landed files below ``root``.
@@ -72,6 +79,21 @@ class Landing:
         """Path of a date in the older one-file layout."""
         return self._at(self.daily_file.format(date=as_date(day)))
 
+    def hour_path_of(self, day: Column, hour: Column) -> Column:
+        """Path of one hour, from columns of dates and hours."""
+        template = re.sub(r"\{hour:?([^}]*)\}", _printf, self.hour_file.replace("%", "%%"))
+        return self._formatted(template, day, hour)
+
+    def daily_path_of(self, day: Column) -> Column:
+        """Path of a date in the older one-file layout, from a column of dates."""
+        return self._formatted(self.daily_file.replace("%", "%%"), day)
+
+    def _formatted(self, template: str, day: Column, *others: Column) -> Column:
+        template = template.replace("{date}", "%1$s")
+        below = F.format_string(template, F.date_format(day, "yyyy-MM-dd"), *others)
+        known = [value.isNotNull() for value in (day, *others)]
+        return F.when(reduce(and_, known), F.concat(F.lit(self._at("")), below))
+
     def hour_paths(self, day: DateLike, start: int = 0, count: int = 24) -> list[str]:
         """Paths of the hours ``[start, start + count)`` of a date."""
         return [self.hour_path(day, hour) for hour in range(start, start + count)]
@@ -159,10 +181,38 @@ def expire_landed(
     return expired
 
 
+#: Columns of a listing of landed files.
+LISTING = "path string, length long, modified timestamp, event_date date, hour_of_day int"
+
+
+def file_listing(spark: SparkSession, landing: Landing, dates: Sequence[DateLike]) -> DataFrame:
+    """One row per landed file of ``dates`` (``*`` for all), in the columns of ``LISTING``.
+
+    Spark lists the folders and nothing of a file is read.  Files not named by an hour
+    have none.  Files without a byte, as Spark sees no use in them, and files whose path has
+    no date are left out.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = reader.load(landing.day_glob(dates))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LISTING)
+    path = F.col("_metadata.file_path")
+    return files.select(
+        path.alias("path"),
+        F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        landing.file_date(path).alias("event_date"),
+        landing.file_hour(path).alias("hour_of_day"),
+    ).filter("event_date IS NOT NULL")
+
+
 def landed_hours(spark: SparkSession, landing: Landing, dates: Sequence[DateLike]) -> DataFrame:
     """(event_date, hour_of_day) of the hours that have landed."""
-    listed = list_hours(spark, landing, dates)
-    return spark.createDataFrame(listed, "event_date date, hour_of_day int")
+    files = file_listing(spark, landing, dates).filter("hour_of_day IS NOT NULL")
+    return files.select("event_date", "hour_of_day").distinct()
 
 
 def hour_grid(

@@ -104,11 +104,13 @@ def combine_hours(
     dates: Sequence[DateLike],
     keep_corrupt: bool = False,
     large_bytes: int | None = None,
+    file_path: str | None = None,
 ) -> DataFrame:
     """All landed hours of ``dates`` as one dataset with the date of each file.
 
     Absent hours add nothing; when nothing has landed the result is empty.  With
     ``large_bytes``, gzip hours above it are spread over several tasks after they are parsed.
+    ``file_path`` names a column for the file of each record.
     """
     try:
         scan = scan_ndjson(spark, landing.day_glob(dates), keep_corrupt=keep_corrupt)
@@ -119,12 +121,15 @@ def combine_hours(
         if keep_corrupt:
             fields.append(T.StructField(CORRUPT, T.StringType()))
         scan = spark.createDataFrame([], T.StructType(fields))
-        return scan.withColumn("file_date", F.lit(None).cast("date"))
+        undated = scan.withColumn("file_date", F.lit(None).cast("date"))
+        return undated.withColumn(file_path, F.lit(None).cast("string")) if file_path else undated
     if len(dates) == 1:
         file_date = F.lit(as_date(dates[0]))
     else:
         file_date = landing.file_date(F.col("_metadata.file_path"))
     dated = scan.withColumn("file_date", file_date)
+    if file_path:
+        dated = dated.withColumn(file_path, F.col("_metadata.file_path"))
     return dated if large_bytes is None else spread_large(dated, large_bytes)
 
 
