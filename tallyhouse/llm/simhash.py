@@ -34,6 +34,8 @@ from tallyhouse.llm.wordhash import filled, mixed
 BITS = 128
 #: Words of a term.
 TERM_WORDS = 2
+#: Units that weights are whole numbers of.
+WEIGHT_UNIT = 256
 #: Differing bits at which two fingerprints still match: texts with 0.8 of their five-word
 #: shingles in common differ in 5 to 18 bits on the given documents.
 RADIUS = 20
@@ -42,24 +44,32 @@ MOST_ASKED = 1_000_000
 #: Characters of text in one task, about.
 TASK_CHARS = 32_000_000
 
-_TERMS_AT_ONCE = 50_000
+#: Few enough for their votes to stay in a processor's cache.
+_TERMS_AT_ONCE = 2_000
 _TEXTS_AT_ONCE = 256
 _ASKED_AT_ONCE = 250_000
 
 
 def fingerprints(texts: pa.Array) -> np.ndarray:
-    """One row of two 64-bit numbers for each text; no words give zeros."""
+    """One row of two 64-bit numbers for each text; no words give zeros.
+
+    Weights are whole numbers of ``1 / WEIGHT_UNIT``, so votes do not depend on the order of
+    the terms or on what other texts are at hand, and equal texts have equal fingerprints.
+    """
     owner, term, counts = shingle_sets(texts, TERM_WORDS)
-    votes = np.zeros((len(texts), BITS), np.float64)
-    weight = weights_of(counts)
+    weight = np.rint(WEIGHT_UNIT * weights_of(counts)).astype(np.int32)
+    total = np.zeros(len(texts), np.int64)
+    np.add.at(total, owner, weight)
+    # Weights of the terms that vote for a bit; the others of the text vote against it.
+    votes = np.zeros((len(texts), BITS), np.int64)
     for at in range(0, len(owner), _TERMS_AT_ONCE):
         part = slice(at, at + _TERMS_AT_ONCE)
         halves = np.stack([mixed(term[part]), mixed(term[part] ^ np.uint64(0x5851F42D4C957F2D))], 1)
         bits = np.unpackbits(halves.view(np.uint8), axis=1, bitorder="little")
-        signed = (2.0 * bits - 1).astype(np.float32) * weight[part, None].astype(np.float32)
+        cast = np.multiply(bits, weight[part, None], dtype=np.int32)
         first = np.flatnonzero(np.diff(owner[part], prepend=-1))
-        votes[owner[part][first]] += np.add.reduceat(signed, first, axis=0)
-    packed = np.packbits(votes > 0, axis=1, bitorder="little")
+        votes[owner[part][first]] += np.add.reduceat(cast, first, axis=0)
+    packed = np.packbits(2 * votes > total[:, None], axis=1, bitorder="little")
     return np.ascontiguousarray(packed).view(np.uint64).reshape(len(texts), 2)
 
 

@@ -36,6 +36,17 @@ def test_bits_are_signed_votes():
     assert [int(low) | int(high) << 64 for low, high in got] == [brute_print(t) for t in texts]
 
 
+def test_equal_texts_have_equal_prints_in_any_company():
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(60)]
+    text = " ".join(rng.choices(words, k=6000))
+    alone = simhash.fingerprints(pa.array([text], pa.large_string()))[0]
+    for n in range(1, 12):
+        company = [" ".join(rng.choices(words, k=rng.randrange(900))) for _ in range(n)]
+        both = simhash.fingerprints(pa.array([*company, text, company[0]], pa.large_string()))
+        assert (both[n] == alone).all() and (both[n + 1] == both[0]).all()
+
+
 @pytest.mark.parametrize("radius", [0, 1, 3, 5, 20, 26, 40])
 @pytest.mark.parametrize("n", [10, 10**6, 10**9, 10**12])
 def test_blocks_cover_the_radius(radius, n):
