@@ -5,7 +5,9 @@ document's score is the sum of the log probabilities of its tokens, each with th
 token left out of what the network sees.
 
 The network's vocabulary is the corpus's most frequent words, counted over all
-documents, and buckets for all other words; it grows with the corpus.  A word of a
+documents, and buckets for all other words; it grows with the corpus.  A token is
+predicted in two steps, its class (tokens of like frequency) and then the token within
+the class, so the cost of a token is not that of the whole vocabulary.  A word of a
 bucket has the probability P(bucket | around it) * P(word | bucket), the second factor
 from the counts of all words, so each word is scored as itself.  The network is trained by local gradient descent: each
 task trains a copy on its share of the corpus, copies are averaged over a tree, and
@@ -36,6 +38,8 @@ class Shape:
 
     ``vocabulary`` includes the padding (0) and ``buckets`` for words that are not
     frequent.  It is the least one: :meth:`grown` has more words for more tokens.
+    ``batch`` is the least one too: the tokens of one step.  ``width`` consecutive
+    numbers of the vocabulary are a class of the softmax.
     Each round trains on one token in ``stride``, another part in each round,
     so ``stride`` rounds train on every token of every document once.
     """
@@ -48,6 +52,7 @@ class Shape:
     stride: int = 2
     batch: int = 256
     rate: float = 0.1
+    width: int = 64
 
     def __post_init__(self):
         if self.stride > self.rounds:
@@ -57,15 +62,27 @@ class Shape:
     def words(self) -> int:
         return self.vocabulary - self.buckets - 1
 
+    @property
+    def classes(self) -> int:
+        return -(-self.vocabulary // self.width)
+
     def grown(self, tokens: int) -> Shape:
-        """With words of their own growing as the fourth root of the corpus's tokens."""
+        """With words of their own growing as the fourth root of the corpus's tokens.
+
+        Steps stay as many when they are of more tokens, up to ``_LARGEST_BATCH``.
+        """
         words = max(self.words, round(_GROWTH * tokens**0.25))
-        return replace(self, vocabulary=words + self.buckets + 1)
+        batch = max(self.batch, min(_LARGEST_BATCH, tokens // _STEPS))
+        return replace(self, vocabulary=words + self.buckets + 1, batch=batch)
 
 
 #: Frequent words per fourth root of the number of tokens: 447 for four million.
 _GROWTH = 10
 
+#: Steps that all tasks take together before a batch reaches its largest size.
+_STEPS = 8192
+_LARGEST_BATCH = 4096
+
 #: Averages are taken over so many groups of copies before the last one.
 _GROUPS = 16
 
@@ -106,6 +123,11 @@ def word_key(word: str) -> int:
     return key - (1 << 64) if key >> 63 else key
 
 
+def word_keys(words: list[str]) -> np.ndarray:
+    digests = map(partial(xxhash.xxh64_intdigest, seed=42), words)
+    return np.fromiter(digests, np.uint64, len(words)).view(np.int64)
+
+
 def bucket_shares(
     counts: DataFrame, frequent: list[tuple[str, int]], buckets: int
 ) -> DataFrame:
@@ -128,7 +150,7 @@ _TOKENS = "doc_id long, row long, tokens binary, rare array<long>"
 
 
 def _numbering(words: list[str], shape: Shape):
-    numbers = {word: i + 1 for i, word in enumerate(words)}
+    frequent = pa.array(words, pa.large_string())
     other = 1 + shape.words
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,13 +160,11 @@ def _numbering(words: list[str], shape: Shape):
             for start, end in slices(texts):
                 flat, starts = split_words(texts.slice(start, end - start))
                 coded = flat.dictionary_encode()
-                found = coded.dictionary.to_pylist()
-                number = np.fromiter((numbers.get(w, 0) for w in found), np.uint16, len(found))
-                key = np.fromiter(
-                    (0 if n else word_key(w) for w, n in zip(found, number.tolist())),
-                    np.int64, len(found),
-                )
+                place = pc.index_in(coded.dictionary, value_set=frequent)
+                number = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.uint16) + np.uint16(1)
                 is_rare = number == 0
+                key = np.zeros(len(number), np.int64)
+                key[is_rare] = word_keys(coded.dictionary.filter(pa.array(is_rare)).to_pylist())
                 number[is_rare] = other + key[is_rare] % shape.buckets
                 at = coded.indices.to_numpy() if len(flat) else np.empty(0, np.int64)
                 ids, rare = number[at].astype("<u2"), is_rare[at]
@@ -168,15 +188,22 @@ def _numbering(words: list[str], shape: Shape):
 
 
 class WindowNetwork:
-    """Hidden layer from the tokens around a place, softmax over the vocabulary."""
+    """Hidden layer from the tokens around a place, softmax in two steps over the vocabulary.
+
+    P(token) = P(class | around it) * P(token | class, around it): ``width`` consecutive
+    tokens are a class, so a token costs the classes and one class of the softmax in place
+    of all tokens.  Both factors are whole softmaxes, and the probabilities of all tokens
+    have the sum 1.  With one class the second is the softmax over the vocabulary.
+    """
 
     def __init__(self, shape: Shape, values: np.ndarray | None = None):
         self.shape = shape
         sizes = [
             (2 * shape.reach, shape.vocabulary, shape.hidden),
             (shape.hidden,),
-            (shape.hidden, shape.vocabulary),
-            (shape.vocabulary,),
+            # The last rows are biases, of a hidden value that is always 1.
+            (shape.hidden + 1, shape.vocabulary),
+            (shape.hidden + 1, shape.classes),
         ]
         total = sum(int(np.prod(s)) for s in sizes)
         if values is None:
@@ -186,61 +213,125 @@ class WindowNetwork:
         for size in sizes:
             parts.append(self.values[at : at + int(np.prod(size))].reshape(size))
             at += int(np.prod(size))
-        self.inputs, self.bias, self.output, self.output_bias = parts
+        self.inputs, self.bias, self.whole_output, self.whole_class = parts
+        self.output, self.output_bias = self.whole_output[:-1], self.whole_output[-1]
+        self.class_output, self.class_bias = self.whole_class[:-1], self.whole_class[-1]
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = self.bias + self.inputs[0][around[:, 0]]
+        """Hidden values of each row, and 1."""
+        total = self.inputs[0].take(around[:, 0], axis=0)
+        total += self.bias
         for k in range(1, around.shape[1]):
-            total += self.inputs[k][around[:, k]]
-        return np.tanh(total)
+            total += self.inputs[k].take(around[:, k], axis=0)
+        values = np.ones((len(total), self.shape.hidden + 1), np.float32)
+        np.tanh(total, out=values[:, :-1])
+        return values
+
+    def _stretches(self, kinds: np.ndarray) -> list[tuple[slice, slice]]:
+        """(rows, tokens) of each class in ``kinds``, the classes of rows in ascending order."""
+        width, end = self.shape.width, self.shape.vocabulary
+        edges = np.searchsorted(kinds, np.arange(self.shape.classes + 1)).tolist()
+        return [
+            (slice(i, j), slice(k * width, min((k + 1) * width, end)))
+            for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if i < j
+        ]
+
+    def _logits(
+        self, hidden: np.ndarray, kinds: np.ndarray, stretches: list[tuple[slice, slice]]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Of the classes, and of the tokens of each row's class; none may be too large for exp."""
+        of_class = hidden @ self.whole_class
+        width = min(self.shape.width, self.shape.vocabulary)
+        within = np.empty((len(kinds), width), np.float32)
+        for rows, tokens in stretches:
+            n = tokens.stop - tokens.start
+            np.matmul(hidden[rows], self.whole_output[:, tokens], out=within[rows, :n])
+            if n < width:
+                within[rows, n:] = -np.inf
+        if self.largest_logit() > 80:
+            # Only such could be too large.
+            for logits in (of_class, within):
+                logits -= logits.max(axis=1, keepdims=True)
+        return of_class, within
 
     def log_probabilities(self, around: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Log probability of each token given the tokens around it."""
-        logits = self.hidden(around) @ self.output
-        logits += self.output_bias
-        own = logits[np.arange(len(token)), token]
-        if self.largest_logit() > 80:
-            # Only such could be too large for exp.
-            top = logits.max(axis=1)
-            logits -= top[:, None]
-            own -= top
-        np.exp(logits, out=logits)
-        return own.astype(np.float64) - np.log(logits.sum(axis=1))
+        order = np.argsort(token, kind="stable")
+        around, token = around[order], token[order].astype(np.int64)
+        kinds, rows = token // self.shape.width, np.arange(len(token))
+        logs = np.zeros(len(token))
+        both = self._logits(self.hidden(around), kinds, self._stretches(kinds))
+        for logits, own in zip(both, (kinds, token - kinds * self.shape.width)):
+            logs += logits[rows, own]
+            np.exp(logits, out=logits)
+            logs -= np.log(_row_sums(logits))
+        result = np.empty(len(token))
+        result[order] = logs
+        return result
 
     def largest_logit(self) -> float:
         """A bound: hidden values lie between -1 and 1."""
-        return float((np.abs(self.output).sum(axis=0) + np.abs(self.output_bias)).max())
+        layers = (self.whole_output, self.whole_class)
+        return max(float(np.abs(layer).sum(axis=0).max()) for layer in layers)
+
+    def slopes(self, around: np.ndarray, token: np.ndarray) -> list[np.ndarray]:
+        """Slopes of the mean negative log probability by the weights of both output layers.
+
+        The last one is by the sum that each row's hidden values come from.  ``token``
+        ascends.
+        """
+        n, width = len(token), self.shape.width
+        token = token.astype(np.int64)
+        kinds, rows = token // width, np.arange(n)
+        stretches, hidden = self._stretches(kinds), self.hidden(around)
+        of_class, within = self._logits(hidden, kinds, stretches)
+        for error, own in ((of_class, kinds), (within, token - kinds * width)):
+            np.exp(error, out=error)
+            error *= (1 / (n * _row_sums(error)))[:, None]
+            error[rows, own] -= np.float32(1 / n)
+        by_hidden = of_class @ self.class_output.T
+        by_output = np.zeros_like(self.whole_output)
+        for some, tokens in stretches:
+            error = within[some, : tokens.stop - tokens.start]
+            by_hidden[some] += error @ self.output[:, tokens].T
+            np.matmul(hidden[some].T, error, out=by_output[:, tokens])
+        by_hidden *= 1 - hidden[:, :-1] ** 2
+        return [by_output, hidden.T @ of_class, by_hidden]
 
     def learn(self, around: np.ndarray, token: np.ndarray, sums: list[np.ndarray]) -> None:
         """One step on a batch; ``sums`` holds the squares of past slopes, per weight."""
-        n = len(token)
-        hidden = self.hidden(around)
-        error = hidden @ self.output
-        error += self.output_bias
-        if self.largest_logit() > 80:
-            error -= error.max(axis=1, keepdims=True)
-        np.exp(error, out=error)
-        error *= 1 / (n * error.sum(axis=1, keepdims=True))
-        error[np.arange(n), token] -= np.float32(1 / n)
-        slope = (error @ self.output.T) * (1 - hidden * hidden)
-        steps = [(self.output, hidden.T @ error), (self.output_bias, error.sum(axis=0)),
-                 (self.bias, slope.sum(axis=0))]
-        for (weights, grad), past in zip(steps, sums):
-            past += grad * grad
-            grad /= np.sqrt(past + np.float32(1e-8))
+        order = np.argsort(token, kind="stable")
+        around = around[order]
+        *grads, slope = self.slopes(around, token[order])
+        grads += [slope.sum(axis=0), self._by_inputs(around, slope)]
+        for weights, grad, past in zip(self._layers(), grads, sums):
+            slow = grad * grad
+            past += slow
+            np.add(past, np.float32(1e-8), out=slow)
+            np.sqrt(slow, out=slow)
+            grad /= slow
             grad *= np.float32(self.shape.rate)
             weights -= grad
+
+    def _by_inputs(self, around: np.ndarray, slope: np.ndarray) -> np.ndarray:
+        """Slopes by the input weights: sums of ``slope`` over the rows that have a token at a place."""
+        total = np.empty_like(self.inputs)
+        columns = np.arange(self.shape.hidden)
+        weights = slope.astype(np.float64).ravel()
         for k in range(around.shape[1]):
-            order = np.argsort(around[:, k], kind="stable")
-            sorted_ids = around[order, k]
-            first = np.flatnonzero(np.diff(sorted_ids.astype(np.int32), prepend=-1))
-            ids, grad = sorted_ids[first], np.add.reduceat(slope[order], first, axis=0)
-            past = sums[3][k]
-            past[ids] += grad * grad
-            self.inputs[k][ids] -= self.shape.rate * grad / np.sqrt(past[ids] + 1e-8)
+            at = around[:, k].astype(np.int64)[:, None] * self.shape.hidden + columns
+            total[k] = np.bincount(at.ravel(), weights, total[k].size).reshape(total[k].shape)
+        return total
+
+    def _layers(self) -> list[np.ndarray]:
+        return [self.whole_output, self.whole_class, self.bias, self.inputs]
 
     def past(self) -> list[np.ndarray]:
-        return [np.zeros_like(x) for x in (self.output, self.output_bias, self.bias, self.inputs)]
+        return [np.zeros_like(x) for x in self._layers()]
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
 def windows(
@@ -288,7 +379,9 @@ def _chosen(stride: int, turn: int, rows: np.ndarray, owner: np.ndarray, place:
     """
     chance = mixed(mixed(rows.astype(np.uint64))[owner] + place.astype(np.uint64))
     used = np.flatnonzero(chance % np.uint64(stride) == turn % stride)
-    return used[np.argsort(mixed(chance[used] + np.uint64(turn)), kind="stable")]
+    # By 16 bits, which are sorted by radix; of equal ones the first token comes first.
+    order = mixed(chance[used] + np.uint64(turn)).astype(np.uint16)
+    return used[np.argsort(order, kind="stable")]
 
 
 def _training(shape: Shape, values: np.ndarray, turn: int):
@@ -358,7 +451,7 @@ def train_network(tokens: DataFrame, shape: Shape = Shape()) -> WindowNetwork:
     return network
 
 
-def _scoring(shape: Shape, values: np.ndarray, rows_at_once: int = 1024):
+def _scoring(shape: Shape, values: np.ndarray, rows_at_once: int = 4096):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = WindowNetwork(shape, values)
         for batch in batches:

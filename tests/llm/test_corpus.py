@@ -626,6 +626,79 @@ def test_network_against_direct_formula():
     assert network.log_probabilities(around, token) == pytest.approx(want[np.arange(4), token], abs=1e-4)
 
 
+def lm_in_two_steps():
+    shape = lmscore.Shape(vocabulary=22, buckets=2, hidden=4, width=5)
+    rng = np.random.default_rng(5)
+    network = lmscore.WindowNetwork(shape)
+    network.values[:] = rng.normal(0, 1, len(network.values))
+    around = rng.integers(0, 22, (60, 4)).astype(np.uint16)
+    return network, around, rng.integers(0, 22, 60).astype(np.uint16)
+
+
+def test_two_steps_against_direct_formula():
+    network, around, token = lm_in_two_steps()
+    assert network.shape.classes == 5
+    hidden = np.tanh(sum(network.inputs[k][around[:, k]] for k in range(4)) + network.bias)
+    assert network.hidden(around)[:, :-1] == pytest.approx(hidden, abs=1e-5)
+
+    def log_softmax(logits):
+        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+    of_class = log_softmax(hidden @ network.class_output + network.class_bias)
+    logits = hidden @ network.output + network.output_bias
+    want = np.concatenate(
+        [of_class[:, [c]] + log_softmax(logits[:, 5 * c : 5 * c + 5]) for c in range(5)], axis=1
+    )
+    assert np.exp(want).sum(axis=1) == pytest.approx(1, abs=1e-5)
+    got = np.stack([network.log_probabilities(around, np.full(60, t, np.uint16)) for t in range(22)], axis=1)
+    assert got == pytest.approx(want, abs=1e-4)
+    assert network.log_probabilities(around, token) == pytest.approx(want[np.arange(60), token], abs=1e-4)
+    # Logits too large for exp.
+    network.output *= 100
+    network.class_output *= 100
+    assert np.isfinite(network.log_probabilities(around, token)).all()
+
+
+def test_a_training_step_follows_the_slopes_of_the_score():
+    network, around, token = lm_in_two_steps()
+    network.values = network.values.astype(np.float64)
+    start = network.values.copy()
+
+    def loss(values):
+        return -lmscore.WindowNetwork(network.shape, values).log_probabilities(around, token).mean()
+
+    def slope(i, step=0.01):
+        values = [start.copy(), start.copy()]
+        values[0][i] -= step
+        values[1][i] += step
+        return (loss(values[1]) - loss(values[0])) / (2 * step)
+
+    want = np.array([slope(i) for i in range(len(start))])
+    # The first step of a weight is the rate times the sign of its slope; the squares are kept.
+    learner = lmscore.WindowNetwork(network.shape, start)
+    past = learner.past()
+    learner.learn(around, token, past)
+    output, class_output, bias, inputs = (x.ravel() for x in past)
+    squares = np.concatenate([inputs, bias, output, class_output])
+    assert np.sqrt(squares) == pytest.approx(np.abs(want), abs=1e-3)
+    clear = np.abs(want) > 0.01
+    assert clear.sum() > 100
+    moved = (learner.values - start)[clear]
+    assert moved == pytest.approx(-network.shape.rate * np.sign(want[clear]), abs=1e-3)
+
+
+def test_a_token_costs_its_class_and_batches_grow():
+    shape = lmscore.Shape()
+    for tokens in (0, 10**6, 10**8, 10**10):
+        grown = shape.grown(tokens)
+        assert grown.classes * grown.width >= grown.vocabulary
+        assert grown.classes + grown.width < grown.vocabulary / 3
+    assert shape.grown(10**6).batch == shape.batch == 256
+    assert shape.grown(10**7).batch == 10**7 // 8192
+    assert shape.grown(10**10).batch == 4096
+    assert lmscore.Shape(batch=5000).grown(10**10).batch == 5000
+
+
 def test_rounds_train_on_every_token_once(spark, docs, monkeypatch):
     shape = lmscore.Shape()
     numbered = docs.mapInArrow(lmscore._numbering([], shape), lmscore._TOKENS).toArrow()
