@@ -202,9 +202,9 @@ def _reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             doc_ids, sizes, codes = read_segment(row["payload"])
             ends = np.cumsum(sizes)
+            ids = codes.take(np.arange(codes.n)).astype("<u4", copy=False)
             crcs = [
-                zlib.crc32(codes.take(np.arange(end - size, end)).astype("<u4").tobytes())
-                for end, size in zip(ends, sizes)
+                zlib.crc32(ids[end - size : end]) for end, size in zip(ends.tolist(), sizes.tolist())
             ]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -386,6 +386,42 @@ def test_piecewise_encoding_is_the_tokenizers(name, keeps):
         assert [x.tolist() for x in got] == encoded(given, name)
 
 
+CUT = [
+    "word", "Word. word, word! word: word", "one.\nTwo,\nthree;\n\nfour.\n five", "a.b.c...d ?! .,;e", "niño, más.\nÉl",
+    "ΟΔΟΣ. ΟΔΟΣ.α Σ,Σ", "aΣ.b", "e\u0301. a.\u0301b x\u0338, <\u0338", "don't. we're, it's.\nI'm 'x'.", "12.5, 3,4.\n5",
+    "жук. дом,\nкот", "a\n\u00a0b.\n\u2003c", "q\0. r\1, s\2.", "\0 a. \1 b. \2 c. \3 d. \4 e. \5 f.", "<|endoftext|>. a,", "ǅ. ſ, ŉ. ﬁ, ª. ², ʰ.",
+]
+
+
+@pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_parts_of_pieces_are_the_tokenizers(name, keeps):
+    rng = np.random.default_rng(4)
+    signs = [*"abΣéж.,;:!?'^1 \n\n\0\u0301\u00a0", " x", ".\n"]
+    given = CUT + ["".join(rng.choice(signs, 25)) for _ in range(3000)]
+    # Texts with all the signs that stand for cuts go in one slice with others, or by themselves.
+    maker = tokens.PieceEncoder(tokens.public_tokenizer(name), keeps)
+    for some in (given, given[:7], given):
+        got = maker.encode(pa.array(some, pa.large_string()))
+        assert [x.tolist() for x in got] == encoded(some, name)
+
+
+@pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_word_is_encoded_once_whatever_mark_follows(name, keeps, monkeypatch):
+    marks = [".", ",", ";", ":", "!", "?", ".\nWord", ",\nWord"]
+    given = ["x " + " ".join(f"word{m}" for m in marks)]
+    maker = tokens.PieceEncoder(tokens.public_tokenizer(name), keeps)
+    asked = []
+    monkeypatch.setattr(
+        tokens.PieceEncoder, "_numbered",
+        lambda self, parts, own=tokens.PieceEncoder._numbered: asked.extend(parts) or own(self, parts),
+    )
+    got = maker.encode(pa.array(given, pa.large_string()))
+    assert [x.tolist() for x in got] == encoded(given, name)
+    # x, the word, the six marks, the line feed and the word after it; the first x with and
+    # without a space where that is a part of the token.
+    assert len(asked) == len(set(asked)) == 10 + keeps
+
+
 @pytest.mark.parametrize("bits", [3, 8, 13])
 def test_direct_codes_give_any_id(bits):
     rng = np.random.default_rng(bits)
